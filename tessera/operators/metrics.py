@@ -61,7 +61,7 @@ def classification_report(df: DataFrame, label: str, prediction: str,
     return c.select(F.explode(F.array(*structs)).alias("r")).select("r.*").orderBy("row_order").drop("row_order")
 
 
-def roc_auc(df: DataFrame, label: str, score: str, buckets: int = 256) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, levels: int = 2) -> DataFrame:
     """One row ``roc_auc``: area under the ROC curve, ties counted as one half.
 
     AUC = sum over positives of (negatives scored lower + half the negatives with
@@ -76,13 +76,14 @@ def roc_auc(df: DataFrame, label: str, score: str, buckets: int = 256) -> DataFr
         F.sum(F.col(label).cast("bigint")).alias("_pos"),
         F.sum((1 - F.col(label).cast("bigint"))).alias("_neg"),
     )
-    b = with_value_buckets(per_score, [], "_s", buckets)
+    b = with_value_buckets(per_score, "_s", levels)
     totals = b.groupBy("_bucket").agg(F.sum("_neg").alias("_bneg"))
     w_tot = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # at most FANOUT ** levels rows: one small task
     offsets = totals.select("_bucket", F.coalesce(F.sum("_bneg").over(w_tot), F.lit(0)).alias("_off"))
     w_in = Window.partitionBy("_bucket").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     ranked = b.withColumn("_below_in", F.coalesce(F.sum("_neg").over(w_in), F.lit(0)))
-    ranked = ranked.join(F.broadcast(offsets), "_bucket", "inner")  # <= `buckets` rows
+    ranked = ranked.join(F.broadcast(offsets), "_bucket", "inner")  # <= FANOUT ** levels rows
     contrib = F.col("_pos").cast("double") * (F.col("_off") + F.col("_below_in") + 0.5 * F.col("_neg"))
     agg = ranked.agg(
         F.sum(contrib).alias("_num"),

@@ -25,69 +25,125 @@ from pyspark.sql import functions as F
 
 from tessera.operators.joins import broadcast_if_small
 
-DEFAULT_BUCKETS = 1024
+FANOUT = 64               # buckets per narrowing level
+FINAL_ROWS = 250_000      # rank directly once every wanted range holds at most this many rows
+MAX_LEVELS = 8
 ROWS_PER_HASH_BUCKET = 50_000
 
 
-def _edges(df: DataFrame, group_cols: list[str], value: str, buckets: int) -> DataFrame:
-    """Approximate quantile edges per group (array of ``buckets - 1`` values)."""
+def _edges(df: DataFrame, keys: list[str], value: str, buckets: int) -> DataFrame:
+    """Approximate quantile edges per key (array of ``buckets - 1`` values)."""
     probs = [i / buckets for i in range(1, buckets)]
-    accuracy = max(10_000, 10 * buckets)
-    agg = F.percentile_approx(value, probs, accuracy).alias("_edges")
-    return df.groupBy(*group_cols).agg(agg) if group_cols else df.agg(agg)
+    return df.groupBy(*keys).agg(F.percentile_approx(value, probs, 10_000).alias("_edges"))
 
 
-def _bucket_of(value: str) -> F.Column:
-    """Number of edges strictly below the value: a monotone bucket id, ties share it."""
-    return F.size(F.filter(F.col("_edges"), lambda e: e < F.col(value))).cast("int")
+def _bucket_expr(value: str, n_edges: int) -> F.Column:
+    """Number of edges strictly below the value, as a balanced decision tree.
 
+    Each row takes log2(n_edges) comparisons against fixed positions of the
+    sorted ``_edges`` array; the expression has O(n_edges) nodes, all in
+    generated code.  Equal values always get the same bucket.
+    """
+    def node(lo: int, hi: int) -> F.Column:
+        if lo >= hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.element_at("_edges", mid + 1) < F.col(value), node(mid + 1, hi)).otherwise(node(lo, mid))
 
-def with_value_buckets(df: DataFrame, group_cols: list[str], value: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Attach ``_bucket`` (quantile bucket of ``value`` within its group)."""
-    edges = _edges(df, group_cols, value, buckets)
-    if group_cols:
-        n_groups = edges.count()
-        joined = df.join(broadcast_if_small(edges, n_groups), group_cols, "inner")
-    else:
-        joined = df.crossJoin(F.broadcast(edges))  # exactly one row of edges
-    return joined.withColumn("_bucket", _bucket_of(value)).drop("_edges")
+    return node(0, n_edges)
+
+
+def _in_range(value: str) -> F.Column:
+    v = F.col(value)
+    return (F.col("_lo").isNull() | (v > F.col("_lo"))) & (F.col("_hi").isNull() | (v <= F.col("_hi")))
 
 
-def exact_median(df: DataFrame, group_cols: list[str], value: str, alias: str = "median",
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def kth_values(vals: DataFrame, group_cols: list[str], value: str, wanted: DataFrame) -> DataFrame:
+    """Exact k-th smallest values: ``wanted`` has ``group_cols + ['_which', '_r']``
+    (0-based rank ``_r`` within the group); returns ``group_cols + ['_which', value]``.
+
+    Iterative narrowing: each wanted rank keeps a value range (_lo, _hi] and its
+    rank inside it.  While a range holds more than FINAL_ROWS rows, its rows are
+    cut into FANOUT quantile buckets, counted (map-side), and the range shrinks
+    to the bucket containing the rank.  Then the remaining rows are collapsed to
+    (value, count) pairs and ranked with a window per wanted rank.  No step
+    gathers a whole group in one task; a single hot value collapses to one row.
+    """
+    keys = [*group_cols, "_which"]
+    state = wanted.select(*keys, "_r", F.lit(None).cast("double").alias("_lo"), F.lit(None).cast("double").alias("_hi"))
+    state = state.checkpoint(eager=True)
+    n_states = state.count()
+    last_size = None
+    for _ in range(MAX_LEVELS):
+        rows = vals.join(broadcast_if_small(state, n_states), group_cols, "inner").filter(_in_range(value))
+        size = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+        if size <= FINAL_ROWS or (last_size is not None and size >= last_size):
+            break
+        last_size = size
+        edges = _edges(rows, keys, value, FANOUT).checkpoint(eager=True)
+        bucketed = rows.drop("_lo", "_hi", "_r").join(broadcast_if_small(edges, n_states), keys, "inner")
+        bucketed = bucketed.withColumn("_b", _bucket_expr(value, FANOUT - 1))
+        counts = bucketed.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+        w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
+        nxt = (
+            counts.join(state, keys, "inner").join(edges, keys, "inner")
+            .filter((F.col("_before") <= F.col("_r")) & (F.col("_r") < F.col("_before") + F.col("_cnt")))
+            .select(
+                *keys,
+                (F.col("_r") - F.col("_before")).alias("_r"),
+                F.when(F.col("_b") >= 1, F.element_at("_edges", F.col("_b").cast("int"))).otherwise(F.col("_lo")).alias("_lo"),
+                F.when(F.col("_b") < FANOUT - 1, F.element_at("_edges", (F.col("_b") + 1).cast("int")))
+                .otherwise(F.col("_hi")).alias("_hi"),
+            )
+        )
+        state = nxt.checkpoint(eager=True)
+    rows = vals.join(broadcast_if_small(state, n_states), group_cols, "inner").filter(_in_range(value))
+    dist = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    wv = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    dist = dist.withColumn("_upto", F.sum("_c").over(wv)).withColumn("_from", F.col("_upto") - F.col("_c"))
+    picked = dist.join(broadcast_if_small(state.select(*keys, "_r"), n_states), keys, "inner").filter(
+        (F.col("_from") <= F.col("_r")) & (F.col("_r") < F.col("_upto"))
+    )
+    return picked.select(*keys, value)
+
+
+def exact_median(df: DataFrame, group_cols: list[str], value: str, alias: str = "median") -> DataFrame:
     """Exact interpolated median of ``value`` per group (NULLs ignored).
 
-    Equals ``percentile(value, 0.5)`` / SQL MEDIAN: with n values sorted, the
-    mean of the values at 0-based ranks floor((n-1)/2) and ceil((n-1)/2).
+    Equals SQL MEDIAN / ``percentile(value, 0.5)``: with n values sorted, the mean
+    of the values at 0-based ranks floor((n-1)/2) and ceil((n-1)/2).
     """
+    gcols = list(group_cols) or ["_all"]
     vals = df.select(*group_cols, value).filter(F.col(value).isNotNull())
-    b = with_value_buckets(vals, group_cols, value, buckets)
-    counts = b.groupBy(*group_cols, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()).orderBy("_bucket")
-    counts = counts.withColumn("_before", F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    counts = counts.withColumn("_before", F.coalesce("_before", F.lit(0)))
-    total = F.sum("_cnt").over(Window.partitionBy(*group_cols) if group_cols else Window.partitionBy())
-    counts = counts.withColumn("_n", total)
-    targets = []
-    for name, rank in (("lo", F.floor((F.col("_n") - 1) / 2)), ("hi", F.ceil((F.col("_n") - 1) / 2))):
-        t = counts.filter((F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_cnt")))
-        targets.append(t.select(*group_cols, "_bucket", (rank - F.col("_before")).alias("_r"), F.lit(name).alias("_which")))
-    targets = targets[0].unionByName(targets[1])
-    # At most two (group, bucket) pairs per group: collapse equal values, then rank.
-    wanted = targets.select(*group_cols, "_bucket").distinct()
-    in_bucket = b.join(F.broadcast(wanted), [*group_cols, "_bucket"], "left_semi")
-    dist = in_bucket.groupBy(*group_cols, "_bucket", value).agg(F.count(F.lit(1)).alias("_c"))
-    wb = Window.partitionBy(*group_cols, "_bucket").orderBy(value)
-    dist = dist.withColumn("_upto", F.sum("_c").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
-    dist = dist.withColumn("_from", F.col("_upto") - F.col("_c"))
-    picked = dist.join(F.broadcast(targets), [*group_cols, "_bucket"], "inner").filter(
-        (F.col("_from") <= F.col("_r")) & (F.col("_r") < F.col("_upto"))
+    if not group_cols:
+        vals = vals.withColumn("_all", F.lit(0))
+    n = vals.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"))
+    wanted = n.select(*gcols, F.lit("lo").alias("_which"), F.floor((F.col("_n") - 1) / 2).alias("_r")).unionByName(
+        n.select(*gcols, F.lit("hi").alias("_which"), F.ceil((F.col("_n") - 1) / 2).alias("_r"))
     )
-    pair = picked.groupBy(*group_cols).agg(
-        F.max(F.when(F.col("_which") == "lo", F.col(value))).alias("_lo"),
-        F.max(F.when(F.col("_which") == "hi", F.col(value))).alias("_hi"),
+    picked = kth_values(vals, gcols, value, wanted)
+    pair = picked.groupBy(*gcols).agg(
+        F.max(F.when(F.col("_which") == "lo", F.col(value))).alias("_lo_v"),
+        F.max(F.when(F.col("_which") == "hi", F.col(value))).alias("_hi_v"),
     )
-    return pair.select(*group_cols, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * 0.5).alias(alias))
+    out = pair.select(*gcols, (F.col("_lo_v") + (F.col("_hi_v") - F.col("_lo_v")) * 0.5).alias(alias))
+    return out.drop("_all") if not group_cols else out
+
+
+def with_value_buckets(df: DataFrame, value: str, levels: int = 2, fanout: int = FANOUT) -> DataFrame:
+    """Attach ``_bucket``: a quantile bucket id of ``value``, monotone in the value.
+
+    Level one cuts the whole range into ``fanout`` quantile buckets; every further
+    level cuts each bucket again by its own quantiles, so ``fanout ** levels``
+    balanced buckets result.  Ties always share a bucket.
+    """
+    out = df.withColumn("_bucket", F.lit(0).cast("bigint"))
+    for _ in range(levels):
+        edges = _edges(out, ["_bucket"], value, fanout).checkpoint(eager=True)
+        out = out.join(broadcast_if_small(edges), "_bucket", "inner")
+        out = out.withColumn("_bucket", F.col("_bucket") * fanout + _bucket_expr(value, fanout - 1)).drop("_edges")
+    return out
 
 
 def _hex_digits(max_rows: int) -> int:
