@@ -62,6 +62,8 @@ def fd_audit(flat: DataFrame) -> DataFrame:
     for table, (key, cols) in STAR_TABLES.items():
         cols = present(flat, cols)
         attrs = [c for c in cols if c != key]
+        if key not in cols or not attrs:
+            continue
         slim = flat.select(*cols).distinct()
         per_key = slim.groupBy(key).agg(
             *[(F.countDistinct(c) > 1).cast("int").alias(c) for c in attrs]
