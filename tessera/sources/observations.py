@@ -167,28 +167,30 @@ def _with_growth(rows: DataFrame) -> DataFrame:
     A plain ``lag`` over ``partitionBy(game_id)`` would put a hot game (one key may
     hold a large share of all rows) into a single task.  Instead:
 
-    1. rows are hash-partitioned by (game_id, obs_date) and the lag runs within
-       each (game, date) cell;
-    2. the last value of every cell is found with a partial aggregate
-       (``max_by`` over the line order), and a lag over those per-cell values
-       (at most one row per calendar day per game) gives each cell's predecessor;
+    1. rows are hash-partitioned by (game_id, obs_date); one window pass per
+       (game, date) cell gives the in-cell predecessor, the row's position and the
+       cell's last value;
+    2. the first row of every cell carries that last value; a lag over those
+       per-cell rows (at most one per calendar day per game) gives each cell's
+       predecessor value;
     3. the first row of a cell takes that predecessor.
+    The repartition exchange is shared by both uses, so the input is shuffled once.
     """
     cell = ["game_id", "obs_date"]
-    order = F.struct(*[F.col(c) for c in LINE_ORDER])
     w_cell = Window.partitionBy(*cell).orderBy(*LINE_ORDER)
+    w_all = w_cell.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     spread = (
         rows.repartition(*cell)
         .withColumn("_prev_in_cell", F.lag("concurrent_players").over(w_cell))
         .withColumn("_pos", F.row_number().over(w_cell))
+        .withColumn("_cell_last", F.last("concurrent_players").over(w_all))
     )
-    cell_last = rows.groupBy(*cell).agg(F.max_by("concurrent_players", order).alias("_cell_last"))
     w_game = Window.partitionBy("game_id").orderBy("obs_date")
-    cell_prev = cell_last.select(*cell, F.lag("_cell_last").over(w_game).alias("_prev_cell"))
+    cell_prev = spread.filter(F.col("_pos") == 1).select(*cell, F.lag("_cell_last").over(w_game).alias("_prev_cell"))
     joined = spread.join(cell_prev, cell, "inner")
     prev = F.when(F.col("_pos") == 1, F.col("_prev_cell")).otherwise(F.col("_prev_in_cell"))
     return joined.withColumn("player_growth_rate", growth_rate(F.col("concurrent_players"), prev)).drop(
-        "_prev_in_cell", "_pos", "_prev_cell"
+        "_prev_in_cell", "_pos", "_prev_cell", "_cell_last"
     )
 
 

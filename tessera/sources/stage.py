@@ -46,8 +46,20 @@ class Stage:
 _STAGES: dict[tuple[str, str], Stage] = {}
 
 
+def _code_version() -> bytes:
+    """Source text of the modules that define the staged tables: a code change
+    gives a new stage folder instead of silently reusing stale tables."""
+    import inspect
+
+    from tessera import schema
+    from tessera.sources import observations as obs_mod
+
+    return b"".join(inspect.getsource(m).encode() for m in (obs_mod, star, schema))
+
+
 def _fingerprint(sf_dir: str) -> str:
     h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    h.update(_code_version())
     for name in SOURCE_TABLES:
         p = os.path.join(sf_dir, f"{name}.parquet")
         try:
