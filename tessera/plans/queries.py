@@ -83,6 +83,7 @@ def deterministic_score() -> F.Column:
 
 @dataclass
 class Prepared:
+    sample_path: str
     split_path: str
     map_path: str
     features_v1: list[str]
@@ -99,22 +100,26 @@ def prepared(spark: SparkSession, sf: str) -> Prepared:
     key = (spark.sparkContext.applicationId, st.root)
     if key in _PREPARED:
         return _PREPARED[key]
-    split_path = f"{st.root}/model_split_{RANDOM_STATE}_{SAMPLE_SIZE}"
-    map_path = f"{st.root}/model_label_map_{RANDOM_STATE}_{SAMPLE_SIZE}"
+    suffix = f"{RANDOM_STATE}_{SAMPLE_SIZE}"
+    sample_path = f"{st.root}/model_sample_{suffix}"
+    split_path = f"{st.root}/model_split_{suffix}"
+    map_path = f"{st.root}/model_label_map_{suffix}"
     try:
-        spark.read.parquet(map_path)
-        spark.read.parquet(split_path)
+        for p in (sample_path, map_path, split_path):
+            spark.read.parquet(p)
     except Exception:  # not written yet
-        sample = sampling.exact_sample(model_frame(spark, sf), SAMPLE_SIZE, RANDOM_STATE)
-        mapping = features.label_map(sample, CAT_COLS)
-        mapping.write.mode("overwrite").parquet(map_path)
+        # Each step reads the previous one back from storage: no step re-derives
+        # the sample, and a lost executor re-reads files instead of recomputing.
+        sampling.exact_sample(model_frame(spark, sf), SAMPLE_SIZE, RANDOM_STATE) \
+            .write.mode("overwrite").parquet(sample_path)
+        sample = spark.read.parquet(sample_path)
+        features.label_map(sample, CAT_COLS).write.mode("overwrite").parquet(map_path)
         mapping = spark.read.parquet(map_path)
         encoded, _ = features.label_encode(sample, CAT_COLS, mapping)
-        split = sampling.stratified_split(encoded, TARGET_COL, seed=RANDOM_STATE)
-        split.write.mode("overwrite").parquet(split_path)
+        sampling.stratified_split(encoded, TARGET_COL, seed=RANDOM_STATE).write.mode("overwrite").parquet(split_path)
     f1 = features.feature_list(MODEL_COLS, DROP_COLS, TARGET_COL, extra_drop=["obs_key"])
     f2 = [c for c in f1 if c != LEAKY_FEATURE]
-    prep = Prepared(split_path, map_path, f1, f2)
+    prep = Prepared(sample_path, split_path, map_path, f1, f2)
     _PREPARED[key] = prep
     return prep
 
@@ -298,8 +303,7 @@ def _sample(spark, sf):
 
 def q_null_counts(spark, sf):
     # Null check of the modelling sample, before encoding (as drawn from the source).
-    sample = sampling.exact_sample(model_frame(spark, sf), SAMPLE_SIZE, RANDOM_STATE)
-    return checks.null_counts(sample)
+    return checks.null_counts(spark.read.parquet(prepared(spark, sf).sample_path))
 
 
 def q_target_distribution(spark, sf):
