@@ -24,6 +24,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import broadcast_if_small
+from tessera.session import work_dir
+
+
+def _checkpoint(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint to the shared folder (small summaries only)."""
+    work_dir(df.sparkSession)  # ensures a checkpoint folder is registered
+    return df.checkpoint(eager=True)
 
 FANOUT = 64               # buckets per narrowing level
 FINAL_ROWS = 250_000      # rank directly once every wanted range holds at most this many rows
@@ -71,7 +78,7 @@ def kth_values(vals: DataFrame, group_cols: list[str], value: str, wanted: DataF
     """
     keys = [*group_cols, "_which"]
     state = wanted.select(*keys, "_r", F.lit(None).cast("double").alias("_lo"), F.lit(None).cast("double").alias("_hi"))
-    state = state.checkpoint(eager=True)
+    state = _checkpoint(state)
     n_states = state.count()
     last_size = None
     for _ in range(MAX_LEVELS):
@@ -80,7 +87,7 @@ def kth_values(vals: DataFrame, group_cols: list[str], value: str, wanted: DataF
         if size <= FINAL_ROWS or (last_size is not None and size >= last_size):
             break
         last_size = size
-        edges = _edges(rows, keys, value, FANOUT).checkpoint(eager=True)
+        edges = _checkpoint(_edges(rows, keys, value, FANOUT))
         bucketed = rows.drop("_lo", "_hi", "_r").join(broadcast_if_small(edges, n_states), keys, "inner")
         bucketed = bucketed.withColumn("_b", _bucket_expr(value, FANOUT - 1))
         counts = bucketed.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -97,7 +104,7 @@ def kth_values(vals: DataFrame, group_cols: list[str], value: str, wanted: DataF
                 .otherwise(F.col("_hi")).alias("_hi"),
             )
         )
-        state = nxt.checkpoint(eager=True)
+        state = _checkpoint(nxt)
     rows = vals.join(broadcast_if_small(state, n_states), group_cols, "inner").filter(_in_range(value))
     dist = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
     wv = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
@@ -140,7 +147,7 @@ def with_value_buckets(df: DataFrame, value: str, levels: int = 2, fanout: int =
     """
     out = df.withColumn("_bucket", F.lit(0).cast("bigint"))
     for _ in range(levels):
-        edges = _edges(out, ["_bucket"], value, fanout).checkpoint(eager=True)
+        edges = _checkpoint(_edges(out, ["_bucket"], value, fanout))
         out = out.join(broadcast_if_small(edges), "_bucket", "inner")
         out = out.withColumn("_bucket", F.col("_bucket") * fanout + _bucket_expr(value, fanout - 1)).drop("_edges")
     return out

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+Every input of this workload is a finished file or table, and no query windows,
+watermarks or keeps state over time, so the library has no streaming operator.
+Batch jobs re-run idempotently: staging writes to a fingerprinted folder and
+marks completion with a manifest written last.
+"""
