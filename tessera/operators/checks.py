@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -137,10 +137,9 @@ def nonfinite_audit(df: DataFrame, columns: list[str]) -> DataFrame:
 def value_distribution(df: DataFrame, col: str, digits: int = 3) -> DataFrame:
     """Relative frequency of each non-NULL value, rounded; most frequent first."""
     counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.filter(F.col(col).isNotNull()).agg(F.count(F.lit(1)).alias("_total"))
-    out = counts.crossJoin(F.broadcast(total)).select(
-        col, round_half_up(F.col("_n") / F.col("_total"), digits).alias("proportion")
-    )
+    # The total is summed over the aggregated rows (one per distinct value).
+    total = F.sum("_n").over(Window.partitionBy())
+    out = counts.select(col, round_half_up(F.col("_n") / total, digits).alias("proportion"))
     return out.orderBy(F.desc("proportion"), F.asc(col))
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +23,10 @@ def label_map(df: DataFrame, cols: list[str]) -> DataFrame:
     The distinct labels of a categorical column are few; ranking them uses a
     window partitioned by column, i.e. one small task per column.
     """
-    parts = [df.select(F.lit(c).alias("column_name"), as_label_text(c).alias("label")).distinct() for c in cols]
-    labels = reduce(DataFrame.unionByName, parts)
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), as_label_text(c).alias("label"))
+                                 for c in cols]))
+    # One scan: every row emits (column, label) pairs, collapsed map-side by distinct.
+    labels = df.select(pairs.alias("p")).select("p.column_name", "p.label").distinct()
     w = Window.partitionBy("column_name").orderBy("label")
     return labels.withColumn("code", (F.dense_rank().over(w) - 1).cast("int"))
 

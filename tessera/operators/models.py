@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -84,10 +84,9 @@ def importance_frame(spark: SparkSession, fitted: FittedModel) -> DataFrame:
 
 def leak_flag(importances: DataFrame, share: float = LEAK_SHARE) -> DataFrame:
     """Features whose importance share reaches ``share`` — a red flag for target leakage."""
-    total = importances.agg(F.sum("importance").alias("_t"))
+    total = F.sum("importance").over(Window.partitionBy())  # one row per feature
     return (
-        importances.crossJoin(F.broadcast(total))
-        .select("feature", "importance", (F.col("importance") / F.col("_t")).alias("share"))
+        importances.select("feature", "importance", (F.col("importance") / total).alias("share"))
         .withColumn("leak_suspect", F.col("share") >= share)
         .orderBy(F.desc("share"))
     )
@@ -102,8 +101,9 @@ def evaluate(fitted: FittedModel) -> DataFrame:
         F.col("precision").alias("precision_pos"), F.col("recall").alias("recall_pos"), F.col("f1_score").alias("f1_pos")
     )
     acc = rep.filter(F.col("label") == "accuracy").select(F.col("f1_score").alias("accuracy"))
+    one = F.lit(1).alias("_k")
     return (
-        auc.crossJoin(acc).crossJoin(pos)
+        auc.select("*", one).join(acc.select("*", one), "_k").join(pos.select("*", one), "_k")
         .select(F.lit(fitted.name).alias("model"), F.lit(len(fitted.features)).alias("n_features"),
                 "roc_auc", "accuracy", "precision_pos", "recall_pos", "f1_pos")
     )

@@ -140,3 +140,14 @@ def star_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Expose the staged tables as temp views (dim_games, dim_platform, dim_time,
+    fact_weekly_metrics, observations) so SQL written against the star schema
+    runs unchanged through ``spark.sql``."""
+    st = stage(spark, sf_dir)
+    names = ["observations", *STAR_TABLE_ORDER]
+    for name in names:
+        spark.read.parquet(st.path(name)).createOrReplaceTempView(name)
+    return names
