@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.categorical import launch_phase
 from tessera.functions.numeric import growth_rate, round_half_up
-from tessera.operators.joins import broadcast_if_small
+from tessera.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
 
 # Fixed values of the recast.
 AAA_BRANDS = ["Brand#1", "Brand#2", "Brand#3"]
@@ -161,7 +161,7 @@ def _platforms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _with_growth(rows: DataFrame) -> DataFrame:
+def _with_growth(rows: DataFrame, partitioned: bool = False) -> DataFrame:
     """player_growth_rate = change of concurrent_players vs the game's previous observation.
 
     A plain ``lag`` over ``partitionBy(game_id)`` would put a hot game (one key may
@@ -175,12 +175,14 @@ def _with_growth(rows: DataFrame) -> DataFrame:
        predecessor value;
     3. the first row of a cell takes that predecessor.
     The repartition exchange is shared by both uses, so the input is shuffled once.
+    ``partitioned=True`` means the rows already arrive hash-partitioned by
+    (game_id, obs_date) and no further exchange is added.
     """
     cell = ["game_id", "obs_date"]
     w_cell = Window.partitionBy(*cell).orderBy(*LINE_ORDER)
     w_all = w_cell.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     spread = (
-        rows.repartition(*cell)
+        (rows if partitioned else rows.repartition(*cell))
         .withColumn("_prev_in_cell", F.lag("concurrent_players").over(w_cell))
         .withColumn("_pos", F.row_number().over(w_cell))
         .withColumn("_cell_last", F.last("concurrent_players").over(w_all))
@@ -200,6 +202,13 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     games = _games(spark, sf_dir, li)
     part_rows = read_table(spark, sf_dir, "part").count()
     supplier_rows = read_table(spark, sf_dir, "supplier").count()
+    # When both attribute sides are broadcast, the only shuffle of the line rows is
+    # the (game, date) partitioning the growth window needs.  Do it right after the
+    # scan: the narrow raw line columns move instead of the wide joined rows, and
+    # joins, key hashing and projections run in parallel on the partitioned data.
+    early = part_rows <= MAX_BROADCAST_ROWS and supplier_rows <= MAX_BROADCAST_ROWS
+    if early:
+        li = li.repartition("l_partkey", "obs_date")
     rows = li.join(broadcast_if_small(games, part_rows), li.l_partkey == games.game_id, "inner")
     rows = rows.join(broadcast_if_small(_platforms(spark, sf_dir), supplier_rows),
                      rows.l_suppkey == F.col("s_suppkey"), "inner")
@@ -214,7 +223,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.select(
         *LINE_ORDER,
         observation_key(cols).alias("obs_key"),
-        "game_id",
+        F.col("l_partkey").alias("game_id"),  # line-side key: keeps the line partitioning
         "platform_code",
         "obs_date",
         "game_name",
@@ -256,4 +265,4 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
             | ((F.col("is_aaa") == 0) & (F.col("l_tax") >= 0.08) & (players >= 40))
         ).cast("int").alias("target_breakout_hit"),
     )
-    return _with_growth(rows).select(*FLAT_COLS)
+    return _with_growth(rows, partitioned=early).select(*FLAT_COLS)
