@@ -97,7 +97,9 @@ def build_stage(spark: SparkSession, sf_dir: str, root: str) -> Stage:
     # obs_date then prune date filters; the column is not used as a directory
     # partition (thousands of tiny folders).
     fact = star.fact_weekly_metrics(flat)
-    n_parts = max(1, counts["observations"] // ROWS_PER_FILE + 1)
+    # At least one file per core so scans start fully parallel; at scale the
+    # rows-per-file rule dominates.
+    n_parts = max(spark.sparkContext.defaultParallelism, counts["observations"] // ROWS_PER_FILE + 1)
     fact = fact.repartitionByRange(n_parts, "obs_date").sortWithinPartitions("obs_date", "game_id")
     counts["fact_weekly_metrics"] = _write(fact, f"{root}/fact_weekly_metrics")
     manifest = spark.createDataFrame(
