@@ -146,6 +146,9 @@ def fitted(spark: SparkSession, sf: str, name: str) -> models.FittedModel:
         return _FITTED[key]
     prep = prepared(spark, sf)
     train, test = _train_test(spark, sf)
+    # The training sample is bounded (SAMPLE_SIZE rows): spreading it over every
+    # core before caching makes each boosting iteration a fully parallel job.
+    train = train.repartition(spark.sparkContext.defaultParallelism)
     w = _weights(spark, sf)
     if name == "logistic_regression":
         tr = models.persist(features.with_weight(train, TARGET_COL, w, "balanced"))
