@@ -76,6 +76,8 @@ def kth_values(vals: DataFrame, group_cols: list[str], value: str, wanted: DataF
     (value, count) pairs and ranked with a window per wanted rank.  No step
     gathers a whole group in one task; a single hot value collapses to one row.
     """
+    if not group_cols:
+        return _kth_values_global(vals, value, wanted)
     keys = [*group_cols, "_which"]
     state = wanted.select(*keys, "_r", F.lit(None).cast("double").alias("_lo"), F.lit(None).cast("double").alias("_hi"))
     state = _checkpoint(state)
@@ -121,10 +123,8 @@ def exact_median(df: DataFrame, group_cols: list[str], value: str, alias: str =
     Equals SQL MEDIAN / ``percentile(value, 0.5)``: with n values sorted, the mean
     of the values at 0-based ranks floor((n-1)/2) and ceil((n-1)/2).
     """
-    gcols = list(group_cols) or ["_all"]
+    gcols = list(group_cols)
     vals = df.select(*group_cols, value).filter(F.col(value).isNotNull())
-    if not group_cols:
-        vals = vals.withColumn("_all", F.lit(0))
     n = vals.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"))
     wanted = n.select(*gcols, F.lit("lo").alias("_which"), F.floor((F.col("_n") - 1) / 2).alias("_r")).unionByName(
         n.select(*gcols, F.lit("hi").alias("_which"), F.ceil((F.col("_n") - 1) / 2).alias("_r"))
@@ -134,19 +134,23 @@ def exact_median(df: DataFrame, group_cols: list[str], value: str, alias: str =
         F.max(F.when(F.col("_which") == "lo", F.col(value))).alias("_lo_v"),
         F.max(F.when(F.col("_which") == "hi", F.col(value))).alias("_hi_v"),
     )
-    out = pair.select(*gcols, (F.col("_lo_v") + (F.col("_hi_v") - F.col("_lo_v")) * 0.5).alias(alias))
-    return out.drop("_all") if not group_cols else out
+    return pair.select(*gcols, (F.col("_lo_v") + (F.col("_hi_v") - F.col("_lo_v")) * 0.5).alias(alias))
 
 
 def with_value_buckets(df: DataFrame, value: str, levels: int = 2, fanout: int = FANOUT) -> DataFrame:
     """Attach ``_bucket``: a quantile bucket id of ``value``, monotone in the value.
 
-    Level one cuts the whole range into ``fanout`` quantile buckets; every further
-    level cuts each bucket again by its own quantiles, so ``fanout ** levels``
-    balanced buckets result.  Ties always share a bucket.
+    Level one cuts the whole range into ``fanout`` quantile buckets (its
+    ``fanout - 1`` edges are a one-row summary, inlined as a literal array);
+    every further level cuts each bucket again by its own quantiles (a table of
+    at most ``fanout ** level`` rows, broadcast on the bucket id), so
+    ``fanout ** levels`` balanced buckets result.  Ties always share a bucket.
     """
-    out = df.withColumn("_bucket", F.lit(0).cast("bigint"))
-    for _ in range(levels):
+    probs = [i / fanout for i in range(1, fanout)]
+    top = df.agg(F.percentile_approx(value, probs, 10_000).alias("_e")).first()["_e"] or []
+    out = df.withColumn("_edges", F.array(*[F.lit(float(e)) for e in top]).cast("array<double>"))
+    out = out.withColumn("_bucket", _bucket_expr(value, len(top)).cast("bigint")).drop("_edges")
+    for _ in range(levels - 1):
         edges = _checkpoint(_edges(out, ["_bucket"], value, fanout))
         out = out.join(broadcast_if_small(edges), "_bucket", "inner")
         out = out.withColumn("_bucket", F.col("_bucket") * fanout + _bucket_expr(value, fanout - 1)).drop("_edges")
@@ -170,11 +174,8 @@ def hash_rank_flag(df: DataFrame, key: str, strata: list[str], quota: DataFrame,
     boundary is ranked with a window; the rest is decided by bucket id alone.
     """
     if not strata:
-        df = df.withColumn("_all", F.lit(0))
-        quota = quota.withColumn("_all", F.lit(0))
-        strata_ = ["_all"]
-    else:
-        strata_ = list(strata)
+        return _hash_rank_flag_global(df, key, quota, flag)
+    strata_ = list(strata)
     sizes = df.groupBy(*strata_).agg(F.count(F.lit(1)).alias("_n"))
     size_rows = sizes.collect()  # one row per stratum
     max_rows = max([r["_n"] for r in size_rows], default=0)
@@ -199,5 +200,87 @@ def hash_rank_flag(df: DataFrame, key: str, strata: list[str], quota: DataFrame,
     )
     edge = marked.filter(F.col("_hb") == F.col("_bhb"))
     edge = edge.withColumn(flag, F.row_number().over(Window.partitionBy(*strata_, "_hb").orderBy(key)) <= F.col("_m"))
-    cols = [c for c in df.columns if c != "_all"] + [flag]
+    cols = [*df.columns, flag]
     return decided.select(*cols).unionByName(edge.select(*cols))
+
+
+def _hash_rank_flag_global(df: DataFrame, key: str, quota: DataFrame, flag: str) -> DataFrame:
+    """:func:`hash_rank_flag` without strata: the boundary is one row, applied as literals."""
+    n = df.count()
+    q = min(int(quota.first()["_quota"]), n)
+    k = _hex_digits(n)
+    keyed = df.withColumn("_hb", F.conv(F.substring(F.col(key), 1, k), 16, 10).cast("bigint"))
+    if q <= 0:
+        return df.withColumn(flag, F.lit(False))
+    counts = keyed.groupBy("_hb").agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)  # <= 16**5 bucket rows
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
+    b = counts.filter((F.col("_before") < q) & (F.lit(q) <= F.col("_before") + F.col("_cnt"))).first()
+    bhb, m = int(b["_hb"]), q - int(b["_before"])
+    decided = keyed.filter(F.col("_hb") != bhb).withColumn(flag, F.col("_hb") < bhb)
+    edge = keyed.filter(F.col("_hb") == bhb)
+    edge = edge.withColumn(flag, F.row_number().over(Window.partitionBy("_hb").orderBy(key)) <= m)
+    cols = [*df.columns, flag]
+    return decided.select(*cols).unionByName(edge.select(*cols))
+
+
+def _kth_values_global(vals: DataFrame, value: str, wanted: DataFrame) -> DataFrame:
+    """:func:`kth_values` without groups.
+
+    The wanted ranks (a handful) and each level's summaries (fanout-1 edges and
+    fanout bucket counts per rank) are tiny driver-side values applied as
+    literals, so rows are never joined against a constant key.
+    """
+    states = [{"which": r["_which"], "r": int(r["_r"]), "lo": None, "hi": None} for r in wanted.collect()]
+    if not states:
+        return vals.sparkSession.createDataFrame([], f"_which string, {value} double")
+
+    def in_state(st: dict) -> F.Column:
+        v = F.col(value)
+        cond = F.lit(True)
+        if st["lo"] is not None:
+            cond = cond & (v > F.lit(st["lo"]))
+        if st["hi"] is not None:
+            cond = cond & (v <= F.lit(st["hi"]))
+        return cond
+
+    probs = [i / FANOUT for i in range(1, FANOUT)]
+    last = None
+    for _ in range(MAX_LEVELS):
+        sizes = [vals.filter(in_state(st)).count() for st in states]
+        if max(sizes) <= FINAL_ROWS or (last is not None and max(sizes) >= last):
+            break
+        last = max(sizes)
+        nxt = []
+        for st in states:
+            part = vals.filter(in_state(st))
+            edges = [float(e) for e in part.agg(F.percentile_approx(value, probs, 10_000)).first()[0]]
+            bucket = _bucket_expr(value, len(edges))
+            counts = sorted(
+                (int(r["b"]), int(r["n"]))
+                for r in part.withColumn("_edges", F.array(*[F.lit(e) for e in edges]).cast("array<double>"))
+                .groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+            )
+            before = 0
+            for b, n in counts:
+                if before <= st["r"] < before + n:
+                    nxt.append({
+                        "which": st["which"],
+                        "r": st["r"] - before,
+                        "lo": edges[b - 1] if b >= 1 else st["lo"],
+                        "hi": edges[b] if b < len(edges) else st["hi"],
+                    })
+                    break
+                before += n
+        states = nxt
+    parts = []
+    for st in states:
+        dist = vals.filter(in_state(st)).groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
+        w = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)  # <= FINAL_ROWS distinct values
+        dist = dist.withColumn("_upto", F.sum("_c").over(w)).withColumn("_from", F.col("_upto") - F.col("_c"))
+        hit = dist.filter((F.col("_from") <= st["r"]) & (F.lit(st["r"]) < F.col("_upto")))
+        parts.append(hit.select(F.lit(st["which"]).alias("_which"), value))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
