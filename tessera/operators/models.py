@@ -45,16 +45,17 @@ def _predict(model, test: DataFrame, key: str, target: str) -> DataFrame:
 
 
 def fit_logistic(train: DataFrame, test: DataFrame, features: list[str], target: str, weight: str,
-                 key: str = "obs_key", max_iter: int = LR_MAX_ITER, c: float = 1.0) -> FittedModel:
+                 key: str = "obs_key", max_iter: int = LR_MAX_ITER, c: float = 1.0, tol: float = 1e-4) -> FittedModel:
     """L2 logistic regression on raw (unstandardised) features.
 
     The per-sample-summed objective ``0.5*||w||^2 + C * sum_i w_i * loss_i`` equals
     MLlib's mean-weighted objective with ``regParam = 1 / (C * sum_i w_i)``.
+    ``tol`` defaults to 1e-4, the usual default of single-machine solvers.
     """
     total_weight = train.agg(F.sum(weight)).first()[0]
     lr = LogisticRegression(featuresCol="features", labelCol=target, weightCol=weight, maxIter=max_iter,
                             regParam=1.0 / (c * total_weight), elasticNetParam=0.0, standardization=False,
-                            family="binomial")
+                            family="binomial", tol=tol)
     model = lr.fit(_assemble(train, features))
     preds = _predict(model, _assemble(test, features), key, target)
     coefs = model.coefficients.toArray().tolist()

@@ -20,6 +20,27 @@ DEFAULT_CONF = {
 }
 
 
+# Opt-in settings for a large cluster (hundreds of TB, ~1000 executors).  Shuffle
+# partitions are set high and AQE coalesces them to ~256 MB each from measured
+# sizes; scans split files into 256 MB pieces; skewed join partitions (5x the
+# median and > 512 MB) are split at runtime.
+SCALE_CONF = {
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
+def apply_scale_conf(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Apply :data:`SCALE_CONF` (plus ``overrides``) to a running session."""
+    for key, value in {**SCALE_CONF, **(overrides or {})}.items():
+        spark.conf.set(key, value)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tessera") -> SparkSession:
     """Local session for tests and the benchmark (single JVM)."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
