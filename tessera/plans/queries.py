@@ -424,16 +424,29 @@ def q_source_width(spark, sf):
     return files.width(spark, observations(spark, sf))
 
 
-def q_csv_round_trip(spark, sf):
-    """Write the flat source as CSV (inf/NaN as text) and read it back with its schema."""
+def observations_csv(spark, sf) -> str:
+    """Path of the flat source written as CSV (inf/NaN as text), written on first use."""
     src = observations(spark, sf)
     path = f"{stage.stage(spark, sf).root}/observations_csv"
     try:
-        back = files.read_csv(spark, path, src.schema)
-        back.limit(1).count()
-    except Exception:
+        files.read_csv(spark, path, src.schema).limit(1).count()
+    except Exception:  # not written yet
         files.write_csv(src, path)
-    return files.read_csv(spark, path, src.schema)
+    return path
+
+
+def q_csv_round_trip(spark, sf):
+    """The flat source written as CSV and read back with its declared schema."""
+    return files.read_csv(spark, observations_csv(spark, sf), observations(spark, sf).schema)
+
+
+CSV_SAMPLING_RATIO = 0.1
+
+
+def q_describe_csv_source(spark, sf):
+    """Column names and types of the CSV source as inferred from a 10% row sample."""
+    inferred = files.read_csv(spark, observations_csv(spark, sf), sampling_ratio=CSV_SAMPLING_RATIO)
+    return files.describe(spark, inferred)
 
 
 def q_file_inventory(spark, sf):

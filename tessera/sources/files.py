@@ -19,11 +19,16 @@ CSV_OPTIONS = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Read CSV with a header.  Pass ``schema`` for production reads; without it the
-    types are inferred, which costs a full extra pass over the input."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+             sampling_ratio: float = 1.0) -> DataFrame:
+    """Read CSV with a header.  Pass ``schema`` for production reads.  Without it the
+    types are inferred from a ``sampling_ratio`` fraction of the rows (an extra
+    pass over that sample): use it for discovery only."""
     reader = spark.read.options(**CSV_OPTIONS)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
+    if schema is not None:
+        reader = reader.schema(schema)
+    else:
+        reader = reader.option("inferSchema", "true").option("samplingRatio", str(sampling_ratio))
     return reader.csv(path)
 
 
