@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import ratio, round_half_up
-from tessera.operators.ordered import with_value_buckets
+from tessera.operators.ordered import FANOUT, FINAL_ROWS, with_value_buckets
 from tessera.schema import TARGET_NAMES
 
 REPORT_DIGITS = 4
@@ -61,29 +63,37 @@ def classification_report(df: DataFrame, label: str, prediction: str,
     return c.select(F.explode(F.array(*structs)).alias("r")).select("r.*").orderBy("row_order").drop("row_order")
 
 
-def roc_auc(df: DataFrame, label: str, score: str, levels: int = 2) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, levels: int | None = None) -> DataFrame:
     """One row ``roc_auc``: area under the ROC curve, ties counted as one half.
 
     AUC = sum over positives of (negatives scored lower + half the negatives with
     the same score) / (P * N).  Rows are first collapsed to distinct scores with
     positive/negative counts (a partial aggregate, so repeated scores never pile
-    up).  The "negatives scored lower" prefix sum is then split: quantile buckets
-    of the score, exclusive prefix sums over per-bucket totals (a tiny table), and
-    a running sum within each bucket — no window over the whole score order.
-    NULL when either class is absent.
+    up).  The "negatives scored lower" prefix sum needs the score order: up to
+    FINAL_ROWS distinct scores it is one window (a bounded task); above that the
+    order is split into FANOUT ** levels quantile buckets, with exclusive prefix
+    sums over per-bucket totals (a small broadcast table) plus a running sum inside
+    each bucket.  NULL when either class is absent.
     """
     per_score = df.groupBy(F.col(score).alias("_s")).agg(
         F.sum(F.col(label).cast("bigint")).alias("_pos"),
         F.sum((1 - F.col(label).cast("bigint"))).alias("_neg"),
     )
-    b = with_value_buckets(per_score, "_s", levels)
-    totals = b.groupBy("_bucket").agg(F.sum("_neg").alias("_bneg"))
-    w_tot = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # at most FANOUT ** levels rows: one small task
-    offsets = totals.select("_bucket", F.coalesce(F.sum("_bneg").over(w_tot), F.lit(0)).alias("_off"))
-    w_in = Window.partitionBy("_bucket").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = b.withColumn("_below_in", F.coalesce(F.sum("_neg").over(w_in), F.lit(0)))
-    ranked = ranked.join(F.broadcast(offsets), "_bucket", "inner")  # <= FANOUT ** levels rows
+    if levels is None:
+        n = per_score.count()
+        levels = 0 if n <= FINAL_ROWS else max(1, math.ceil(math.log(n / FINAL_ROWS, FANOUT)))
+    if levels == 0:
+        w = Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)  # <= FINAL_ROWS rows
+        ranked = per_score.withColumn("_off", F.lit(0)).withColumn("_below_in", F.coalesce(F.sum("_neg").over(w), F.lit(0)))
+    else:
+        b = with_value_buckets(per_score, "_s", levels)
+        totals = b.groupBy("_bucket").agg(F.sum("_neg").alias("_bneg"))
+        w_tot = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        # at most FANOUT ** levels rows: one small task
+        offsets = totals.select("_bucket", F.coalesce(F.sum("_bneg").over(w_tot), F.lit(0)).alias("_off"))
+        w_in = Window.partitionBy("_bucket").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = b.withColumn("_below_in", F.coalesce(F.sum("_neg").over(w_in), F.lit(0)))
+        ranked = ranked.join(F.broadcast(offsets), "_bucket", "inner")  # <= FANOUT ** levels rows
     contrib = F.col("_pos").cast("double") * (F.col("_off") + F.col("_below_in") + 0.5 * F.col("_neg"))
     agg = ranked.agg(
         F.sum(contrib).alias("_num"),

@@ -65,8 +65,9 @@ def fd_audit(flat: DataFrame) -> DataFrame:
         if key not in cols or not attrs:
             continue
         slim = flat.select(*cols).distinct()
+        # More than one distinct non-NULL value <=> min <> max (no distinct-aggregate expansion).
         per_key = slim.groupBy(key).agg(
-            *[(F.countDistinct(c) > 1).cast("int").alias(c) for c in attrs]
+            *[F.coalesce(F.min(c) != F.max(c), F.lit(False)).cast("int").alias(c) for c in attrs]
         )
         sums = per_key.agg(*[F.sum(c).cast("bigint").alias(c) for c in attrs])
         stacked = sums.select(

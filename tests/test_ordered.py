@@ -69,7 +69,9 @@ def test_roc_auc_cases(spark):
     rnd = random.Random(3)
     rows = [(round(rnd.random(), 2), rnd.randint(0, 1)) for _ in range(600)]
     df = spark.createDataFrame(rows, "s double, y int")
-    assert metrics.roc_auc(df, "y", "s").first()[0] == pytest.approx(_brute_auc(rows), rel=1e-12)
+    want = _brute_auc(rows)
+    for levels in (None, 0, 1, 2):
+        assert metrics.roc_auc(df, "y", "s", levels=levels).first()[0] == pytest.approx(want, rel=1e-12), levels
     same = spark.createDataFrame([(0.3, 0), (0.3, 1), (0.3, 1)], "s double, y int")
     assert metrics.roc_auc(same, "y", "s").first()[0] == 0.5
     perfect = spark.createDataFrame([(0.1, 0), (0.2, 0), (0.9, 1)], "s double, y int")
