@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.numeric import POS_INF, NEG_INF, round_half_up
-from tessera.schema import EXPECTED_MIN_ROWS, STAR_TABLE_ORDER
+from tessera.schema import EXPECTED_MIN_ROWS
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -153,5 +153,3 @@ def frame_shape(frames: dict[str, DataFrame]) -> DataFrame:
     ]
     return reduce(DataFrame.unionByName, parts)
 
-
-STAR_NAMES = STAR_TABLE_ORDER

@@ -96,6 +96,11 @@ _FITTED: dict[tuple, models.FittedModel] = {}
 
 def prepared(spark: SparkSession, sf: str) -> Prepared:
     """Sample -> label-encode (fitted on the whole sample) -> stratified split, written once."""
+    with stage.BUILD_LOCK:
+        return _prepared(spark, sf)
+
+
+def _prepared(spark: SparkSession, sf: str) -> Prepared:
     st = stage.stage(spark, sf)
     key = (spark.sparkContext.applicationId, st.root)
     if key in _PREPARED:
@@ -140,6 +145,11 @@ def _weights(spark, sf) -> dict:
 
 def fitted(spark: SparkSession, sf: str, name: str) -> models.FittedModel:
     """Fit (once per session and stage) one of: logistic_regression, gbt_v1, gbt_v2."""
+    with stage.BUILD_LOCK:
+        return _fitted(spark, sf, name)
+
+
+def _fitted(spark: SparkSession, sf: str, name: str) -> models.FittedModel:
     st = stage.stage(spark, sf)
     key = (spark.sparkContext.applicationId, st.root, name)
     if key in _FITTED:

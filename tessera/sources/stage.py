@@ -17,10 +17,10 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tessera.operators import star
@@ -44,6 +44,9 @@ class Stage:
 
 
 _STAGES: dict[tuple[str, str], Stage] = {}
+# Serialises first builds: concurrent callers wait for one build instead of
+# writing the same folders at once.
+BUILD_LOCK = threading.RLock()
 
 
 def _code_version() -> bytes:
@@ -115,10 +118,11 @@ def stage(spark: SparkSession, sf_dir: str) -> Stage:
     key = (spark.sparkContext.applicationId, root)
     if key in _STAGES:
         return _STAGES[key]
-    counts = _read_manifest(spark, root)
-    st = Stage(root, counts) if counts else build_stage(spark, sf_dir, root)
-    _STAGES[key] = st
-    return st
+    with BUILD_LOCK:
+        if key not in _STAGES:
+            counts = _read_manifest(spark, root)
+            _STAGES[key] = Stage(root, counts) if counts else build_stage(spark, sf_dir, root)
+    return _STAGES[key]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -130,20 +134,6 @@ def table_rows(spark: SparkSession, sf_dir: str, name: str) -> int:
     return stage(spark, sf_dir).counts[name]
 
 
-def star_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(table_name, row_count) of the four star tables, counted from the stored files."""
-    st = stage(spark, sf_dir)
-    parts = [
-        spark.read.parquet(st.path(name)).agg(F.count(F.lit(1)).cast("bigint").alias("row_count"))
-        .select(F.lit(name).alias("table_name"), "row_count")
-        for name in STAR_TABLE_ORDER
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
     """Expose the staged tables as temp views (dim_games, dim_platform, dim_time,
     fact_weekly_metrics, observations) so SQL written against the star schema

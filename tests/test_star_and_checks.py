@@ -1,7 +1,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.operators import checks, features, reports, star
 from tessera.sources import files
