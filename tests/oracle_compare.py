@@ -61,16 +61,24 @@ def canon(columns, rows):
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date",
+              "BOOLEAN": "boolean"}
+
+
 def compare(spark, sf_dir: str, name: str, fn, sql: str, con=None) -> tuple[bool, str]:
     con = con or duck(sf_dir)
     df = fn(spark, sf_dir)
     s_cols = df.columns
+    s_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     s_rows = [tuple(r) for r in df.collect()]
-    res = con.execute(sql)
-    o_cols = [d[0] for d in res.description]
-    o_rows = res.fetchall()
+    rel = con.sql(sql)
+    o_types = {c: DUCK_TYPES.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    o_cols = list(rel.columns)
+    o_rows = rel.fetchall()
     if sorted(s_cols) != sorted(o_cols):
         return False, f"columns differ: spark={s_cols} oracle={o_cols}"
+    if s_types != o_types:
+        return False, f"types differ: {[(c, s_types[c], o_types[c]) for c in s_cols if s_types[c] != o_types[c]]}"
     if len(s_rows) != len(o_rows):
         return False, f"row count spark={len(s_rows)} oracle={len(o_rows)}"
     a, b = canon(s_cols, s_rows), canon(o_cols, o_rows)
