@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tessera.schema import DISCOUNT_BUCKETS, PHASE_ORDER
+from tessera.schema import DISCOUNT_BUCKETS, PHASE_DAY_LIMITS, PHASE_ORDER
 
 
 def discount_bucket(col: Column | str = "discount_pct") -> Column:
@@ -27,15 +27,11 @@ def phase_rank(col: Column | str = "launch_phase") -> Column:
 
 
 def launch_phase(days: Column) -> Column:
-    """Lifecycle phase from days since release (thresholds 7/28/91/365/730 days)."""
-    return (
-        F.when(days < 7, F.lit("launch_week"))
-        .when(days < 28, F.lit("launch_month"))
-        .when(days < 91, F.lit("launch_quarter"))
-        .when(days < 365, F.lit("first_year"))
-        .when(days < 730, F.lit("second_year"))
-        .otherwise(F.lit("long_tail"))
-    )
+    """Lifecycle phase from days since release (limits in ``PHASE_DAY_LIMITS``)."""
+    expr = F.when(days < PHASE_DAY_LIMITS[0], F.lit(PHASE_ORDER[0]))
+    for limit, phase in zip(PHASE_DAY_LIMITS[1:], PHASE_ORDER[1:]):
+        expr = expr.when(days < limit, F.lit(phase))
+    return expr.otherwise(F.lit(PHASE_ORDER[-1]))
 
 
 def as_label_text(col: Column | str) -> Column:

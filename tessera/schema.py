@@ -23,6 +23,9 @@ PHASE_ORDER = [
     "long_tail",
 ]
 
+# Upper bounds (exclusive, days since release) of the first five phases; later is long_tail.
+PHASE_DAY_LIMITS = [7, 28, 91, 365, 730]
+
 # Discount buckets: label and half-open range [low, high) on discount_pct.
 # '0% (no discount)' is the exact-zero case; everything not caught by the
 # first five branches (incl. NULL and negative values) falls to '75%+'.
