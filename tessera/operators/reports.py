@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from tessera.functions.categorical import discount_bucket, phase_rank
 from tessera.functions.numeric import finite_or_null, round_half_up, round_plain
-from tessera.operators.joins import broadcast_if_small
+from tessera.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
 from tessera.operators.ordered import exact_median
+from tessera.session import work_dir
 
 
 def _sum_count(col: str, name: str | None = None, value: Column | None = None) -> list[Column]:
@@ -48,6 +49,12 @@ def genre_revenue(fact: DataFrame, games: DataFrame, games_rows: int | None = No
         F.count(F.lit(1)).alias("game_count"), *_resum("rev"), *_resum("players")
     )
     rows = fact.select("game_id", "estimated_revenue_usd").join(genres, "game_id", "inner")
+    if games_rows is None or games_rows > MAX_BROADCAST_ROWS:
+        # Shuffle join: the median scans its input once per narrowing level, so the
+        # narrow (genre, revenue) rows are written once to the shared checkpoint
+        # folder instead of repeating the join on every pass.
+        work_dir(rows.sparkSession)
+        rows = rows.checkpoint(eager=True)
     med = exact_median(rows, ["genre"], "estimated_revenue_usd", alias="_median")
     # At most one median row per genre, and genres <= games: a proven bound.
     out = by_genre.join(broadcast_if_small(med, games_rows), "genre", "left").select(

@@ -30,3 +30,11 @@ def test_views_run_star_sql(spark, sf_small):
         assert via_sql[g]["game_count"] == r["game_count"]
         assert via_sql[g]["avg_weekly_revenue"] == pytest.approx(r["avg_weekly_revenue"], abs=0.011)
         assert via_sql[g]["median_weekly_revenue"] == pytest.approx(r["median_weekly_revenue"], abs=0.011)
+
+
+def test_genre_report_same_on_shuffle_join_path(spark, sf_small):
+    from tessera.operators import reports
+
+    small = {r["genre"]: tuple(r) for r in Q.q_genre_revenue(spark, sf_small).collect()}
+    big = reports.genre_revenue(Q.fact(spark, sf_small), Q.dim_games(spark, sf_small), games_rows=10**9)
+    assert {r["genre"]: tuple(r) for r in big.collect()} == small
