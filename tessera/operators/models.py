@@ -28,6 +28,7 @@ class FittedModel:
     features: list[str]
     predictions: DataFrame  # test rows: key, label, prediction, probability
     importances: list[tuple[str, float]] = field(default_factory=list)
+    model: object | None = None  # the fitted pyspark.ml model (absent when loaded from storage)
 
 
 def _assemble(df: DataFrame, features: list[str]) -> DataFrame:
@@ -59,7 +60,7 @@ def fit_logistic(train: DataFrame, test: DataFrame, features: list[str], target:
     model = lr.fit(_assemble(train, features))
     preds = _predict(model, _assemble(test, features), key, target)
     coefs = model.coefficients.toArray().tolist()
-    return FittedModel("logistic_regression", features, preds, list(zip(features, [abs(x) for x in coefs])))
+    return FittedModel("logistic_regression", features, preds, list(zip(features, [abs(x) for x in coefs])), model)
 
 
 def fit_boosted_trees(name: str, train: DataFrame, test: DataFrame, features: list[str], target: str, weight: str,
@@ -73,7 +74,7 @@ def fit_boosted_trees(name: str, train: DataFrame, test: DataFrame, features: li
     model = gbt.fit(_assemble(train, features))
     preds = _predict(model, _assemble(test, features), key, target)
     imp = model.featureImportances.toArray().tolist()
-    return FittedModel(name, features, preds, list(zip(features, imp)))
+    return FittedModel(name, features, preds, list(zip(features, imp)), model)
 
 
 def importance_frame(spark: SparkSession, fitted: FittedModel) -> DataFrame:
@@ -113,3 +114,27 @@ def evaluate(fitted: FittedModel) -> DataFrame:
 def persist(df: DataFrame) -> DataFrame:
     """Cache training input across the iterations of a fit (recomputed from lineage if lost)."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def save(spark: SparkSession, fitted: FittedModel, root: str) -> FittedModel:
+    """Write a fitted model's outputs under ``root``: scored test rows, importances
+    (in feature order) and the pyspark.ml model; ``_importances`` is written last
+    and marks the folder complete.  Returns the model reading its predictions back."""
+    fitted.predictions.write.mode("overwrite").parquet(f"{root}/predictions")
+    if fitted.model is not None:
+        fitted.model.write().overwrite().save(f"{root}/model")
+    rows = [(i, f, float(v)) for i, (f, v) in enumerate(fitted.importances)]
+    spark.createDataFrame(rows, "position int, feature string, importance double") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{root}/_importances")
+    return FittedModel(fitted.name, fitted.features, spark.read.parquet(f"{root}/predictions"),
+                       fitted.importances, fitted.model)
+
+
+def load(spark: SparkSession, name: str, root: str) -> FittedModel | None:
+    """A model saved by :func:`save`, or None when the folder is absent or incomplete."""
+    try:
+        imp = spark.read.parquet(f"{root}/_importances").orderBy("position").collect()  # one row per feature
+        preds = spark.read.parquet(f"{root}/predictions")
+    except Exception:  # not written yet
+        return None
+    return FittedModel(name, [r["feature"] for r in imp], preds, [(r["feature"], r["importance"]) for r in imp])

@@ -149,11 +149,28 @@ def fitted(spark: SparkSession, sf: str, name: str) -> models.FittedModel:
         return _fitted(spark, sf, name)
 
 
+def _model_version() -> str:
+    """Hash of the code that shapes a fitted model's outputs (a change refits)."""
+    import hashlib
+    import inspect
+
+    from tessera import schema
+    from tessera.operators import ordered
+
+    src = "".join(inspect.getsource(m) for m in (models, features, sampling, ordered, schema))
+    return hashlib.sha1(src.encode()).hexdigest()[:12]
+
+
 def _fitted(spark: SparkSession, sf: str, name: str) -> models.FittedModel:
     st = stage.stage(spark, sf)
     key = (spark.sparkContext.applicationId, st.root, name)
     if key in _FITTED:
         return _FITTED[key]
+    root = f"{st.root}/models_{_model_version()}/{name}"
+    loaded = models.load(spark, name, root)
+    if loaded is not None:
+        _FITTED[key] = loaded
+        return loaded
     prep = prepared(spark, sf)
     train, test = _train_test(spark, sf)
     # The training sample is bounded (SAMPLE_SIZE rows): spreading it over every
@@ -167,10 +184,9 @@ def _fitted(spark: SparkSession, sf: str, name: str) -> models.FittedModel:
         feats = prep.features_v1 if name == "gbt_v1" else prep.features_v2
         tr = models.persist(features.with_weight(train, TARGET_COL, w, "pos_ratio"))
         fm = models.fit_boosted_trees(name, tr, test, feats, TARGET_COL, "weight")
-    # Keep the scored test rows as written data, not as a plan that refits.
-    path = f"{st.root}/predictions_{name}"
-    fm.predictions.write.mode("overwrite").parquet(path)
-    fm.predictions = spark.read.parquet(path)
+    # Scored test rows, importances and the model are written once; later queries
+    # (in this or another process) read them instead of refitting.
+    fm = models.save(spark, fm, root)
     tr.unpersist()
     _FITTED[key] = fm
     return fm
