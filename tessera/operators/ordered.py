@@ -187,14 +187,15 @@ def hash_rank_flag(df: DataFrame, key: str, strata: list[str], quota: DataFrame,
         "_before", F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     )
     # A quota above the stratum size selects the whole stratum.
-    quota = quota.select(*strata_, "_quota").join(F.broadcast(sizes), strata_, "inner")
+    n_strata = len(size_rows)  # proven bound for the per-stratum tables below
+    quota = quota.select(*strata_, "_quota").join(broadcast_if_small(sizes, n_strata), strata_, "inner")
     quota = quota.select(*strata_, F.least(F.col("_quota"), F.col("_n")).alias("_quota"))
-    counts = counts.join(F.broadcast(quota), strata_, "inner")
+    counts = counts.join(broadcast_if_small(quota, n_strata), strata_, "inner")
     boundary = counts.filter(
         (F.col("_before") < F.col("_quota")) & (F.col("_quota") <= F.col("_before") + F.col("_cnt"))
     ).select(*strata_, F.col("_hb").alias("_bhb"), (F.col("_quota") - F.col("_before")).alias("_m"))
     # One row per stratum at most: a proven-small broadcast.
-    marked = keyed.join(broadcast_if_small(boundary, len(size_rows)), strata_, "left")
+    marked = keyed.join(broadcast_if_small(boundary, n_strata), strata_, "left")
     decided = marked.filter(F.col("_bhb").isNull() | (F.col("_hb") != F.col("_bhb"))).withColumn(
         flag, F.coalesce(F.col("_hb") < F.col("_bhb"), F.lit(False))
     )
