@@ -8,15 +8,19 @@ measure is rounded; plain ROUND where non-finite values must survive.
 
 from __future__ import annotations
 
-from tessera.plans.oracle_base import FLAT_CTES, STAR_CTES, with_star
-from tessera.schema import (
-    CAT_COLS,
-    DISCOUNT_BUCKETS,
+from tessera.plans.oracle_base import (
     DIM_GAMES_COLS,
     DIM_PLATFORM_COLS,
     DIM_TIME_COLS,
-    EXPECTED_MIN_ROWS,
     FACT_COLS,
+    FLAT_CTES,
+    STAR_CTES,
+    with_star,
+)
+from tessera.schema import (
+    CAT_COLS,
+    DISCOUNT_BUCKETS,
+    EXPECTED_MIN_ROWS,
     FACT_MEASURES,
     MODEL_COLS,
     PHASE_ORDER,

@@ -8,7 +8,19 @@ pre-registered tables.
 
 from __future__ import annotations
 
-from tessera.schema import DIM_GAMES_COLS, DIM_PLATFORM_COLS, DIM_TIME_COLS, FACT_COLS
+from tessera import schema
+from tessera.sources.observations import FLAT_COLS
+
+
+def have(cols: list[str]) -> list[str]:
+    """Contract columns the recast carries (the star tables are built from these)."""
+    return [c for c in cols if c in FLAT_COLS]
+
+
+DIM_GAMES_COLS = have(schema.DIM_GAMES_COLS)
+DIM_PLATFORM_COLS = have(schema.DIM_PLATFORM_COLS)
+DIM_TIME_COLS = have(schema.DIM_TIME_COLS)
+FACT_COLS = have(schema.FACT_COLS)
 
 _LINE_ORDER = ("l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice, l_discount, "
                "l_tax, l_returnflag, l_linestatus")

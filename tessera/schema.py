@@ -66,60 +66,57 @@ GAME_KEY = "game_id"
 PLATFORM_KEY = "platform_code"
 TIME_KEY = "obs_date"
 
+# The published column contract of the four star tables, in the
+# published order.  Tables are built from the columns a source actually carries
+# (the intersection, in this order); the test recast carries a subset.
 DIM_GAMES_COLS = [
-    "game_id",
-    "game_name",
-    "publisher",
-    "publisher_tier",
-    "genre",
-    "genre_code",
-    "release_date",
-    "release_year",
-    "release_month",
-    "release_quarter",
-    "base_price_usd",
-    "is_indie",
-    "is_multiplayer",
-    "publisher_avg_budget",
-    "is_aaa",
+    "game_id", "game_name", "developer", "publisher", "publisher_tier", "franchise", "genre",
+    "genre_code", "subgenre", "tags", "age_rating", "release_date", "release_year", "release_month",
+    "release_quarter", "base_price_usd", "dlc_count", "expansion_count", "achievement_count",
+    "supported_languages", "is_free_to_play", "is_indie", "is_early_access", "is_multiplayer",
+    "is_online", "is_franchise", "is_sequel", "is_remaster", "is_remake", "is_crossplay",
+    "has_crossbuy", "publisher_market_share", "publisher_avg_budget", "is_aaa",
+    "holiday_release_flag", "q4_release_flag",
 ]
 
 DIM_PLATFORM_COLS = ["platform_code", "platform", "storefront", "subscription_service"]
 
 DIM_TIME_COLS = [
-    "obs_date",
-    "obs_year",
-    "obs_month",
-    "obs_quarter",
-    "obs_dow",
-    "is_q4",
-    "is_summer",
-    "is_weekend_obs",
+    "obs_date", "obs_year", "obs_month", "obs_quarter", "obs_dow", "is_q4", "is_summer", "is_weekend_obs",
 ]
 
 FACT_COLS = [
     # keys
-    "game_id",
-    "platform_code",
-    "obs_date",
+    "game_id", "platform_code", "obs_date",
     # lifecycle
-    "days_since_release",
-    "launch_phase",
+    "days_since_release", "days_since_release_log", "launch_phase", "is_new_release",
     # pricing
-    "current_price_usd",
-    "discount_pct",
+    "current_price_usd", "original_price_usd", "discount_pct", "is_on_sale", "sale_event_name",
+    "lowest_price_usd", "decay_factor", "price_vs_launch", "launch_price_decay", "price_change_abs",
+    "price_change_pct", "price_7obs_avg", "price_30obs_avg", "price_volatility", "price_all_time_low",
+    "is_all_time_low", "discount_frequency_proxy", "discount_intensity", "affordability_index",
+    # regional pricing
+    "price_na", "price_eu", "price_gb", "price_jp", "price_br", "price_au",
     # engagement
-    "concurrent_players",
-    "player_growth_rate",
-    "steam_rating_pct",
-    "twitch_viewers_proxy",
-    "hype_score",
+    "concurrent_players", "peak_ccu_alltime", "ccu_7obs_avg", "ccu_30obs_avg", "player_growth_rate",
+    "review_count", "positive_reviews", "negative_reviews", "steam_rating_pct", "user_score",
+    "metacritic_score", "wishlist_count", "twitch_viewers_proxy", "youtube_views_proxy",
+    "reddit_mentions", "social_hype_index", "hype_score", "virality_score", "influencer_boost_proxy",
+    "popularity_momentum", "review_velocity", "review_growth_rate",
     # revenue
-    "estimated_revenue_usd",
-    # targets
-    "target_revenue_next_4w",
-    "target_breakout_hit",
-    # row identity (stable observation key used for seeded sampling)
+    "estimated_units_sold", "estimated_revenue_usd", "revenue_per_review", "revenue_per_player",
+    "revenue_cumulative", "units_cumulative", "monetisation_intensity", "revenue_momentum_4w",
+    # sentiment
+    "has_controversy", "controversy_day", "controversy_score", "engagement_to_price",
+    "review_times_rating", "critic_user_gap", "sentiment_stability", "community_health_score",
+    "tier_label", "genre_popularity_rank", "platform_popularity_rank",
+    # anomaly flags
+    "rating_drop_flag", "fake_discount_flag", "player_spike_flag", "review_inflation_flag",
+    # ML targets
+    "target_ccu_next_4w", "target_revenue_next_4w", "target_price_next_4w",
+    "target_review_count_next_4w", "target_is_on_sale_next_obs", "target_breakout_hit",
+    "target_sleeper_hit", "target_long_tail",
+    # row identity (not published: a stable observation key for seeded sampling)
     "obs_key",
 ]
 

@@ -21,6 +21,7 @@ import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tessera.operators import star
@@ -88,10 +89,42 @@ def _write(df: DataFrame, path: str) -> int:
     return df.sparkSession.read.parquet(path).count()
 
 
+def with_row_key(flat: DataFrame, key: str = "obs_key") -> DataFrame:
+    """Add a stable observation key when the source has none: md5 over every
+    column's text form (NULL as empty), the identity used for seeded sampling."""
+    if key in flat.columns:
+        return flat
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in flat.columns]
+    return flat.withColumn(key, F.md5(F.concat_ws("|", *parts)))
+
+
 def build_stage(spark: SparkSession, sf_dir: str, root: str) -> Stage:
-    """Derive and write the flat source and the four star tables, then the manifest."""
+    """Derive the flat source from the driver tables, then write it and the star schema."""
+    return build_stage_from_flat(spark, observations(spark, sf_dir), root)
+
+
+def stage_csv(spark: SparkSession, csv_path: str, schema=None, root: str | None = None,
+              sampling_ratio: float = 0.1) -> Stage:
+    """Ingest a flat observation CSV (header; 'inf'/'nan' as text) into a star schema.
+
+    Pass the declared ``schema`` for production loads; without it types are
+    inferred from a ``sampling_ratio`` share of the rows.  The CSV is read once and
+    staged as Parquet; the four tables are built from that Parquet copy.
+    """
+    from tessera.sources.files import read_csv
+
+    root = root or f"{work_dir(spark)}/tessera-stage/csv-{hashlib.sha1(csv_path.encode()).hexdigest()[:16]}"
+    with BUILD_LOCK:
+        counts = _read_manifest(spark, root)
+        if counts:
+            return Stage(root, counts)
+        return build_stage_from_flat(spark, read_csv(spark, csv_path, schema, sampling_ratio), root)
+
+
+def build_stage_from_flat(spark: SparkSession, flat_source: DataFrame, root: str) -> Stage:
+    """Write the flat source and the four star tables under ``root``, then the manifest."""
     counts: dict[str, int] = {}
-    counts["observations"] = _write(observations(spark, sf_dir), f"{root}/observations")
+    counts["observations"] = _write(with_row_key(flat_source), f"{root}/observations")
     flat = spark.read.parquet(f"{root}/observations")
     counts["dim_games"] = _write(star.dim_games(flat), f"{root}/dim_games")
     counts["dim_platform"] = _write(star.dim_platform(flat), f"{root}/dim_platform")
