@@ -27,17 +27,18 @@ from tessera.operators.joins import broadcast_if_small
 from tessera.session import work_dir
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint to the shared folder (small summaries only)."""
-    work_dir(df.sparkSession)  # ensures a checkpoint folder is registered
-    return df.checkpoint(eager=True)
-
 FANOUT = 64               # buckets per narrowing level
 FINAL_ROWS = 250_000      # rank directly once every wanted range holds at most this many rows
 MAX_LEVELS = 8
 ROWS_PER_HASH_BUCKET = 50_000
 
 
+def _checkpoint(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint to the shared folder (small summaries only)."""
+    work_dir(df.sparkSession)  # ensures a checkpoint folder is registered
+    return df.checkpoint(eager=True)
+
+
 def _edges(df: DataFrame, keys: list[str], value: str, buckets: int) -> DataFrame:
     """Approximate quantile edges per key (array of ``buckets - 1`` values)."""
     probs = [i / buckets for i in range(1, buckets)]
@@ -96,7 +97,8 @@ def kth_values(vals: DataFrame, group_cols: list[str], value: str, wanted: DataF
         w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
         counts = counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
         nxt = (
-            counts.join(state, keys, "inner").join(edges, keys, "inner")
+            counts.join(broadcast_if_small(state, n_states), keys, "inner")
+            .join(broadcast_if_small(edges, n_states), keys, "inner")
             .filter((F.col("_before") <= F.col("_r")) & (F.col("_r") < F.col("_before") + F.col("_cnt")))
             .select(
                 *keys,
