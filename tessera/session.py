@@ -54,10 +54,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Set the runtime SQL options the library expects, without touching others."""
+    """Turn on AQE and its skew-join splitting, which the plans rely on at scale.
+
+    Nothing else in the caller's session is changed: the observation date comes
+    from a zone-less timestamp, so results do not depend on the session zone.
+    """
     for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
         spark.conf.set(key, "true")
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def work_dir(spark: SparkSession) -> str:
