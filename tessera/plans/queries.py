@@ -326,13 +326,12 @@ def q_observation_null_counts(spark, sf):
 
 
 def _sample(spark, sf):
-    s = _split(spark, sf)
-    return s.drop("split")
+    """The written exact sample of the modelling frame (before encoding)."""
+    return spark.read.parquet(prepared(spark, sf).sample_path)
 
 
 def q_null_counts(spark, sf):
-    # Null check of the modelling sample, before encoding (as drawn from the source).
-    return checks.null_counts(spark.read.parquet(prepared(spark, sf).sample_path))
+    return checks.null_counts(_sample(spark, sf))
 
 
 def q_target_distribution(spark, sf):
