@@ -70,10 +70,12 @@ def work_dir(spark: SparkSession) -> str:
     storage visible to every executor).  Only when the session names none (tests,
     local runs) a private temporary folder is created and registered.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.sparkContext.setCheckpointDir(configured)
+    if not sc.getCheckpointDir():
+        # Named in the session conf after the context started (or a test folder):
+        # register it so DataFrame.checkpoint() writes there too.
+        sc.setCheckpointDir(configured)
     return configured.rstrip("/")
