@@ -31,3 +31,31 @@ def test_split_lag_matches_plain_lag(spark):
     for k, v in want.items():
         g = got[k]
         assert (v is None and g is None) or (v != v and g != g) or v == g, (k, v, g)
+
+
+def test_recast_shuffle_join_path_matches_broadcast_path(spark, sf_small, monkeypatch):
+    """With every side over the broadcast bound (the large-cluster plan: shuffle joins,
+    then the (game, date) repartition) the observation table is unchanged."""
+    from tessera.operators import joins
+    from tessera.sources import observations as obs
+
+    small = obs.observations(spark, sf_small)
+    want = small.collect()
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(obs, "MAX_BROADCAST_ROWS", 0)
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")  # what a 20-billion-row dimension gets anyway
+        big = obs.observations(spark, sf_small)
+        physical = big._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+        assert "SortMergeJoin" in physical and "BroadcastHashJoin" not in physical
+        assert big.exceptAll(spark.createDataFrame(want, small.schema)).count() == 0
+        assert big.count() == len(want)
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
