@@ -34,6 +34,7 @@ DEMO_SAMPLE_SIZE = 5_000
 # Deterministic stand-in for a model score, used to check the evaluation maths
 # against the oracle: players/49*0.5 + hype*5 + is_aaa*0.3, positive at >= 0.7.
 SCORE_THRESHOLD = 0.7
+TRAIN_ROWS_PER_PARTITION = 50_000
 
 
 # ---------------------------------------------------------------------------
@@ -173,10 +174,12 @@ def _fitted(spark: SparkSession, sf: str, name: str) -> models.FittedModel:
         return loaded
     prep = prepared(spark, sf)
     train, test = _train_test(spark, sf)
-    # The training sample is bounded (SAMPLE_SIZE rows): spreading it over every
-    # core before caching makes each boosting iteration a fully parallel job.
-    train = train.repartition(spark.sparkContext.defaultParallelism)
     w = _weights(spark, sf)
+    # The training sample is bounded (SAMPLE_SIZE rows), and an iterative fit runs
+    # several small jobs per iteration, so per-task overhead dominates: about
+    # TRAIN_ROWS_PER_PARTITION rows per task, capped at the core count.
+    n_parts = max(1, min(spark.sparkContext.defaultParallelism, -(-int(w["n_rows"]) // TRAIN_ROWS_PER_PARTITION)))
+    train = train.repartition(n_parts)
     if name == "logistic_regression":
         tr = models.persist(features.with_weight(train, TARGET_COL, w, "balanced"))
         fm = models.fit_logistic(tr, test, prep.features_v1, TARGET_COL, "weight")
