@@ -232,15 +232,11 @@ def q_row_count_check(spark, sf):
 
 
 def q_star_round_trip(spark, sf):
-    parts = [
-        _t(spark, sf, n).agg(F.count(F.lit(1)).cast("bigint").alias("row_count")).select(
-            F.lit(n).alias("table_name"), "row_count", F.lit(len(_t(spark, sf, n).columns)).alias("n_columns"))
-        for n in STAR_TABLE_ORDER
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Rows and columns of each star table as read back from its written files."""
+    tables = {n: _t(spark, sf, n) for n in STAR_TABLE_ORDER}
+    counts = checks.row_counts(tables)
+    widths = spark.createDataFrame([(n, len(df.columns)) for n, df in tables.items()], "table_name string, n_columns int")
+    return counts.join(widths, "table_name", "inner").select("table_name", "row_count", "n_columns")
 
 
 def q_platform_list(spark, sf):
