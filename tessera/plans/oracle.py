@@ -298,6 +298,11 @@ def oracle_sql() -> dict[str, str]:
         "row_count_check": with_star(
             f"""SELECT e.table_name, c.row_count, e.minimum, COALESCE(c.row_count >= e.minimum, FALSE) AS passed
     FROM (VALUES {_minimums_values()}) e(table_name, minimum)
+    LEFT JOIN ({_count_union(STAR_TABLE_ORDER)}) c ON e.table_name = c.table_name"""
+        ),
+        "verification_passed": with_star(
+            f"""SELECT bool_and(COALESCE(c.row_count >= e.minimum, FALSE)) AS all_passed
+    FROM (VALUES {_minimums_values()}) e(table_name, minimum)
     LEFT JOIN ({_count_union(STAR_TABLE_ORDER)}) c ON e.table_name = c.table_name"""
         ),
         "star_round_trip": with_star("\nUNION ALL\n".join(

@@ -231,6 +231,11 @@ def q_row_count_check(spark, sf):
     return checks.row_count_check(spark, q_row_counts(spark, sf))
 
 
+def q_verification_passed(spark, sf):
+    """Overall verification flag: every star table meets its minimum row count."""
+    return q_row_count_check(spark, sf).agg(F.bool_and("passed").alias("all_passed"))
+
+
 def q_star_round_trip(spark, sf):
     """Rows and columns of each star table as read back from its written files."""
     tables = {n: _t(spark, sf, n) for n in STAR_TABLE_ORDER}
