@@ -28,7 +28,6 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tessera-llm-")
-        spark.conf.set("spark.checkpoint.dir", path)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path.rstrip("/")

@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing
+from . import mixing, packing, urls
 from .common import documents
+from .oracle import ORACLE_SQL as ORACLE_SQL
 
 
 def tokenizer_file() -> str:
@@ -23,7 +24,37 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "sequence_length")
 
 
-QUERIES = {"op1_packing": op1_packing}
+#: Twenty sources in four domains; other sources, languages and null ones get the recipe's other weights.
+RECIPE = mixing.Recipe(
+    domains={
+        "web": (50, tuple(f"src{i}" for i in range(0, 5))),
+        "news": (20, tuple(f"src{i}" for i in range(5, 10))),
+        "books": (20, tuple(f"src{i}" for i in range(10, 15))),
+        "reference": (10, tuple(f"src{i}" for i in range(15, 20))),
+    },
+    languages={"en": 40, "de": 20, "fr": 20, "es": 20},
+)
 
-#: DuckDB SQL by query; those without an entry are tested against brute force in tests/llm.
-ORACLE_SQL: dict[str, str] = {}
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, epoch) that the recipe chooses, three quarters of all words together."""
+    chosen = mixing.mix(documents(spark, sf_dir), RECIPE)
+    return chosen.select("row.doc_id", F.col("mix_domain").alias("domain"), F.col("mix_lang").alias("lang"), F.col("mix_source").alias("source"),
+                         F.col("mix_epoch").alias("epoch"), F.col("mix_tokens").alias("tokens"), F.col("mix_taken").alias("taken"))
+
+
+URL_RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
+
+
+QUERIES = {"op1_packing": op1_packing, "op8_mixing": op8_mixing, "op9_url_filter": op9_url_filter}
