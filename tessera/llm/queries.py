@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, urls
+from . import chat, mixing, packing, urls
 from .common import documents
 from .oracle import ORACLE_SQL as ORACLE_SQL
 
@@ -57,4 +57,12 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
 
 
-QUERIES = {"op1_packing": op1_packing, "op8_mixing": op8_mixing, "op9_url_filter": op9_url_filter}
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, and of one whose texts hold control strings, read back from the formatted text."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    marks = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", marks), (-7, 1, "assistant", marks)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.format_chats(turns.unionByName(extra)), ordered=True)
+
+
+QUERIES = {"op1_packing": op1_packing, "op7_chat_format": op7_chat_format, "op8_mixing": op8_mixing, "op9_url_filter": op9_url_filter}
