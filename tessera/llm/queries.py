@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, urls
+from . import chat, mixing, packing, urls, winnowing
 from .common import documents
 from .oracle import ORACLE_SQL as ORACLE_SQL
 
@@ -57,6 +57,11 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
 
 
+def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text, of its edited text, and how near both and the next document are."""
+    return winnowing.edits(documents(spark, sf_dir))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every conversation, and of one whose texts hold control strings, read back from the formatted text."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
@@ -65,4 +70,4 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(turns.unionByName(extra)), ordered=True)
 
 
-QUERIES = {"op1_packing": op1_packing, "op7_chat_format": op7_chat_format, "op8_mixing": op8_mixing, "op9_url_filter": op9_url_filter}
+QUERIES = {"op1_packing": op1_packing, "op5_winnowing": op5_winnowing, "op7_chat_format": op7_chat_format, "op8_mixing": op8_mixing, "op9_url_filter": op9_url_filter}
