@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, urls, winnowing
-from .common import documents
+from . import chat, langid, mixing, packing, urls, winnowing
+from .common import documents, id_crc
 from .oracle import ORACLE_SQL as ORACLE_SQL
 
 
@@ -57,6 +57,14 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text; learned from the rows that are not held out."""
+    docs = documents(spark, sf_dir)
+    held_out = (id_crc() % 5 == 0).alias("held_out")
+    net = langid.fit(docs.filter(id_crc() % 5 != 0).select("doc_id", "text", "lang"))
+    return langid.predict(docs, net, [F.col("doc_id"), held_out])
+
+
 def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text, of its edited text, and how near both and the next document are."""
     return winnowing.edits(documents(spark, sf_dir))
@@ -70,4 +78,4 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(turns.unionByName(extra)), ordered=True)
 
 
-QUERIES = {"op1_packing": op1_packing, "op5_winnowing": op5_winnowing, "op7_chat_format": op7_chat_format, "op8_mixing": op8_mixing, "op9_url_filter": op9_url_filter}
+QUERIES = {"op1_packing": op1_packing, "op3_language": op3_language, "op5_winnowing": op5_winnowing, "op7_chat_format": op7_chat_format, "op8_mixing": op8_mixing, "op9_url_filter": op9_url_filter}
