@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, mixing, packing, urls, winnowing
+from . import chat, langid, mixing, packing, rabitq, urls, winnowing
 from .common import documents, id_crc
 from .oracle import ORACLE_SQL as ORACLE_SQL
 
@@ -78,4 +78,9 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(turns.unionByName(extra)), ordered=True)
 
 
-QUERIES = {"op1_packing": op1_packing, "op3_language": op3_language, "op5_winnowing": op5_winnowing, "op7_chat_format": op7_chat_format, "op8_mixing": op8_mixing, "op9_url_filter": op9_url_filter}
+def op10_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.95."""
+    return rabitq.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+QUERIES = {"op1_packing": op1_packing, "op3_language": op3_language, "op5_winnowing": op5_winnowing, "op7_chat_format": op7_chat_format, "op8_mixing": op8_mixing, "op9_url_filter": op9_url_filter, "op10_embedding_dups": op10_embedding_dups}
