@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, mixing, packing, rabitq, urls, winnowing
+from . import chat, langid, minhash, mixing, packing, rabitq, urls, winnowing
 from .common import documents, id_crc
 from .oracle import ORACLE_SQL as ORACLE_SQL
 
@@ -65,6 +65,11 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, net, [F.col("doc_id"), held_out])
 
 
+def op4_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text, of its edited text, and how near both and the next document are."""
     return winnowing.edits(documents(spark, sf_dir))
@@ -83,4 +88,4 @@ def op10_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rabitq.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op3_language": op3_language, "op5_winnowing": op5_winnowing, "op7_chat_format": op7_chat_format, "op8_mixing": op8_mixing, "op9_url_filter": op9_url_filter, "op10_embedding_dups": op10_embedding_dups}
+QUERIES = {"op1_packing": op1_packing, "op3_language": op3_language, "op4_near_dups": op4_near_dups, "op5_winnowing": op5_winnowing, "op7_chat_format": op7_chat_format, "op8_mixing": op8_mixing, "op9_url_filter": op9_url_filter, "op10_embedding_dups": op10_embedding_dups}
