@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, minhash, mixing, packing, rabitq, urls, winnowing
+from . import chat, langid, lm, minhash, mixing, packing, rabitq, urls, winnowing
 from .common import documents, id_crc
 from .oracle import ORACLE_SQL as ORACLE_SQL
 
@@ -75,6 +75,12 @@ def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.edits(documents(spark, sf_dir))
 
 
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log10 probability of every whole text; learned from the rows that are not held out."""
+    scored = lm.score(documents(spark, sf_dir), id_crc() % 10 != 0)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every conversation, and of one whose texts hold control strings, read back from the formatted text."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
@@ -88,4 +94,4 @@ def op10_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rabitq.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op3_language": op3_language, "op4_near_dups": op4_near_dups, "op5_winnowing": op5_winnowing, "op7_chat_format": op7_chat_format, "op8_mixing": op8_mixing, "op9_url_filter": op9_url_filter, "op10_embedding_dups": op10_embedding_dups}
+QUERIES = {"op1_packing": op1_packing, "op3_language": op3_language, "op4_near_dups": op4_near_dups, "op5_winnowing": op5_winnowing, "op6_lm_scores": op6_lm_scores, "op7_chat_format": op7_chat_format, "op8_mixing": op8_mixing, "op9_url_filter": op9_url_filter, "op10_embedding_dups": op10_embedding_dups}
