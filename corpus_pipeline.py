@@ -6,10 +6,50 @@ DataFrame.  ``run`` writes each stage's result to the shared folder and reads it
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.llm import langid, minhash, mixing, packing, queries
+from tessera.llm.common import documents, id_crc, written
+
+#: A document whose language is less likely than this, over its whole text, is rejected.
+#: With four languages even odds are 0.25, so only texts that look like none of them fall below.
+LEAST_LANGUAGE = 0.3
+
+#: Here each document counts once at most.
+RECIPE = replace(queries.RECIPE, max_epochs=1)
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the texts in a known language (operator 3); ``lang`` becomes the predicted one.
+
+    Rejected: null texts, texts without a letter, texts below :data:`LEAST_LANGUAGE`.  If no
+    row carries a language there is nothing to learn, and every row is kept as it is.
+    """
+    net = langid.fit(docs.filter(id_crc() % 5 != 0).select("doc_id", "text", "lang"))
+    if net is None:
+        return docs
+    told = langid.predict(docs, net, [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")])
+    kept = told.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE))
+    return kept.select(*[F.col("lang_pred").alias(c) if c == "lang" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the least id of each near-duplicate class (operator 4), one row
+    of it; rows without an id are kept."""
+    classes = minhash.near_duplicates(docs)
+    kept = written(classes.filter("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "pipeline-kept")
+    out = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
+    if kept.filter("n > 1").limit(1).count():  # an id in several rows: one of them
+        out = out.dropDuplicates(["doc_id"])
+    return out.select(docs.columns).unionAll(docs.filter("doc_id is null"))
+
 
-from tessera.llm import packing, queries
-from tessera.llm.common import documents, written
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep each leaf's prefix that its budget reaches (operator 8), the last document whole."""
+    return mixing.mix(docs, RECIPE).select("row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,7 +57,12 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs, queries.tokenizer_file())
 
 
-STAGES = [("packing", pack_sequences)]
+STAGES = [
+    ("language", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
 #: The classifier and the sampled signatures have no SQL form; tests/llm hold the stages to brute force.
 ORACLE_SQL = None
