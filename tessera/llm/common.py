@@ -118,11 +118,16 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     A word is a longest run of bytes other than space and \\x09-\\x0D, A-Z lower-cased;
     none crosses from one row into the next.
     """
+    return words_at(raw, offsets)[:2]
+
+
+def words_at(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`word_hashes`, and the first byte of each word and the one after its last (from the first row's start)."""
     base = offsets[0]
     raw, offsets = raw[base:offsets[-1]], offsets - base
     n = len(raw)
     if n == 0:
-        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     inside = ~_SPACE[raw]
     begin, end = inside.copy(), inside.copy()
     begin[1:] &= ~inside[:-1]
@@ -138,7 +143,7 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
         total[0] = 0
         np.cumsum((_LOWER[raw].astype(np.uint64) + np.uint64(1)) * p[:n], out=total[1:])
         h = mix((total[ends] - total[starts]) * q[starts] + (ends - starts).astype(np.uint64))
-    return h, np.searchsorted(starts, offsets).astype(np.int64)
+    return h, np.searchsorted(starts, offsets).astype(np.int64), starts, ends
 
 
 _STEP = [np.uint64(x) for x in (1, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165)]

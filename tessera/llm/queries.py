@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, lm, minhash, mixing, packing, rabitq, urls, winnowing
+from . import chat, langid, license, lm, minhash, mixing, packing, rabitq, urls, winnowing
 from .common import documents, id_crc
 from .oracle import ORACLE_SQL as ORACLE_SQL
 
@@ -57,6 +57,14 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
 
 
+def op2_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families found in every whole text, with the places and the surest probability."""
+    docs = documents(spark, sf_dir)
+    found = license.scan(docs, license.train(license.sample_lines(docs)))
+    return found.select("doc_id", "n_paragraphs", F.array_join(F.array_sort(F.array_distinct("found.family")), ",").alias("families"),
+                        F.size("found").cast("long").alias("n_found"), F.array_max("found.probability").alias("probability"), F.to_json("found").alias("places"))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole text; learned from the rows that are not held out."""
     docs = documents(spark, sf_dir)
@@ -94,4 +102,4 @@ def op10_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rabitq.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op3_language": op3_language, "op4_near_dups": op4_near_dups, "op5_winnowing": op5_winnowing, "op6_lm_scores": op6_lm_scores, "op7_chat_format": op7_chat_format, "op8_mixing": op8_mixing, "op9_url_filter": op9_url_filter, "op10_embedding_dups": op10_embedding_dups}
+QUERIES = {"op1_packing": op1_packing, "op2_license": op2_license, "op3_language": op3_language, "op4_near_dups": op4_near_dups, "op5_winnowing": op5_winnowing, "op6_lm_scores": op6_lm_scores, "op7_chat_format": op7_chat_format, "op8_mixing": op8_mixing, "op9_url_filter": op9_url_filter, "op10_embedding_dups": op10_embedding_dups}
