@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from .common import buffers, mix, steps, word_hashes, written
 
 #: Bytes of text in a block, one text at least.
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 7_000_000
 #: Entries that one owner of a hash range counts together, about.
-OWNER_ENTRIES = 4_000_000
+OWNER_ENTRIES = 1_500_000
 #: Buckets of context frequency: 0, then one for each power of two; the last is open.
 BUCKETS = 24
 #: Grid of the probabilities that the mixture weights are learned from: steps of half a power of two, 0 apart.
@@ -197,11 +197,11 @@ def _cells(doc: np.ndarray, tokens: np.ndarray, before: np.ndarray, pair: np.nda
     return value, np.bincount(place), np.bincount(place, p2), np.bincount(place, p1)
 
 
-_JOINED = "block long, doc_ids array<long>, train array<boolean>, sizes array<long>, tokens binary, totals binary, pairs binary, cell array<int>, n array<long>, p2 array<double>, p1 array<double>"
+_JOINED = "block long, doc_ids array<long>, train array<boolean>, sizes array<long>, counts binary, pairs binary, cell array<int>, n array<long>, p2 array<double>, p1 array<double>"
 
 
 def counted(blocks: DataFrame, answers: DataFrame, n: int) -> DataFrame:
-    """Each block with its total counts, and the cells of its training texts' held-out probabilities."""
+    """Each block's tokens as total counts of token and pair, and the cells of its training texts' held-out probabilities."""
     def run(left, right):
         row = {c: left.column(c)[0].as_py() for c in left.column_names}
         order = sorted(range(right.num_rows), key=lambda i: (right.column("kind")[i].as_py(), right.column("owner")[i].as_py()))
@@ -215,8 +215,8 @@ def counted(blocks: DataFrame, answers: DataFrame, n: int) -> DataFrame:
         doc = np.repeat(np.arange(len(sizes)), sizes)
         use = np.repeat(np.array(row["train"], bool), sizes)
         cells = _cells(doc, tokens, before, pair, total, c_pair, use, sizes, n) if use.any() else (np.empty(0, int),) * 4
-        out = [row["block"], row["doc_ids"], row["train"], row["sizes"], row["tokens"], _zip(total), _zip(c_pair)]
-        kinds_out = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.float64())]
+        out = [row["block"], row["doc_ids"], row["train"], row["sizes"], _zip(total[tokens]), _zip(c_pair)]
+        kinds_out = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.float64())]
         values = [*out, cells[0].astype(np.int32), cells[1].astype(np.int64), cells[2].astype(float), cells[3].astype(float)]
         return pa.table({f.split()[0]: pa.array([v], k) for f, v, k in zip(_JOINED.split(", "), values, kinds_out)})
 
@@ -281,10 +281,9 @@ def score(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                ids, use, sizes, tokens, total, pairs = (batch.column(c)[k].as_py() for c in range(6))
-                sizes, tokens, total = np.array(sizes), _unzip(tokens, np.uint32), _unzip(total, np.int64)
-                c_pair = _unzip(pairs, np.int64)
-                c, c_v = total[tokens], total[_contexts(tokens, sizes)]
+                sizes, counts, pairs = (batch.column(c)[k].as_py() for c in (2, 3, 4))
+                sizes, c, c_pair = np.array(sizes), _unzip(counts, np.int64), _unzip(pairs, np.int64)
+                c_v = _contexts(c, sizes)
                 b = bucket(c_v)
                 p = weights[b, 0] * c_pair / np.maximum(c_v, 1) + weights[b, 1] * c / max(n, 1) + weights[b, 2] / (distinct + 1)
                 base = np.log10((c + ADD) / (n + ADD * (distinct + 1)))
@@ -292,5 +291,5 @@ def score(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: s
                 values = [sizes, np.add.reduceat((c > 0).astype(np.int64), first), np.add.reduceat(base, first), np.add.reduceat(np.log10(p), first)]
                 yield pa.record_batch([batch.column(0)[k].values, batch.column(1)[k].values, *map(pa.array, values)], names=[f.split()[0] for f in _SCORES.split(", ")])
 
-    scored = joined.select("doc_ids", "train", "sizes", "tokens", "totals", "pairs").mapInArrow(run, _SCORES)
+    scored = joined.select("doc_ids", "train", "sizes", "counts", "pairs").mapInArrow(run, _SCORES)
     return scored.withColumn("train_tokens", F.lit(n).cast("long"))
