@@ -10,16 +10,15 @@ NEG_INF = float("-inf")
 
 
 def round_half_up(col: Column | str, digits: int) -> Column:
-    """Round a finite measure to ``digits`` via a decimal(38,6) pass.
+    """ROUND to ``digits``, exact ties (0.285 at two digits) up on every engine.
 
-    Rounding a double directly depends on its binary expansion (0.285 is stored
-    as 0.28499999...), and engines disagree on such ties.  Casting to
-    decimal(38,6) first fixes the value to six places and then rounds half up,
-    which is reproducible across engines.  Non-finite values must not go through
-    this path (the cast turns them into NULL); see :func:`round_plain`.
+    Engines disagree on such ties of doubles; fifteen decimal places hold them and
+    keep every value that is not a tie on its side.  Values that a decimal(38,15)
+    cannot hold, and inf and NaN, take plain ROUND.
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.round(c.cast("decimal(38,6)"), digits).cast("double")
+    c = c.cast("double")
+    return F.when(F.abs(c) < F.lit(1e20), F.round(F.when(F.abs(c) < F.lit(1e20), c).cast("decimal(38,15)"), digits).cast("double")).otherwise(F.round(c, digits))
 
 
 def round_plain(col: Column | str, digits: int) -> Column:

@@ -125,8 +125,13 @@ def exact_median(df: DataFrame, group_cols: list[str], value: str, alias: str =
     Equals SQL MEDIAN / ``percentile(value, 0.5)``: with n values sorted, the mean
     of the values at 0-based ranks floor((n-1)/2) and ceil((n-1)/2).
     """
-    gcols = list(group_cols)
-    vals = df.select(*group_cols, value).filter(F.col(value).isNotNull())
+    # A NULL in a group column is a group: its JSON text leaves the column out, so the text
+    # tells all groups apart and serves as the key of the joins below.
+    gcols = ["_group"] if group_cols else []
+    vals = df.filter(F.col(value).isNotNull())
+    if group_cols:
+        vals = vals.withColumn("_group", F.to_json(F.struct(*group_cols)))
+    vals = vals.select(*gcols, value)
     n = vals.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"))
     wanted = n.select(*gcols, F.lit("lo").alias("_which"), F.floor((F.col("_n") - 1) / 2).alias("_r")).unionByName(
         n.select(*gcols, F.lit("hi").alias("_which"), F.ceil((F.col("_n") - 1) / 2).alias("_r"))
@@ -136,7 +141,12 @@ def exact_median(df: DataFrame, group_cols: list[str], value: str, alias: str =
         F.max(F.when(F.col("_which") == "lo", F.col(value))).alias("_lo_v"),
         F.max(F.when(F.col("_which") == "hi", F.col(value))).alias("_hi_v"),
     )
-    return pair.select(*gcols, (F.col("_lo_v") + (F.col("_hi_v") - F.col("_lo_v")) * 0.5).alias(alias))
+    # Equal middle values are the median themselves: inf - inf would be NaN.
+    mid = F.when(F.col("_lo_v") == F.col("_hi_v"), F.col("_lo_v")).otherwise(F.col("_lo_v") + (F.col("_hi_v") - F.col("_lo_v")) * 0.5)
+    if not group_cols:
+        return pair.select(mid.alias(alias))
+    names = F.from_json("_group", df.select(*group_cols).schema)
+    return pair.select(*[names[c].alias(c) for c in group_cols], mid.alias(alias))
 
 
 def with_value_buckets(df: DataFrame, value: str, levels: int = 2, fanout: int = FANOUT) -> DataFrame:
@@ -160,10 +170,10 @@ def with_value_buckets(df: DataFrame, value: str, levels: int = 2, fanout: int =
 
 
 def _hex_digits(max_rows: int) -> int:
-    """Hex-prefix length: about ROWS_PER_HASH_BUCKET rows per bucket, at most 16**5 buckets."""
+    """Hex-prefix length: about ROWS_PER_HASH_BUCKET rows per bucket at any number of rows."""
     if max_rows <= ROWS_PER_HASH_BUCKET:
         return 1
-    return min(5, max(1, math.ceil(math.log(max_rows / ROWS_PER_HASH_BUCKET, 16))))
+    return min(15, max(1, math.ceil(math.log(max_rows / ROWS_PER_HASH_BUCKET, 16))))
 
 
 def hash_rank_flag(df: DataFrame, key: str, strata: list[str], quota: DataFrame, flag: str = "selected") -> DataFrame:

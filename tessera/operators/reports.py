@@ -57,7 +57,8 @@ def genre_revenue(fact: DataFrame, games: DataFrame, games_rows: int | None = No
         rows = rows.checkpoint(eager=True)
     med = exact_median(rows, ["genre"], "estimated_revenue_usd", alias="_median")
     # At most one median row per genre, and genres <= games: a proven bound.
-    out = by_genre.join(broadcast_if_small(med, games_rows), "genre", "left").select(
+    med = med.withColumnRenamed("genre", "_genre")
+    out = by_genre.join(broadcast_if_small(med, games_rows), F.col("genre").eqNullSafe(F.col("_genre")), "left").select(
         "genre",
         F.col("game_count").cast("bigint").alias("game_count"),
         round_half_up(_mean("rev"), 2).alias("avg_weekly_revenue"),

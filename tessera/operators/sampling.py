@@ -2,7 +2,7 @@
 
 Rows are ordered by ``md5(seed | salt | obs_key)``: a uniform, engine-independent
 hash of a stable row identity.  "The n rows with the smallest hash" is an exact,
-repeatable sample of size n; within each class, "the round(f * n_c) smallest" is
+repeatable sample of size n; within each class, its quota of smallest hashes is
 an exact stratified split.  Both are computed with
 :func:`tessera.operators.ordered.hash_rank_flag`, which ranks only one boundary
 bucket per stratum.
@@ -10,8 +10,12 @@ bucket per stratum.
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.ordered import hash_rank_flag
 from tessera.schema import RANDOM_STATE, TEST_SIZE
@@ -41,11 +45,22 @@ def exact_sample(df: DataFrame, n: int, seed: int = RANDOM_STATE, key_col: str =
 
 def stratified_split(df: DataFrame, target: str, test_size: float = TEST_SIZE, seed: int = RANDOM_STATE,
                      key_col: str = "obs_key") -> DataFrame:
-    """Add ``split`` = 'test' for round(test_size * n_class) rows of each class, else 'train'."""
+    """Add ``split``: 'test' for ceil(test_size * n) rows in all, else 'train'.
+
+    The total goes to the classes by largest remainder (equal ones by the class's text).
+    A NULL class is an error.
+    """
     keyed = df.withColumn("_split_key", seeded_key(key_col, seed, "split"))
-    quota = keyed.groupBy(target).agg(
-        F.round(F.lit(float(test_size)) * F.count(F.lit(1))).cast("bigint").alias("_quota")
-    )
+    sizes = {r[target]: r["n"] for r in df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per class
+    if None in sizes:
+        raise ValueError(f"{target} is NULL in {sizes[None]} rows")
+    share = Fraction(str(test_size))
+    quotas = {c: share * n // 1 for c, n in sizes.items()}
+    left = math.ceil(share * sum(sizes.values())) - sum(quotas.values())
+    for c in sorted(sizes, key=lambda c: (-(share * sizes[c] % 1), str(c)))[:left]:
+        quotas[c] += 1
+    schema = T.StructType([T.StructField(target, df.schema[target].dataType), T.StructField("_quota", T.LongType())])
+    quota = df.sparkSession.createDataFrame([(c, int(q)) for c, q in quotas.items()], schema)
     flagged = hash_rank_flag(keyed, "_split_key", [target], quota, flag="_is_test")
     return flagged.withColumn("split", F.when(F.col("_is_test"), F.lit("test")).otherwise(F.lit("train"))).drop(
         "_is_test", "_split_key"

@@ -10,13 +10,20 @@ from pyspark.sql import functions as F
 from tessera.schema import DIM_GAMES_COLS, DIM_PLATFORM_COLS, DIM_TIME_COLS, FACT_COLS, STAR_TABLES
 
 
-def present(df: DataFrame, cols: list[str]) -> list[str]:
-    """Columns of ``cols`` that the source carries, in contract order."""
-    have = set(df.columns)
-    return [c for c in cols if c in have]
+def contract(df: DataFrame, cols: list[str], carried: list[str] | None = None) -> list[str]:
+    """``cols``, or those of them that are ``carried``, in contract order.
+
+    Every one must be in ``df``: a source that lacks a column of the contract is an
+    error unless its caller names the subset that it carries.
+    """
+    wanted = [c for c in cols if carried is None or c in carried]
+    missing = [c for c in wanted if c not in df.columns]
+    if missing:
+        raise KeyError(f"the source lacks columns of the contract: {missing}")
+    return wanted
 
 
-def dimension(flat: DataFrame, key: str, cols: list[str]) -> DataFrame:
+def dimension(flat: DataFrame, key: str, cols: list[str], carried: list[str] | None = None) -> DataFrame:
     """One row per natural key, every other column collapsed with ANY_VALUE.
 
     ``any_value`` over string buffers cannot use the hash aggregate and would
@@ -25,7 +32,7 @@ def dimension(flat: DataFrame, key: str, cols: list[str]) -> DataFrame:
     one row per key; the per-key ``any_value`` then runs on that small remainder.
     ``ignoreNulls`` keeps a non-NULL value when one exists.
     """
-    cols = present(flat, cols)
+    cols = contract(flat, cols, carried)
     attrs = [c for c in cols if c != key]
     slim = flat.select(*cols).distinct()
     if not attrs:
@@ -33,21 +40,21 @@ def dimension(flat: DataFrame, key: str, cols: list[str]) -> DataFrame:
     return slim.groupBy(key).agg(*[F.any_value(c, True).alias(c) for c in attrs]).select(*cols)
 
 
-def dim_games(flat: DataFrame) -> DataFrame:
-    return dimension(flat, "game_id", DIM_GAMES_COLS)
+def dim_games(flat: DataFrame, carried: list[str] | None = None) -> DataFrame:
+    return dimension(flat, "game_id", DIM_GAMES_COLS, carried)
 
 
-def dim_platform(flat: DataFrame) -> DataFrame:
-    return dimension(flat, "platform_code", DIM_PLATFORM_COLS)
+def dim_platform(flat: DataFrame, carried: list[str] | None = None) -> DataFrame:
+    return dimension(flat, "platform_code", DIM_PLATFORM_COLS, carried)
 
 
-def dim_time(flat: DataFrame) -> DataFrame:
-    return dimension(flat, "obs_date", DIM_TIME_COLS)
+def dim_time(flat: DataFrame, carried: list[str] | None = None) -> DataFrame:
+    return dimension(flat, "obs_date", DIM_TIME_COLS, carried)
 
 
-def fact_weekly_metrics(flat: DataFrame) -> DataFrame:
+def fact_weekly_metrics(flat: DataFrame, carried: list[str] | None = None) -> DataFrame:
     """Plain projection of the time-varying columns; no row is merged or dropped."""
-    return flat.select(*present(flat, FACT_COLS))
+    return flat.select(*contract(flat, FACT_COLS, carried))
 
 
 def fd_audit(flat: DataFrame) -> DataFrame:
@@ -60,7 +67,7 @@ def fd_audit(flat: DataFrame) -> DataFrame:
     """
     parts = []
     for table, (key, cols) in STAR_TABLES.items():
-        cols = present(flat, cols)
+        cols = contract(flat, cols, flat.columns)  # audits whatever the source carries
         attrs = [c for c in cols if c != key]
         if key not in cols or not attrs:
             continue

@@ -1,9 +1,8 @@
 """DuckDB SQL equivalents of the registered queries (the correctness oracle).
 
 Each statement recomputes the observation recast and star schema as CTEs over
-the driver's tables, then answers the question in plain SQL.  Rounding follows
-the library's rule (six-place decimal, then round half up) wherever a finite
-measure is rounded; plain ROUND where non-finite values must survive.
+the driver's tables, then answers the question in plain SQL.  ROUND on
+decimals of fifteen places settles exact ties; plain ROUND serves non-finite values.
 """
 
 from __future__ import annotations
@@ -21,30 +20,34 @@ from tessera.schema import (
     CAT_COLS,
     DISCOUNT_BUCKETS,
     EXPECTED_MIN_ROWS,
-    FACT_MEASURES,
     MODEL_COLS,
     PHASE_ORDER,
     RANDOM_STATE,
     SAMPLE_SIZE,
     STAR_TABLE_ORDER,
     TARGET_COL,
-    TEST_SIZE,
 )
 from tessera.sources.observations import FLAT_COLS
 
 DEMO_SAMPLE_SIZE = 5_000
 SCORE_THRESHOLD = 0.7
+# The test part as a fraction.
+TEST_NUM, TEST_DEN = 2, 10
 
 _DOUBLE_FLAT = {
     "base_price_usd", "publisher_avg_budget", "current_price_usd", "discount_pct", "player_growth_rate",
     "steam_rating_pct", "twitch_viewers_proxy", "hype_score", "estimated_revenue_usd", "target_revenue_next_4w",
 }
+# Floating columns of the fact table.
+FACT_MEASURES = ["current_price_usd", "discount_pct", "player_growth_rate", "steam_rating_pct", "twitch_viewers_proxy", "hype_score",
+                 "estimated_revenue_usd", "target_revenue_next_4w"]
 _DOUBLE_MODEL = _DOUBLE_FLAT & set(MODEL_COLS)
 
 
 def r(expr: str, digits: int) -> str:
-    """Round a finite measure: decimal(38,6) first, then half up, back to DOUBLE."""
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38, 6)), {digits}) AS DOUBLE)"
+    """ROUND with exact decimal ties up; values out of the decimal's range by plain ROUND."""
+    x = f"CAST({expr} AS DOUBLE)"
+    return f"CASE WHEN abs({x}) < 1e20 THEN CAST(ROUND(TRY_CAST({x} AS DECIMAL(38, 15)), {digits}) AS DOUBLE) ELSE ROUND({x}, {digits}) END"
 
 
 def bucket_sql(col: str = "discount_pct") -> str:
@@ -70,22 +73,28 @@ _KEEP = ", ".join(c for c in MODEL_COLS if c not in CAT_COLS)
 MODEL_CTES = f"""model_frame AS (
     SELECT {', '.join(MODEL_COLS)} FROM flat
 ),
-model_sample AS (
-    SELECT * FROM model_frame
-    ORDER BY md5(concat_ws('|', '{RANDOM_STATE}', 'sample', obs_key)) LIMIT {SAMPLE_SIZE}
-),
 encoded AS (
     SELECT {_KEEP},
         {_ENC}
-    FROM model_sample
+    FROM model_frame
+),
+class_sizes AS (
+    SELECT {TARGET_COL} AS cls, COUNT(*) AS n_c, CAST({TEST_NUM} AS BIGINT) * COUNT(*) AS part,
+        CAST(CEIL(CAST({TEST_NUM} * SUM(COUNT(*)) OVER () AS DECIMAL(38, 3)) / {TEST_DEN}) AS BIGINT) AS total
+    FROM encoded GROUP BY 1
+),
+quotas AS (
+    SELECT cls, part // {TEST_DEN} + CAST(ROW_NUMBER() OVER (ORDER BY part % {TEST_DEN} DESC, CAST(cls AS VARCHAR))
+        <= total - SUM(part // {TEST_DEN}) OVER () AS BIGINT) AS quota
+    FROM class_sizes
 ),
 model_split AS (
-    SELECT *,
+    SELECT encoded.*,
         CASE WHEN ROW_NUMBER() OVER (PARTITION BY {TARGET_COL}
                                      ORDER BY md5(concat_ws('|', '{RANDOM_STATE}', 'split', obs_key)))
-                  <= ROUND({TEST_SIZE} * COUNT(*) OVER (PARTITION BY {TARGET_COL}))
+                  <= quota
              THEN 'test' ELSE 'train' END AS split
-    FROM encoded
+    FROM encoded JOIN quotas ON cls = {TARGET_COL}
 ),
 scored_test AS (
     SELECT obs_key, {TARGET_COL} AS label,
@@ -267,7 +276,7 @@ def _frame_shape_sql() -> str:
 
     n_feat = len(feature_list(MODEL_COLS, DROP_COLS, TARGET_COL, extra_drop=["obs_key"]))
     return f"""SELECT 'full' AS frame, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST({len(MODEL_COLS)} AS INTEGER) AS n_columns FROM model_frame
-    UNION ALL SELECT 'sample', CAST(COUNT(*) AS BIGINT), CAST({len(MODEL_COLS)} AS INTEGER) FROM model_sample
+    UNION ALL SELECT 'fit', CAST(LEAST(COUNT(*), {SAMPLE_SIZE}) AS BIGINT), CAST({n_feat} AS INTEGER) FROM model_split WHERE split = 'train'
     UNION ALL SELECT 'train', CAST(COUNT(*) AS BIGINT), CAST({n_feat} AS INTEGER) FROM model_split WHERE split = 'train'
     UNION ALL SELECT 'test', CAST(COUNT(*) AS BIGINT), CAST({n_feat} AS INTEGER) FROM model_split WHERE split = 'test'"""
 
@@ -279,7 +288,7 @@ def _minimums_values() -> str:
 def _label_map_sql() -> str:
     parts = [
         f"SELECT '{c}' AS column_name, label, CAST(DENSE_RANK() OVER (ORDER BY label) - 1 AS INTEGER) AS code "
-        f"FROM (SELECT DISTINCT COALESCE(CAST({c} AS VARCHAR), 'nan') AS label FROM model_sample)"
+        f"FROM (SELECT DISTINCT COALESCE(CAST({c} AS VARCHAR), 'nan') AS label FROM model_frame)"
         for c in CAT_COLS
     ]
     return "\nUNION ALL\n".join(parts)
@@ -369,13 +378,13 @@ def oracle_sql() -> dict[str, str]:
     GROUP BY t.obs_year, t.obs_quarter"""),
         "nonfinite_audit": with_star(_nonfinite_sql()),
         "observation_null_counts": with_star(_null_counts_sql("flat", FLAT_COLS, _DOUBLE_FLAT)),
-        "null_counts": with_model(_null_counts_sql("model_sample", MODEL_COLS, _DOUBLE_MODEL)),
+        "null_counts": with_model(_null_counts_sql("model_frame", MODEL_COLS, _DOUBLE_MODEL)),
         "target_distribution": with_model(
             f"""SELECT {TARGET_COL}, {r('CAST(COUNT(*) AS DOUBLE) / SUM(COUNT(*)) OVER ()', 3)} AS proportion
     FROM model_frame WHERE {TARGET_COL} IS NOT NULL GROUP BY {TARGET_COL}"""),
         "sample_target_distribution": with_model(
             f"""SELECT {TARGET_COL}, {r('CAST(COUNT(*) AS DOUBLE) / SUM(COUNT(*)) OVER ()', 3)} AS proportion
-    FROM model_sample WHERE {TARGET_COL} IS NOT NULL GROUP BY {TARGET_COL}"""),
+    FROM model_split WHERE split = 'train' AND {TARGET_COL} IS NOT NULL GROUP BY {TARGET_COL}"""),
         "frame_shape": with_model(_frame_shape_sql()),
         "exact_sample": with_model(
             f"""SELECT obs_key, game_id, {TARGET_COL} FROM model_frame

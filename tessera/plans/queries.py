@@ -17,7 +17,6 @@ from tessera.operators import checks, features, metrics, models, reports, sampli
 from tessera.schema import (
     CAT_COLS,
     DROP_COLS,
-    FACT_MEASURES,
     LEAKY_FEATURE,
     MODEL_COLS,
     RANDOM_STATE,
@@ -84,7 +83,6 @@ def deterministic_score() -> F.Column:
 
 @dataclass
 class Prepared:
-    sample_path: str
     split_path: str
     map_path: str
     features_v1: list[str]
@@ -96,7 +94,7 @@ _FITTED: dict[tuple, models.FittedModel] = {}
 
 
 def prepared(spark: SparkSession, sf: str) -> Prepared:
-    """Sample -> label-encode (fitted on the whole sample) -> stratified split, written once."""
+    """Label-encode and split the whole modelling frame, written once."""
     with stage.BUILD_LOCK:
         return _prepared(spark, sf)
 
@@ -106,26 +104,18 @@ def _prepared(spark: SparkSession, sf: str) -> Prepared:
     key = (spark.sparkContext.applicationId, st.root)
     if key in _PREPARED:
         return _PREPARED[key]
-    suffix = f"{RANDOM_STATE}_{SAMPLE_SIZE}"
-    sample_path = f"{st.root}/model_sample_{suffix}"
+    suffix = f"{RANDOM_STATE}_{_model_version()}"
     split_path = f"{st.root}/model_split_{suffix}"
     map_path = f"{st.root}/model_label_map_{suffix}"
-    try:
-        for p in (sample_path, map_path, split_path):
-            spark.read.parquet(p)
-    except Exception:  # not written yet
-        # Each step reads the previous one back from storage: no step re-derives
-        # the sample, and a lost executor re-reads files instead of recomputing.
-        sampling.exact_sample(model_frame(spark, sf), SAMPLE_SIZE, RANDOM_STATE) \
-            .write.mode("overwrite").parquet(sample_path)
-        sample = spark.read.parquet(sample_path)
-        features.label_map(sample, CAT_COLS).write.mode("overwrite").parquet(map_path)
+    if not all(stage.written(spark, p) for p in (map_path, split_path)):
+        frame = model_frame(spark, sf)
+        features.label_map(frame, CAT_COLS).write.mode("overwrite").parquet(map_path)
         mapping = spark.read.parquet(map_path)
-        encoded, _ = features.label_encode(sample, CAT_COLS, mapping)
+        encoded, _ = features.label_encode(frame, CAT_COLS, mapping)
         sampling.stratified_split(encoded, TARGET_COL, seed=RANDOM_STATE).write.mode("overwrite").parquet(split_path)
     f1 = features.feature_list(MODEL_COLS, DROP_COLS, TARGET_COL, extra_drop=["obs_key"])
     f2 = [c for c in f1 if c != LEAKY_FEATURE]
-    prep = Prepared(sample_path, split_path, map_path, f1, f2)
+    prep = Prepared(split_path, map_path, f1, f2)
     _PREPARED[key] = prep
     return prep
 
@@ -139,11 +129,6 @@ def _train_test(spark, sf) -> tuple[DataFrame, DataFrame]:
     return s.filter(F.col("split") == "train").drop("split"), s.filter(F.col("split") == "test").drop("split")
 
 
-def _weights(spark, sf) -> dict:
-    train, _ = _train_test(spark, sf)
-    return features.class_weights(train, TARGET_COL).first().asDict()
-
-
 def fitted(spark: SparkSession, sf: str, name: str) -> models.FittedModel:
     """Fit (once per session and stage) one of: logistic_regression, gbt_v1, gbt_v2."""
     with stage.BUILD_LOCK:
@@ -156,9 +141,11 @@ def _model_version() -> str:
     import inspect
 
     from tessera import schema
-    from tessera.operators import ordered
+    from tessera.functions import categorical, numeric
+    from tessera.operators import joins, ordered
 
-    src = "".join(inspect.getsource(m) for m in (models, features, sampling, ordered, schema))
+    src = "".join(inspect.getsource(m) for m in (models, features, sampling, ordered, schema, categorical, numeric, joins))
+    src += inspect.getsource(_fitted) + inspect.getsource(_prepared)
     return hashlib.sha1(src.encode()).hexdigest()[:12]
 
 
@@ -174,7 +161,9 @@ def _fitted(spark: SparkSession, sf: str, name: str) -> models.FittedModel:
         return loaded
     prep = prepared(spark, sf)
     train, test = _train_test(spark, sf)
-    w = _weights(spark, sf)
+    # The bounded sample of the train part is for the fit alone.
+    train = sampling.exact_sample(train, SAMPLE_SIZE, RANDOM_STATE)
+    w = features.class_weights(train, TARGET_COL).first().asDict()
     # The training sample is bounded (SAMPLE_SIZE rows), and an iterative fit runs
     # several small jobs per iteration, so per-task overhead dominates: about
     # TRAIN_ROWS_PER_PARTITION rows per task, capped at the core count.
@@ -322,20 +311,16 @@ def q_calendar_rollup(spark, sf):
 
 
 def q_nonfinite_audit(spark, sf):
-    return checks.nonfinite_audit(fact(spark, sf), FACT_MEASURES)
+    df = fact(spark, sf)
+    return checks.nonfinite_audit(df, [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")])
 
 
 def q_observation_null_counts(spark, sf):
     return checks.null_counts(observations(spark, sf))
 
 
-def _sample(spark, sf):
-    """The written exact sample of the modelling frame (before encoding)."""
-    return spark.read.parquet(prepared(spark, sf).sample_path)
-
-
 def q_null_counts(spark, sf):
-    return checks.null_counts(_sample(spark, sf))
+    return checks.null_counts(model_frame(spark, sf))
 
 
 def q_target_distribution(spark, sf):
@@ -343,7 +328,8 @@ def q_target_distribution(spark, sf):
 
 
 def q_sample_target_distribution(spark, sf):
-    return checks.value_distribution(_sample(spark, sf), TARGET_COL)
+    """Distribution over the part that the models' training sample is drawn from."""
+    return checks.value_distribution(_train_test(spark, sf)[0], TARGET_COL)
 
 
 def q_frame_shape(spark, sf):
@@ -351,7 +337,7 @@ def q_frame_shape(spark, sf):
     train, test = _train_test(spark, sf)
     return checks.frame_shape({
         "full": model_frame(spark, sf),
-        "sample": _sample(spark, sf),
+        "fit": sampling.exact_sample(train, SAMPLE_SIZE, RANDOM_STATE).select(*prep.features_v1),
         "train": train.select(*prep.features_v1),
         "test": test.select(*prep.features_v1),
     })
@@ -457,9 +443,7 @@ def observations_csv(spark, sf) -> str:
     """Path of the flat source written as CSV (inf/NaN as text), written on first use."""
     src = observations(spark, sf)
     path = f"{stage.stage(spark, sf).root}/observations_csv"
-    try:
-        files.read_csv(spark, path, src.schema).limit(1).count()
-    except Exception:  # not written yet
+    if not stage.written(spark, path):
         files.write_csv(src, path)
     return path
 

@@ -86,33 +86,24 @@ DIM_TIME_COLS = [
 ]
 
 FACT_COLS = [
-    # keys
     "game_id", "platform_code", "obs_date",
-    # lifecycle
     "days_since_release", "days_since_release_log", "launch_phase", "is_new_release",
-    # pricing
     "current_price_usd", "original_price_usd", "discount_pct", "is_on_sale", "sale_event_name",
     "lowest_price_usd", "decay_factor", "price_vs_launch", "launch_price_decay", "price_change_abs",
     "price_change_pct", "price_7obs_avg", "price_30obs_avg", "price_volatility", "price_all_time_low",
     "is_all_time_low", "discount_frequency_proxy", "discount_intensity", "affordability_index",
-    # regional pricing
     "price_na", "price_eu", "price_gb", "price_jp", "price_br", "price_au",
-    # engagement
     "concurrent_players", "peak_ccu_alltime", "ccu_7obs_avg", "ccu_30obs_avg", "player_growth_rate",
     "review_count", "positive_reviews", "negative_reviews", "steam_rating_pct", "user_score",
     "metacritic_score", "wishlist_count", "twitch_viewers_proxy", "youtube_views_proxy",
     "reddit_mentions", "social_hype_index", "hype_score", "virality_score", "influencer_boost_proxy",
     "popularity_momentum", "review_velocity", "review_growth_rate",
-    # revenue
     "estimated_units_sold", "estimated_revenue_usd", "revenue_per_review", "revenue_per_player",
     "revenue_cumulative", "units_cumulative", "monetisation_intensity", "revenue_momentum_4w",
-    # sentiment
     "has_controversy", "controversy_day", "controversy_score", "engagement_to_price",
     "review_times_rating", "critic_user_gap", "sentiment_stability", "community_health_score",
     "tier_label", "genre_popularity_rank", "platform_popularity_rank",
-    # anomaly flags
     "rating_drop_flag", "fake_discount_flag", "player_spike_flag", "review_inflation_flag",
-    # ML targets
     "target_ccu_next_4w", "target_revenue_next_4w", "target_price_next_4w",
     "target_review_count_next_4w", "target_is_on_sale_next_obs", "target_breakout_hit",
     "target_sleeper_hit", "target_long_tail",
@@ -154,15 +145,3 @@ MODEL_COLS = [
     "discount_pct",
     "days_since_release",
 ]
-
-# Double-typed measures of the fact table audited for inf / NaN.
-FACT_MEASURES = [
-    "current_price_usd",
-    "discount_pct",
-    "player_growth_rate",
-    "steam_rating_pct",
-    "twitch_viewers_proxy",
-    "hype_score",
-    "estimated_revenue_usd",
-    "target_revenue_next_4w",
-]

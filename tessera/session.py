@@ -73,6 +73,8 @@ def work_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     if not sc.getCheckpointDir():
         # Named in the session conf after the context started (or a test folder):

@@ -16,6 +16,10 @@ CSV_OPTIONS = {
     "nanValue": "nan",
     "dateFormat": "yyyy-MM-dd",
     "mode": "FAILFAST",
+    # RFC 4180: a quote inside quotes is doubled, and a quoted text may hold line breaks.
+    "quote": '"',
+    "escape": '"',
+    "multiLine": "true",
 }
 
 
@@ -45,12 +49,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
                 .when(c == F.lit(float("-inf")), F.lit("-inf"))
                 .otherwise(c.cast("string")),
             )
-    out.write.mode(mode).option("header", "true").csv(path)
-
-
-def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Create-or-replace a Parquet table at ``path``."""
-    df.write.mode(mode).parquet(path)
+    out.write.mode(mode).options(header="true", quote='"', escape='"').csv(path)
 
 
 _TYPE_NAMES = {
@@ -95,8 +94,10 @@ def file_inventory(spark: SparkSession, root: str, pattern: str = "*.parquet") -
         .load(root)
         .select("path", "length")
     )
+    # The part of the path after the root, by position: the root is text, not a pattern.
     prefix = root.rstrip("/") + "/"
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + prefix.replace(".", r"\."), "")
+    rel = F.expr("substring(path, instr(path, prefix) + length(prefix))")
+    files = files.withColumn("prefix", F.lit(prefix))
     return files.select(rel.alias("relative_path"), (F.col("length") / (1024 * 1024)).alias("size_mb")).orderBy(
         "relative_path"
     )

@@ -188,8 +188,11 @@ def _with_growth(rows: DataFrame, partitioned: bool = False) -> DataFrame:
         .withColumn("_cell_last", F.last("concurrent_players").over(w_all))
     )
     w_game = Window.partitionBy("game_id").orderBy("obs_date")
-    cell_prev = spread.filter(F.col("_pos") == 1).select(*cell, F.lag("_cell_last").over(w_game).alias("_prev_cell"))
-    joined = spread.join(cell_prev, cell, "inner")
+    cell_prev = spread.filter(F.col("_pos") == 1).select(F.col("game_id").alias("_game"), F.col("obs_date").alias("_date"),
+                                                         F.lag("_cell_last").over(w_game).alias("_prev_cell"))
+    # Null-safe: rows without a date or a game are cells of their own.
+    same = F.col("game_id").eqNullSafe(F.col("_game")) & F.col("obs_date").eqNullSafe(F.col("_date"))
+    joined = spread.join(cell_prev, same, "inner").drop("_game", "_date")
     prev = F.when(F.col("_pos") == 1, F.col("_prev_cell")).otherwise(F.col("_prev_in_cell"))
     return joined.withColumn("player_growth_rate", growth_rate(F.col("concurrent_players"), prev)).drop(
         "_prev_in_cell", "_pos", "_prev_cell", "_cell_last"

@@ -16,7 +16,6 @@ proven size bounds for broadcast decisions.
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 from dataclasses import dataclass
 
@@ -27,7 +26,7 @@ from pyspark.sql.utils import AnalysisException
 from tessera.operators import star
 from tessera.schema import STAR_TABLE_ORDER
 from tessera.session import work_dir
-from tessera.sources.observations import observations
+from tessera.sources.observations import FLAT_COLS, observations
 
 SOURCE_TABLES = ["lineitem", "part", "supplier", "nation", "region"]
 
@@ -56,30 +55,44 @@ def _code_version() -> bytes:
     import inspect
 
     from tessera import schema
+    from tessera.functions import categorical, numeric
+    from tessera.operators import joins
     from tessera.sources import observations as obs_mod
 
-    return b"".join(inspect.getsource(m).encode() for m in (obs_mod, star, schema))
+    return b"".join(inspect.getsource(m).encode() for m in (obs_mod, star, schema, categorical, numeric, joins))
 
 
-def _fingerprint(sf_dir: str) -> str:
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+def _listing(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of the files under ``path``, by the file source that reads it."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length", "modificationTime")
+    row = files.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime").cast("string"),
+                    F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")).cast("string")).first()
+    return "|".join(map(str, row))
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    h = hashlib.sha1(sf_dir.encode())
     h.update(_code_version())
     for name in SOURCE_TABLES:
-        p = os.path.join(sf_dir, f"{name}.parquet")
-        try:
-            st = os.stat(p)
-            h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:
-            # Not a local path (object store / HDFS): the path itself identifies it.
-            h.update(name.encode())
+        h.update(f"{name}:{_listing(spark, f'{sf_dir}/{name}.parquet')}".encode())
     return h.hexdigest()[:16]
 
 
-def _read_manifest(spark: SparkSession, root: str) -> dict[str, int] | None:
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to ``path`` to its end; any other failure than a missing path is raised."""
     try:
-        rows = spark.read.parquet(f"{root}/_manifest").collect()  # <= 5 rows
-    except AnalysisException:
+        spark.read.format("binaryFile").load(f"{path}/_SUCCESS").select("path").limit(1).count()
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
+def _read_manifest(spark: SparkSession, root: str) -> dict[str, int] | None:
+    if not written(spark, f"{root}/_manifest"):
         return None
+    rows = spark.read.parquet(f"{root}/_manifest").collect()  # <= 5 rows
     counts = {r["table_name"]: int(r["row_count"]) for r in rows}
     return counts if all(t in counts for t in ["observations", *STAR_TABLE_ORDER]) else None
 
@@ -90,53 +103,64 @@ def _write(df: DataFrame, path: str) -> int:
 
 
 def with_row_key(flat: DataFrame, key: str = "obs_key") -> DataFrame:
-    """Add a stable observation key when the source has none: md5 over every
-    column's text form (NULL as empty), the identity used for seeded sampling."""
+    """Add a stable observation key when the source has none: md5 over every column's
+    text with its length before it (NULL apart from empty), the identity used for
+    seeded sampling.  Equal rows share a key, different rows never the same text."""
     if key in flat.columns:
         return flat
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in flat.columns]
-    return flat.withColumn(key, F.md5(F.concat_ws("|", *parts)))
+    texts = [F.col(f"`{c}`").cast("string") for c in flat.columns]
+    parts = [F.when(t.isNull(), F.lit("N;")).otherwise(F.concat(F.length(t).cast("string"), F.lit(":"), t, F.lit(";"))) for t in texts]
+    return flat.withColumn(key, F.md5(F.concat(*parts)))
 
 
 def build_stage(spark: SparkSession, sf_dir: str, root: str) -> Stage:
     """Derive the flat source from the driver tables, then write it and the star schema."""
-    return build_stage_from_flat(spark, observations(spark, sf_dir), root)
+    return build_stage_from_flat(spark, observations(spark, sf_dir), root, FLAT_COLS)
 
 
 def stage_csv(spark: SparkSession, csv_path: str, schema=None, root: str | None = None,
-              sampling_ratio: float = 0.1) -> Stage:
+              carried: list[str] | None = None) -> Stage:
     """Ingest a flat observation CSV (header; 'inf'/'nan' as text) into a star schema.
 
     Pass the declared ``schema`` for production loads; without it types are
-    inferred from a ``sampling_ratio`` share of the rows.  The CSV is read once and
+    inferred from all rows.  A CSV that lacks columns of the contract is an error
+    unless ``carried`` names those it has.  A changed file gets a new folder.  The CSV is read once and
     staged as Parquet; the four tables are built from that Parquet copy.
     """
     from tessera.sources.files import read_csv
 
-    root = root or f"{work_dir(spark)}/tessera-stage/csv-{hashlib.sha1(csv_path.encode()).hexdigest()[:16]}"
+    root = root or f"{work_dir(spark)}/tessera-stage/csv-{_csv_key(spark, csv_path, schema, carried)}"
     with BUILD_LOCK:
         counts = _read_manifest(spark, root)
         if counts:
             return Stage(root, counts)
-        return build_stage_from_flat(spark, read_csv(spark, csv_path, schema, sampling_ratio), root)
+        return build_stage_from_flat(spark, read_csv(spark, csv_path, schema), root, carried)
+
+
+def _csv_key(spark: SparkSession, path: str, schema, carried: list[str] | None) -> str:
+    kind = schema if schema is None or isinstance(schema, str) else schema.json()
+    said = f"{path}|{_listing(spark, path)}|{kind}|{carried}".encode()
+    return hashlib.sha1(said + _code_version()).hexdigest()[:16]
 
 
-def build_stage_from_flat(spark: SparkSession, flat_source: DataFrame, root: str) -> Stage:
+def build_stage_from_flat(spark: SparkSession, flat_source: DataFrame, root: str, carried: list[str] | None = None) -> Stage:
     """Write the flat source and the four star tables under ``root``, then the manifest."""
     counts: dict[str, int] = {}
     counts["observations"] = _write(with_row_key(flat_source), f"{root}/observations")
     flat = spark.read.parquet(f"{root}/observations")
-    counts["dim_games"] = _write(star.dim_games(flat), f"{root}/dim_games")
-    counts["dim_platform"] = _write(star.dim_platform(flat), f"{root}/dim_platform")
-    counts["dim_time"] = _write(star.dim_time(flat), f"{root}/dim_time")
+    counts["dim_games"] = _write(star.dim_games(flat, carried), f"{root}/dim_games")
+    counts["dim_platform"] = _write(star.dim_platform(flat, carried), f"{root}/dim_platform")
+    counts["dim_time"] = _write(star.dim_time(flat, carried), f"{root}/dim_time")
     # Range-partitioned by date and sorted within files: row-group min/max stats on
     # obs_date then prune date filters; the column is not used as a directory
     # partition (thousands of tiny folders).
-    fact = star.fact_weekly_metrics(flat)
+    fact = star.fact_weekly_metrics(flat, None if carried is None else [*carried, "obs_key"])
     # At least one file per core so scans start fully parallel; at scale the
     # rows-per-file rule dominates.
     n_parts = max(spark.sparkContext.defaultParallelism, counts["observations"] // ROWS_PER_FILE + 1)
-    fact = fact.repartitionByRange(n_parts, "obs_date").sortWithinPartitions("obs_date", "game_id")
+    # The game and the row key split a date that holds more rows than one file.
+    order = ["obs_date", "game_id", "obs_key"]
+    fact = fact.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
     counts["fact_weekly_metrics"] = _write(fact, f"{root}/fact_weekly_metrics")
     manifest = spark.createDataFrame(
         [(name, n) for name, n in counts.items()], "table_name string, row_count bigint"
@@ -147,7 +171,7 @@ def build_stage_from_flat(spark: SparkSession, flat_source: DataFrame, root: str
 
 def stage(spark: SparkSession, sf_dir: str) -> Stage:
     """Return the staged tables for ``sf_dir``, building them on first use."""
-    root = f"{work_dir(spark)}/tessera-stage/{_fingerprint(sf_dir)}"
+    root = f"{work_dir(spark)}/tessera-stage/{_fingerprint(spark, sf_dir)}"
     key = (spark.sparkContext.applicationId, root)
     if key in _STAGES:
         return _STAGES[key]

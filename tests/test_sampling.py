@@ -33,7 +33,8 @@ def test_stratified_split_quota_per_class(spark):
     counts = {(r["split"], r["y"]): r["n_rows"] for r in sampling.split_balance(split, "y").collect()}
     n1 = df.filter("y = 1").count()
     n0 = df.count() - n1
-    assert counts[("test", 1)] == round(0.2 * n1) and counts[("test", 0)] == round(0.2 * n0)
+    assert counts[("test", 1)] + counts[("test", 0)] == 600  # ceil(0.2 * 3000)
+    assert abs(counts[("test", 1)] - 0.2 * n1) < 1 and abs(counts[("test", 0)] - 0.2 * n0) < 1
     assert counts[("train", 1)] + counts[("test", 1)] == n1
     assert split.count() == df.count()
 
