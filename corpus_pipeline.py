@@ -41,7 +41,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     of it; rows without an id are kept."""
     classes = minhash.near_duplicates(docs)
     kept = written(classes.filter("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "pipeline-kept")
-    out = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
+    # The kept ids grow with the corpus: the same shuffle join at any size.
+    out = docs.join(kept.select("doc_id").hint("merge"), "doc_id", "left_semi")
     if kept.filter("n > 1").limit(1).count():  # an id in several rows: one of them
         out = out.dropDuplicates(["doc_id"])
     return out.select(docs.columns).unionAll(docs.filter("doc_id is null"))
