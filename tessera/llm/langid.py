@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, steps
+from .common import buffers, small_batches, steps
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -171,6 +171,7 @@ def predict(docs: DataFrame, net: Network | None, carry: list[Column] | None = N
     The prediction reads nothing but ``text``.  A null text or one without a letter is `und`
     with score 0, and so is every text if nothing could be learned.
     """
+    small_batches(docs.sparkSession)
     carry = [F.col("doc_id")] if carry is None else carry
     schema = docs.select(*carry).schema
     from pyspark.sql.types import DoubleType, StringType

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, mix, steps, words_at
+from .common import buffers, mix, small_batches, steps, words_at
 
 UNKNOWN = "unknown"
 #: Sentences by which licence families are told, after the public licence texts.
@@ -223,6 +223,8 @@ def scan(docs: DataFrame, model: Classifier, *, id_col: str = "doc_id", text_col
     A null or empty text has no paragraph and finds nothing; null ids stay, equal rows give
     equal rows, an empty table none; other columns play no part.
     """
+    small_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = buffers(batch.column(1))

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, mix, steps, word_hashes, written
+from .common import buffers, mix, small_batches, steps, word_hashes, written
 
 #: Bytes of text in a block, one text at least.
 BLOCK_BYTES = 7_000_000
@@ -264,6 +264,7 @@ def score(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: s
     counted; without any training row both models are uniform over one token, so scores are
     0; an empty table gives no rows.  Other columns play no part.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     blocks = written(tokenised(rows), "lm-blocks")

@@ -21,14 +21,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, steps
+from .common import buffers, small_batches, steps
 
 CAPACITY = 2048
 END_ID = 1
 #: A bin of class k is left with this share of padding at most, else the piece is cut.
 PAD_SHARE = 1 / 64
 #: Words whose ids a task keeps at hand; the store is emptied beyond that.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 500_000
 #: Sequences that one task can number.
 SEQUENCE_BITS = 33
 
@@ -205,6 +205,8 @@ def pack(docs: DataFrame, tokenizer_file: str, *, id_col: str = "doc_id", text_c
     their names, play no part.  Memory of a task: the ids of one document, one step of text,
     the open bins (at most ``capacity`` ids for each class met) and the word store.
     """
+    small_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_ids(tokenizer_file)
         bins = Bins(capacity, TaskContext.get().partitionId() << SEQUENCE_BITS, pad_share)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix
+from .common import mix, small_batches
 
 K, W = 16, 64
 _BASE = 0x5851F42D4C957F2D
@@ -171,5 +171,6 @@ def edits(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k:
         if rows:
             yield take()
 
+    small_batches(docs.sparkSession)
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return with_next(chosen).select("doc_id", "text", "range", "guest").mapInArrow(run, PAIRS)
