@@ -58,12 +58,13 @@ def platform_list(platform: DataFrame) -> DataFrame:
 
 
 def sample_games(games: DataFrame, n: int = 5) -> DataFrame:
-    """A few dimension rows for a spot check (first ``n`` by key, so repeatable)."""
-    cols = [F.col("game_name"), F.col("genre")]
-    for c in ("is_indie", "is_aaa", "release_year"):
-        if c in games.columns:
-            cols.append(F.col(c).cast("int").alias(c))
-    return games.orderBy("game_id").select(*cols).limit(n)
+    """A few dimension rows for a spot check (first ``n`` by key, so repeatable).
+
+    ``developer`` is shown where the source has it (the recast has none); the other columns
+    must be there."""
+    names = ["game_name", *[c for c in ("developer",) if c in games.columns], "genre"]
+    flags = [F.col(c).cast("int").alias(c) for c in ("is_indie", "is_aaa", "release_year")]
+    return games.orderBy("game_id").select(*names, *flags).limit(n)
 
 
 def revenue_sanity(fact: DataFrame) -> DataFrame:
@@ -95,6 +96,26 @@ def verification_report(spark: SparkSession, tables: dict[str, DataFrame],
     return out, passed
 
 
+def report_rows(report: dict[str, DataFrame]) -> DataFrame:
+    """The frames of :func:`verification_report` as one: (section, item, detail, value)."""
+    def part(section: str, frame: DataFrame, item: F.Column, detail: F.Column, value: F.Column) -> DataFrame:
+        return frame.select(F.lit(section).alias("section"), item.cast("string").alias("item"),
+                            detail.cast("string").alias("detail"), value.cast("double").alias("value"))
+
+    found = []
+    if "row_count_check" in report:
+        passed = F.when(F.col("passed"), "passed").otherwise("failed")
+        found.append(part("row_count_check", report["row_count_check"], F.col("table_name"), passed, F.col("row_count")))
+    if "platforms" in report:
+        found.append(part("platforms", report["platforms"], F.col("platform"), F.col("storefront"), F.col("platform_code")))
+    if "sample_games" in report:
+        found.append(part("sample_games", report["sample_games"], F.col("game_name"), F.col("genre"), F.col("release_year")))
+    if "revenue_sanity" in report:
+        sanity = report["revenue_sanity"]
+        found.append(part("revenue_sanity", sanity.unpivot([], sanity.columns, "item", "value"), F.col("item"), F.lit(None), F.col("value")))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _missing(df: DataFrame, c: str) -> F.Column:
     """NULL, or NaN for floating columns (what a pandas null check counts)."""
     dtype = df.schema[c].dataType

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.categorical import as_label_text
@@ -47,9 +47,18 @@ def label_encode(df: DataFrame, cols: list[str], mapping: DataFrame | None = Non
 def feature_list(columns: list[str], drop: list[str], target: str, extra_drop: list[str] | None = None) -> list[str]:
     """Model inputs: every column except identifiers, dropped ones and the target."""
     gone = set(drop) | {target} | set(extra_drop or [])
+    unknown = sorted(gone - set(columns))
+    if unknown:
+        raise KeyError(f"columns not found: {unknown}")
     return [c for c in columns if c not in gone]
 
 
+def feature_columns(spark: SparkSession, sets: dict[str, DataFrame]) -> DataFrame:
+    """(feature_set, position, feature): the columns of each feature frame, in order."""
+    rows = [(name, i + 1, c) for name, df in sets.items() for i, c in enumerate(df.columns)]
+    return spark.createDataFrame(rows, "feature_set string, position int, feature string")
+
+
 def class_weights(train: DataFrame, target: str) -> DataFrame:
     """One row: class counts, 'balanced' weights n/(2*n_c) and the negative/positive ratio."""
     counts = train.agg(

@@ -16,10 +16,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from tessera.functions.numeric import is_finite
 from tessera.operators.metrics import classification_report, roc_auc
 from tessera.schema import GBT_PARAMS, LR_MAX_ITER, RANDOM_STATE
+from tessera.sources.stage import written
 
 LEAK_SHARE = 0.5
+# Stands for a missing feature value: below every measure, so that trees can split it off.
+MISSING = -1.0
 
 
 @dataclass
@@ -32,7 +36,12 @@ class FittedModel:
 
 
 def _assemble(df: DataFrame, features: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep").transform(df)
+    """``df`` with the vector ``features``; NULL, NaN and infinite inputs become :data:`MISSING`,
+    as MLlib refuses them.  The input columns themselves stay as they are."""
+    x = {c: F.col(c).cast("double") for c in features}
+    filled = F.struct(*[F.coalesce(F.when(is_finite(v), v), F.lit(MISSING)).alias(c) for c, v in x.items()])
+    names = [f"_features.{c}" for c in features]
+    return VectorAssembler(inputCols=names, outputCol="features").transform(df.withColumn("_features", filled)).drop("_features")
 
 
 def _predict(model, test: DataFrame, key: str, target: str) -> DataFrame:
@@ -97,18 +106,21 @@ def leak_flag(importances: DataFrame, share: float = LEAK_SHARE) -> DataFrame:
 def evaluate(fitted: FittedModel) -> DataFrame:
     """One row of metrics for a fitted model on its test rows."""
     preds = fitted.predictions
-    auc = roc_auc(preds, "label", "probability")
-    rep = classification_report(preds, "label", "prediction")
-    pos = rep.filter(F.col("label") == "Breakout Hit").select(
-        F.col("precision").alias("precision_pos"), F.col("recall").alias("recall_pos"), F.col("f1_score").alias("f1_pos")
-    )
-    acc = rep.filter(F.col("label") == "accuracy").select(F.col("f1_score").alias("accuracy"))
-    one = F.lit(1).alias("_k")
-    return (
-        auc.select("*", one).join(acc.select("*", one), "_k").join(pos.select("*", one), "_k")
-        .select(F.lit(fitted.name).alias("model"), F.lit(len(fitted.features)).alias("n_features"),
-                "roc_auc", "accuracy", "precision_pos", "recall_pos", "f1_pos")
-    )
+    none = F.lit(None).cast("double")
+    auc = roc_auc(preds, "label", "probability").select(F.lit("roc_auc").alias("label"), none.alias("precision"), none.alias("recall"),
+                                                        F.col("roc_auc").alias("f1_score"))
+    rep = classification_report(preds, "label", "prediction").select("label", "precision", "recall", "f1_score")
+
+    def cell(label: str, column: str, alias: str) -> F.Column:
+        return F.max(F.when(F.col("label") == label, F.col(column))).alias(alias)
+
+    # The report's few rows and the area as one more, read off into one row without a join.
+    return rep.unionByName(auc).agg(
+        cell("roc_auc", "f1_score", "roc_auc"), cell("accuracy", "f1_score", "accuracy"),
+        cell("Breakout Hit", "precision", "precision_pos"), cell("Breakout Hit", "recall", "recall_pos"),
+        cell("Breakout Hit", "f1_score", "f1_pos"),
+    ).select(F.lit(fitted.name).alias("model"), F.lit(len(fitted.features)).alias("n_features"),
+             "roc_auc", "accuracy", "precision_pos", "recall_pos", "f1_pos")
 
 
 def persist(df: DataFrame) -> DataFrame:
@@ -132,9 +144,8 @@ def save(spark: SparkSession, fitted: FittedModel, root: str) -> FittedModel:
 
 def load(spark: SparkSession, name: str, root: str) -> FittedModel | None:
     """A model saved by :func:`save`, or None when the folder is absent or incomplete."""
-    try:
-        imp = spark.read.parquet(f"{root}/_importances").orderBy("position").collect()  # one row per feature
-        preds = spark.read.parquet(f"{root}/predictions")
-    except Exception:  # not written yet
+    if not written(spark, f"{root}/_importances"):  # a storage error is raised, never read as absence
         return None
+    imp = spark.read.parquet(f"{root}/_importances").orderBy("position").collect()  # one row per feature
+    preds = spark.read.parquet(f"{root}/predictions")
     return FittedModel(name, [r["feature"] for r in imp], preds, [(r["feature"], r["importance"]) for r in imp])

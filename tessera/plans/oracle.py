@@ -16,19 +16,21 @@ from tessera.plans.oracle_base import (
     STAR_CTES,
     with_star,
 )
-from tessera.schema import (
-    CAT_COLS,
-    DISCOUNT_BUCKETS,
-    EXPECTED_MIN_ROWS,
-    MODEL_COLS,
-    PHASE_ORDER,
-    RANDOM_STATE,
-    SAMPLE_SIZE,
-    STAR_TABLE_ORDER,
-    TARGET_COL,
-)
 from tessera.sources.observations import FLAT_COLS
 
+# Fixed values, written out again here on purpose: a slip in the library's own shows as a mismatch.
+PHASE_ORDER = ["launch_week", "launch_month", "launch_quarter", "first_year", "second_year", "long_tail"]
+DISCOUNT_BUCKETS = [("0% (no discount)", None, None), ("1-9%", 0, 10), ("10-24%", 10, 25), ("25-49%", 25, 50),
+                    ("50-74%", 50, 75), ("75%+", None, None)]
+EXPECTED_MIN_ROWS = {"dim_games": 9_000, "dim_platform": 6, "dim_time": 2_000, "fact_weekly_metrics": 5_000_000}
+STAR_TABLE_ORDER = ["dim_games", "dim_platform", "dim_time", "fact_weekly_metrics"]
+RANDOM_STATE, SAMPLE_SIZE, TARGET_COL = 42, 200_000, "target_breakout_hit"
+CAT_COLS = ["genre", "platform_code", "publisher_tier"]
+FEATURES = ["genre", "platform_code", "publisher_tier", "is_aaa", "publisher_avg_budget", "is_multiplayer",
+            "concurrent_players", "hype_score", "twitch_viewers_proxy", "base_price_usd", "is_indie",
+            "steam_rating_pct", "current_price_usd", "discount_pct", "days_since_release"]
+MODEL_COLS = ["obs_key", "game_id", "game_name", "publisher", "genre_code", "target_revenue_next_4w", TARGET_COL, *FEATURES]
+
 DEMO_SAMPLE_SIZE = 5_000
 SCORE_THRESHOLD = 0.7
 # The test part as a fraction.
@@ -271,10 +273,7 @@ def _roundx(sql: str, digits: int = 4) -> str:
 
 
 def _frame_shape_sql() -> str:
-    from tessera.operators.features import feature_list
-    from tessera.schema import DROP_COLS
-
-    n_feat = len(feature_list(MODEL_COLS, DROP_COLS, TARGET_COL, extra_drop=["obs_key"]))
+    n_feat = len(FEATURES)
     return f"""SELECT 'full' AS frame, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST({len(MODEL_COLS)} AS INTEGER) AS n_columns FROM model_frame
     UNION ALL SELECT 'fit', CAST(LEAST(COUNT(*), {SAMPLE_SIZE}) AS BIGINT), CAST({n_feat} AS INTEGER) FROM model_split WHERE split = 'train'
     UNION ALL SELECT 'train', CAST(COUNT(*) AS BIGINT), CAST({n_feat} AS INTEGER) FROM model_split WHERE split = 'train'
@@ -314,6 +313,21 @@ def oracle_sql() -> dict[str, str]:
     FROM (VALUES {_minimums_values()}) e(table_name, minimum)
     LEFT JOIN ({_count_union(STAR_TABLE_ORDER)}) c ON e.table_name = c.table_name"""
         ),
+        "verification_report": with_star(
+            f"""SELECT 'row_count_check' AS section, e.table_name AS item,
+        CASE WHEN c.row_count >= e.minimum THEN 'passed' ELSE 'failed' END AS detail, CAST(c.row_count AS DOUBLE) AS value
+    FROM (VALUES {_minimums_values()}) e(table_name, minimum)
+    LEFT JOIN ({_count_union(STAR_TABLE_ORDER)}) c ON e.table_name = c.table_name
+    UNION ALL SELECT 'platforms', platform, storefront, CAST(platform_code AS DOUBLE) FROM dim_platform
+    UNION ALL SELECT * FROM (SELECT 'sample_games', game_name, genre, CAST(release_year AS DOUBLE) FROM dim_games ORDER BY game_id LIMIT 5)
+    UNION ALL SELECT 'revenue_sanity', 'avg_revenue', NULL, {r('AVG(estimated_revenue_usd)', 2)} FROM fact_weekly_metrics
+    UNION ALL SELECT 'revenue_sanity', 'max_revenue', NULL, {r('MAX(estimated_revenue_usd)', 2)} FROM fact_weekly_metrics
+    UNION ALL SELECT 'revenue_sanity', 'avg_price', NULL, {r('AVG(current_price_usd)', 2)} FROM fact_weekly_metrics
+    UNION ALL SELECT 'revenue_sanity', 'avg_players', NULL, {r('AVG(concurrent_players)', 0)} FROM fact_weekly_metrics"""),
+        "feature_columns": "SELECT * FROM (VALUES " + ", ".join(
+            f"('{name}', CAST({i} AS INTEGER), '{c}')"
+            for name, cols in (("v1", FEATURES), ("v2", [c for c in FEATURES if c != "is_aaa"])) for i, c in enumerate(cols, 1)
+        ) + ") f(feature_set, position, feature)",
         "star_round_trip": with_star("\nUNION ALL\n".join(
             f"SELECT '{n}' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count, "
             f"CAST({len(cols)} AS INTEGER) AS n_columns FROM {n}"

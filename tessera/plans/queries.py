@@ -225,6 +225,12 @@ def q_verification_passed(spark, sf):
     return q_row_count_check(spark, sf).agg(F.bool_and("passed").alias("all_passed"))
 
 
+def q_verification_report(spark, sf):
+    """The whole verification step as rows: count checks, platforms, sample games, revenue sanity."""
+    report, _ = checks.verification_report(spark, {n: _t(spark, sf, n) for n in STAR_TABLE_ORDER})
+    return checks.report_rows(report)
+
+
 def q_star_round_trip(spark, sf):
     """Rows and columns of each star table as read back from its written files."""
     tables = {n: _t(spark, sf, n) for n in STAR_TABLE_ORDER}
@@ -365,14 +371,10 @@ def q_label_encode(spark, sf):
 
 
 def q_feature_columns(spark, sf):
-    prep = prepared(spark, sf)
-    rows = [("v1", i + 1, f) for i, f in enumerate(prep.features_v1)]
-    rows += [("v2", i + 1, f) for i, f in enumerate(prep.features_v2)]
-    cols = set(_split(spark, sf).columns)
-    missing = [f for _, _, f in rows if f not in cols]
-    if missing:
-        raise KeyError(f"features missing from the prepared frame: {missing}")
-    return spark.createDataFrame(rows, "feature_set string, position int, feature string")
+    """The columns that strict drops leave of the prepared training frame, with and without the leaky one."""
+    train, _ = _train_test(spark, sf)
+    v1 = features.drop_columns(train, [*DROP_COLS, "obs_key", TARGET_COL])
+    return features.feature_columns(spark, {"v1": v1, "v2": features.drop_columns(v1, [LEAKY_FEATURE])})
 
 
 def q_class_weights(spark, sf):

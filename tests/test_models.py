@@ -33,3 +33,29 @@ def test_logistic_regression_balanced(spark, sf_small):
     m = models.evaluate(lr).first()
     assert m["roc_auc"] > 0.5
     assert lr.predictions.filter(F.col("probability").isNull()).count() == 0
+
+
+def test_missing_feature_values_are_accepted(spark):
+    rows = [(str(i), i % 2, None if i % 5 == 0 else float(i % 2), float("nan") if i % 7 == 0 else 1.0, 1.0) for i in range(60)]
+    df = spark.createDataFrame(rows, "obs_key string, y int, a double, b double, weight double")
+    for fitted in (models.fit_logistic(df, df, ["a", "b"], "y", "weight", max_iter=20),
+                   models.fit_boosted_trees("t", df, df, ["a", "b"], "y", "weight", n_estimators=2)):
+        assert fitted.predictions.filter("probability between 0 and 1").count() == 60
+        assert models.evaluate(fitted).first()["accuracy"] > 0.8
+
+
+def test_evaluation_plans_no_nested_loop(spark):
+    preds = spark.createDataFrame([("a", 1, 1, 0.9), ("b", 0, 0, 0.1)], "obs_key string, label int, prediction int, probability double")
+    out = models.evaluate(models.FittedModel("m", ["x"], preds))
+    p = out._jdf.queryExecution().toString()
+    assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
+    assert out.first().asDict() == {"model": "m", "n_features": 1, "roc_auc": 1.0, "accuracy": 1.0, "precision_pos": 1.0,
+                                    "recall_pos": 1.0, "f1_pos": 1.0}
+
+
+def test_feature_list_refuses_unknown_drops():
+    import pytest
+
+    assert features.feature_list(["a", "b", "y"], ["a"], "y") == ["b"]
+    with pytest.raises(KeyError):
+        features.feature_list(["a", "b", "y"], ["a", "zz"], "y")
