@@ -209,31 +209,34 @@ def near_duplicates(table: DataFrame, *, id_col: str = "vec_id", vector_col: str
 
     Links join different rows whose vectors have cosine >= ``threshold``, equal vectors
     included; links below it never occur, and of those right at it a share ``miss`` may be
-    missed.  A null, empty or zero vector, one with a null or non-finite component, and one
-    of another length than most vectors links with nothing.  Equal vectors are compared as
+    missed.  A null, empty or zero vector and one with a null or non-finite component link
+    with nothing; vectors of different lengths have no cosine and never link, and each length
+    (few in a table) is compared by its own rotations.  Equal vectors are compared as
     one, with their number as weight.  A row with a null id counts by itself and is its own
     component (null); rows of one id are one vector each but share the id's component.  An
     empty table gives no rows.  Other columns play no part.
     """
+    spark = table.sparkSession
     rows = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("x"))
     good = F.expr("vec_id is not null and x is not null and size(x) > 0 and forall(x, e -> e is not null and not isnan(e) and abs(e) < double('infinity')) and exists(x, e -> e <> 0)")
     usable = rows.filter(F.coalesce(good, F.lit(False)))
-    lengths = usable.groupBy(F.size("x").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    if not lengths:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    dimension = lengths[0]["n"]
     # Equal vectors by the digest of their components (-0.0 is 0.0).
-    same = usable.filter(F.size("x") == dimension).withColumn("x", F.transform("x", lambda e: e + F.lit(0.0)))
+    same = usable.withColumn("x", F.transform("x", lambda e: e + F.lit(0.0)))
     same = same.withColumn("digest", F.sha2(F.array_join(F.transform("x", lambda e: e.cast("string")), ","), 256))
     members = written(same.select("vec_id", "digest"), "rabitq-members")
     classes = same.groupBy("digest").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("weight"), F.first("x").alias("x"))
     classes = classes.withColumn("mark", F.conv(F.substring("digest", 1, 15), 16, 10).cast("long"))
     classes = written(classes.mapInArrow(_as_bytes, "digest string, vec_id long, weight long, mark long, x binary"), "rabitq-classes")
-    parts = written(link_classes(classes, dimension, classes.count(), threshold=threshold, miss=miss), "rabitq-parts")
+    lengths = classes.groupBy((F.length("x") / 8).cast("int").alias("n")).agg(F.count(F.lit(1)).alias("rows")).orderBy("n").collect()
+    linked_parts = spark.createDataFrame([], _TASK)
+    for r in lengths:
+        own = classes if len(lengths) == 1 else classes.filter(F.length("x") == 8 * r["n"])
+        linked_parts = linked_parts.unionAll(link_classes(own, r["n"], r["rows"], threshold=threshold, miss=miss))
+    parts = written(linked_parts, "rabitq-parts")
     linked = parts.groupBy("vec_id", "mark").agg(F.sum("n_links").alias("others"))
     of_class = components(parts.select(F.col("vec_id").alias("u"), F.col("root").alias("v"))).withColumnRenamed("node", "vec_id")
     told = classes.select("digest", "vec_id", "mark", "weight").join(linked, ["vec_id", "mark"], "left").join(of_class, "vec_id", "left")
     told = told.select("digest", (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
     found = members.join(told, "digest").select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
-    rest = rows.filter(~F.coalesce(good, F.lit(False)) | (F.size("x") != dimension))
+    rest = rows.filter(~F.coalesce(good, F.lit(False)))
     return found.unionAll(rest.select("vec_id", F.lit(0).cast("long"), F.col("vec_id"), F.lit(True)))

@@ -37,11 +37,11 @@ def docs(spark, sf_small):
 # --- packing ---
 
 
-def _check_packing(spark, df, rows):
+def _check_packing(packed, rows):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(queries.tokenizer_file())
-    got = packing.pack(df, queries.tokenizer_file()).collect()
+    got = packed.collect()
     by_doc, by_seq = collections.defaultdict(list), collections.defaultdict(list)
     for r in got:
         by_doc[r["doc_id"]].append(r)
@@ -68,8 +68,8 @@ def _check_packing(spark, df, rows):
 
 
 def test_packing(spark, docs, odd, none):
-    assert _check_packing(spark, docs, [(r["doc_id"], r["text"]) for r in docs.collect()]) < 0.02
-    _check_packing(spark, odd, [(r[0], r[1]) for r in ODD])
+    assert _check_packing(packing.pack(docs, queries.tokenizer_file()), [(r["doc_id"], r["text"]) for r in docs.collect()]) < 0.02
+    _check_packing(packing.pack(odd, queries.tokenizer_file()), [(r[0], r[1]) for r in ODD])
     assert packing.pack(none, queries.tokenizer_file()).count() == 0
 
 
@@ -424,6 +424,12 @@ def test_embedding_links(spark, monkeypatch):
     assert sorted((r["vec_id"] or 0, r["n_links"], r["component_id"] or 0) for r in same) == [(0, 0, 0), (1, 2, 1), (1, 2, 1), (2, 2, 1)]
 
 
+def test_embedding_lengths_never_meet(spark):
+    rows = [(1, [1.0, 2.0]), (2, [1.0, 2.0, 0.0]), (3, [1.0, 2.01]), (4, [2.0, 4.0, 0.0]), (5, [3.0]), (6, [0.5]), (7, [-1.0]), (8, [0.0, 0.0, 1.0, 0.0])]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in rabitq.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (1, 1, True), 2: (1, 2, True), 3: (1, 1, False), 4: (1, 2, False), 5: (1, 5, True), 6: (1, 5, False), 7: (0, 7, True), 8: (0, 8, True)}
+
+
 def test_estimates_are_unbiased():
     rng = np.random.default_rng(4)
     x = rng.standard_normal((2, 64))

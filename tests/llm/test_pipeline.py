@@ -13,6 +13,8 @@ from oracle_compare import compare  # noqa: E402
 
 from tessera.llm import minhash, queries  # noqa: E402
 
+from .test_operators import _check_packing, _classes  # noqa: E402
+
 
 def test_stages_keep_the_documents_columns(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet").withColumn("score", F.lit(1))
@@ -32,6 +34,31 @@ def test_stages_keep_the_documents_columns(spark, sf_small):
     assert packing(spark, docs.filter("false"), sf_small).count() == 0
 
 
+def test_stages_against_brute_force(spark, sf_small):
+    import duckdb
+
+    (_, language), (_, dups), (_, mixing), (_, pack) = corpus_pipeline.STAGES
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    one = language(spark, docs, sf_small).cache()
+    before, after = ({r["doc_id"]: r for r in df.collect()} for df in (docs, one))
+    assert set(after) == {i for i, r in before.items() if any(c.isalpha() for c in r["text"] or "")}
+    told = [(r["lang"], before[i]["lang"]) for i, r in after.items() if before[i]["lang"]]
+    assert sum(a == b for a, b in told) >= 0.97 * len(told)
+    rows = [(r["doc_id"], r["text"]) for r in after.values()]
+    weights = minhash.Weights(*minhash.frequent_shingles(one.select("text"), len(rows)), len(rows))
+    two = dups(spark, one, sf_small).cache()
+    left = {r["doc_id"]: r for r in two.collect()}
+    assert sorted(left) == sorted(set(_classes(rows, weights).values())) and len(left) < len(after)
+    con = duckdb.connect()
+    con.register("documents", two.toPandas())
+    sql = queries.ORACLE_SQL["op8_mixing"].replace("2 * sum(tokens)", "1 * sum(tokens)")  # one epoch at most
+    three = mixing(spark, two, sf_small).cache()
+    mixed = {r["doc_id"]: r for r in three.collect()}
+    assert sorted(mixed) == sorted({r[0] for r in con.execute(f"SELECT doc_id FROM ({sql})").fetchall()})
+    assert all(mixed[i] == left[i] for i in mixed)
+    _check_packing(pack(spark, three, sf_small), [(r["doc_id"], r["text"]) for r in mixed.values()])
+
+
 def test_run(spark, sf_small):
     out = corpus_pipeline.run(spark, sf_small)
     ids = {r["doc_id"] for r in out.select("doc_id").collect()}
