@@ -129,19 +129,19 @@ def requests(blocks: DataFrame, owners: int) -> DataFrame:
                 own = np.bincount(tokens[use], minlength=len(words))
                 rows = []
                 for kind, (value, count) in enumerate(((words, own), _counted(pairs, use))):
-                    cut = np.searchsorted(value, _bounds(owners))
-                    for r in range(owners):
-                        s = slice(cut[r], cut[r + 1])
-                        if s.start < s.stop:
-                            rows.append((kind, r, number, _zip_sorted(value[s]), _zip(count[s].astype(np.uint32))))
+                    for owner, s, e in _ranges(value, owners):
+                        rows.append((kind, owner, number, _zip_sorted(value[s:e]), _zip(count[s:e].astype(np.uint32))))
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
                                       names=["kind", "owner", "block", "hashes", "counts"])
 
     return blocks.select("block", "train", "sizes", "words", "tokens").mapInArrow(run, "kind int, owner int, block long, hashes binary, counts binary")
 
 
-def _bounds(owners: int) -> np.ndarray:
-    return np.array([(i << 56) // owners for i in range(owners)] + [1 << 56], np.uint64)
+def _ranges(value: np.ndarray, owners: int) -> Iterator[tuple[int, int, int]]:
+    """(owner, first place, the place after the last) of the hash ranges that sorted 56-bit hashes reach."""
+    owner = (value >> np.uint64(24)) * np.uint64(owners) >> np.uint64(32)
+    cut = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True])
+    return zip(owner[cut[:-1]].tolist(), cut[:-1].tolist(), cut[1:].tolist())
 
 
 def _counted(pairs: np.ndarray, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
