@@ -177,6 +177,13 @@ def test_near_duplicates(spark, monkeypatch):
     assert got == _classes(rows, weights)
 
 
+def test_copy_links(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "HOT", 4)  # text a is hot, b and c go through the shuffle join
+    rows = [(i, "a") for i in range(30, 0, -1)] + [(40, "b"), (41, "b"), (42, "c"), (43, "c"), (44, "c"), (50, "d")]
+    got = sorted(tuple(r) for r in minhash.copy_links(spark.createDataFrame(rows, "doc_id long, digest string"), len(rows)).collect())
+    assert got == [(i, 1) for i in range(2, 31)] + [(41, 40), (43, 42), (44, 42)]
+
+
 def test_near_duplicates_odd(odd, none):
     rows = minhash.near_duplicates(odd).collect()
     assert len(rows) == len(ODD)
