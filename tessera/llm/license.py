@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, mix, small_batches, steps, words_at
+from .common import _SPACE, buffers, mix, small_batches, steps, words_at
 
 UNKNOWN = "unknown"
 #: Sentences by which licence families are told, after the public licence texts.
@@ -65,6 +65,7 @@ TEMPLATES = {
     ],
     "proprietary": [
         "All rights reserved. No part of this publication may be reproduced without the prior written permission of the publisher.",
+        "All rights reserved.",
         "Confidential and proprietary. Unauthorized copying of this file, via any medium, is strictly prohibited.",
     ],
 }
@@ -104,9 +105,10 @@ class Lines:
 def read_lines(raw: np.ndarray, offsets: np.ndarray) -> Lines:
     """``first``/``last``: word ranges of the windows, ``row`` the text of each."""
     clean = _CLEAN[raw[offsets[0]:offsets[-1]]]
-    stop = np.append(clean[1:], np.uint8(10))
-    clean[(clean == 46) & ((stop == 32) | (stop == 10))] = 32  # a full stop at a word's end
     at0 = offsets - offsets[0]
+    stop = np.append(clean[1:], np.uint8(10))
+    stop[at0[1:][at0[1:] > at0[:-1]] - 1] = 10  # a text's last byte
+    clean[(clean == 46) & _SPACE[stop]] = 32  # a full stop at a word's end
     words, at, starts, ends = words_at(clean, at0)
     if not len(words):
         e = np.empty(0, np.int64)
@@ -212,7 +214,7 @@ def sample_lines(docs: DataFrame, most: int = MAX_LINES) -> list[str]:
     lines = F.split("text", "\n")
     line = F.element_at(lines, (F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.size(lines)) + 1).cast("int"))
     picked = docs.filter("text is not null").orderBy(at, "doc_id").limit(most).select(F.substring(line, 1, 400).alias("line"))
-    marks = "licen|copyright|creative commons|spdx|permission|redistribution"
+    marks = "licen|copyright|rights reserved|creative commons|spdx|permission|redistribution"
     return [r["line"] for r in picked.filter(~F.lower("line").rlike(marks)).collect()]
 
 

@@ -98,6 +98,17 @@ def test_license(spark, docs, odd, none):
     assert license.scan(odd, model).count() == len(ODD) and license.scan(none, model).count() == 0
 
 
+def test_license_short_notice(spark, docs):
+    assert not any("rights reserved" in line.lower() for line in license.sample_lines(docs))
+    model = license.train(license.sample_lines(docs))
+    texts = [(1, "All rights reserved."), (2, "Prose first.\nAll rights reserved."), (3, "They reserved all the rights."), (4, "All rights reserved.\r\nProse.")]
+    got = {r["doc_id"]: r["found"] for r in license.scan(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), model).collect()}
+    assert [[f["family"] for f in got[i]] for i in (1, 2, 3, 4)] == [["proprietary"], ["proprietary"], [], ["proprietary"]]
+    found = {r["doc_id"]: {f["family"] for f in r["found"]} for r in license.scan(docs, model).collect()}
+    noted = {r["doc_id"] for r in docs.collect() if "All rights reserved." in r["text"]}
+    assert noted and {i for i, f in found.items() if "proprietary" in f} == noted
+
+
 # --- language ---
 
 
