@@ -1,7 +1,7 @@
 """Licence scan with a trained paragraph classifier.
 
-Paragraphs are lines; a long line is read in overlapping windows.  Sparse word 1- and
-2-gram features, hashed, feed a multinomial logistic regression over licence families and
+Paragraphs end at blank lines, and a line is read by itself as well; what is long is read in
+overlapping windows.  Sparse word 1- and 2-gram features, hashed, feed a multinomial logistic regression over licence families and
 an unknown class; a temperature fitted on a calibration part makes its probabilities
 honest.  A family is reported if its calibrated probability reaches one half and one of
 its template sentences confirms it by shared word pairs.
@@ -91,7 +91,7 @@ RESULT = "doc_id long, n_paragraphs long, found array<struct<family:string,start
 
 @dataclass
 class Lines:
-    """Words of texts and the windows of their lines."""
+    """Words of texts, and windows: those of each line, then those of paragraphs that hold a line break."""
 
     words: np.ndarray
     pairs: np.ndarray
@@ -100,10 +100,20 @@ class Lines:
     row: np.ndarray
     first: np.ndarray
     last: np.ndarray
+    wrapped: np.ndarray
+
+
+def _windows(begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, word after the last) of the windows of runs of ``size`` words."""
+    count = np.where(size <= WINDOW, 1, -(-(size - WINDOW) // STRIDE) + 1)
+    which = np.repeat(np.arange(len(begin)), count)
+    k = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+    first = begin[which] + k * STRIDE
+    return first, np.minimum(first + WINDOW, begin[which] + size[which])
 
 
 def read_lines(raw: np.ndarray, offsets: np.ndarray) -> Lines:
-    """``first``/``last``: word ranges of the windows, ``row`` the text of each."""
+    """``first``/``last``: word ranges of the windows, ``row`` the text of each; ``wrapped``: it crosses a line break."""
     clean = _CLEAN[raw[offsets[0]:offsets[-1]]]
     at0 = offsets - offsets[0]
     stop = np.append(clean[1:], np.uint8(10))
@@ -112,20 +122,20 @@ def read_lines(raw: np.ndarray, offsets: np.ndarray) -> Lines:
     words, at, starts, ends = words_at(clean, at0)
     if not len(words):
         e = np.empty(0, np.int64)
-        return Lines(words, words, e, e, e, e, e)
+        return Lines(words, words, e, e, e, e, e, e.astype(bool))
     of_row = np.searchsorted(at0, starts, "right") - 1
     line = np.cumsum(clean == 10)[starts]
     head = np.r_[True, (line[1:] != line[:-1]) | (of_row[1:] != of_row[:-1])]
     begin = np.flatnonzero(head)
-    size = np.diff(np.r_[begin, len(words)])
-    count = np.where(size <= WINDOW, 1, -(-(size - WINDOW) // STRIDE) + 1)
-    which = np.repeat(np.arange(len(begin)), count)
-    k = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-    first = begin[which] + k * STRIDE
-    last = np.minimum(first + WINDOW, begin[which] + size[which])
+    first, last = _windows(begin, np.diff(np.r_[begin, len(words)]))
+    begin = np.flatnonzero(head & np.r_[True, (line[1:] > line[:-1] + 1) | (of_row[1:] != of_row[:-1])])
+    over, end = _windows(begin, np.diff(np.r_[begin, len(words)]))
+    across = line[over] != line[end - 1]  # the others hold a part of one line, which has its own
+    wrapped = np.repeat([False, True], [len(first), int(across.sum())])
+    first, last = np.r_[first, over[across]], np.r_[last, end[across]]
     with np.errstate(over="ignore"):
         pairs = mix(words[:-1] * np.uint64(0x9FB21C651E98DF25) + words[1:]) if len(words) > 1 else np.empty(0, np.uint64)
-    return Lines(words, np.append(pairs, np.uint64(0)), starts, ends, of_row[begin[which]], first, last)
+    return Lines(words, np.append(pairs, np.uint64(0)), starts, ends, of_row[first], first, last, wrapped)
 
 
 @dataclass
@@ -218,6 +228,27 @@ def sample_lines(docs: DataFrame, most: int = MAX_LINES) -> list[str]:
     return [r["line"] for r in picked.filter(~F.lower("line").rlike(marks)).collect()]
 
 
+def finds(lines: Lines, model: Classifier) -> list[tuple]:
+    """(family, first word, word after the last, text, probability, share of the template) of all finds.
+
+    A window across lines adds nothing where a line alone shows the same family.
+    """
+    out: list[tuple] = []
+    if not len(lines.words):
+        return out
+    held: dict[tuple, list] = {}
+    p = model.probabilities(lines)
+    best = p.argmax(axis=1)
+    for k in np.flatnonzero((best < len(model.families) - 1) & (p.max(axis=1) >= LEAST_PROBABILITY)):  # the lines' windows come first
+        y, first, last, row = (int(x[k]) for x in (best, lines.first, lines.last, lines.row))
+        share = model.template(y, lines.pairs[first:last - 1])
+        places = held.setdefault((row, y), [])
+        if share >= LEAST_TEMPLATE and not (lines.wrapped[k] and any(a < last and first < b for a, b, across in places if not across)):
+            places.append((first, last, bool(lines.wrapped[k])))
+            out.append((y, first, last, row, float(p[k, y]), share))
+    return out
+
+
 def scan(docs: DataFrame, model: Classifier, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_paragraphs, found) for every row; ``found``: family, place (code points),
     calibrated probability and share of the template, in order of place.
@@ -233,16 +264,12 @@ def scan(docs: DataFrame, model: Classifier, *, id_col: str = "doc_id", text_col
             for i, j in steps(offsets):
                 lines = read_lines(raw, offsets[i:j + 1])
                 found: list[list] = [[] for _ in range(i, j)]
-                if len(lines.words):
-                    p = model.probabilities(lines)
-                    best = p.argmax(axis=1)
-                    for k in np.flatnonzero((best < len(model.families) - 1) & (p.max(axis=1) >= LEAST_PROBABILITY)):
-                        share = model.template(int(best[k]), lines.pairs[lines.first[k]:lines.last[k] - 1])
-                        if share >= LEAST_TEMPLATE:
-                            row = int(lines.row[k])
-                            begin = int(offsets[i + row])
-                            at = [len(bytes(raw[begin:int(offsets[i]) + int(x)]).decode(errors="ignore")) for x in (lines.starts[lines.first[k]], lines.ends[lines.last[k] - 1])]
-                            found[row].append({"family": model.families[best[k]], "start": at[0], "end": at[1], "probability": float(p[k, best[k]]), "template": share})
+                for family, first, last, row, p, share in finds(lines, model):
+                    begin = int(offsets[i + row])
+                    at = [len(bytes(raw[begin:int(offsets[i]) + int(x)]).decode(errors="ignore")) for x in (lines.starts[first], lines.ends[last - 1])]
+                    found[row].append({"family": model.families[family], "start": at[0], "end": at[1], "probability": p, "template": share})
+                for f in found:
+                    f.sort(key=lambda x: (x["start"], x["end"], x["family"]))
                 kind = pa.list_(pa.struct([("family", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("probability", pa.float64()), ("template", pa.float64())]))
                 yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(np.bincount(lines.row, minlength=j - i).astype(np.int64)), pa.array(found, kind)], names=["doc_id", "n_paragraphs", "found"])
 

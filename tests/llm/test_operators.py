@@ -109,6 +109,26 @@ def test_license_short_notice(spark, docs):
     assert noted and {i for i, f in found.items() if "proprietary" in f} == noted
 
 
+WRAPPED = {
+    "apache": "Licensed under the Apache\nLicense, Version 2.0 (the \"License\"); you may\nnot use this file except in compliance\nwith the License.",
+    "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:",
+    "cc-by": "This work is licensed under a Creative\nCommons Attribution 4.0\nInternational License.",
+    "cc-by-nc": "This work is licensed under a Creative\nCommons Attribution-NonCommercial 4.0\nInternational License.",
+    "gpl": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License.",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights",
+    "mpl": "This Source Code Form is subject\nto the terms of the Mozilla\nPublic License, v. 2.0.",
+    "proprietary": "Confidential and proprietary. Unauthorized\ncopying of this file, via any\nmedium, is strictly prohibited.",
+}
+
+
+def test_license_hard_wrapped(spark, docs):
+    model = license.train(license.sample_lines(docs))
+    texts = [t for notice in WRAPPED.values() for t in (notice, "Prose.\n\n" + notice.replace("\n", "\r\n") + "\n\nProse.", "# " + notice.replace("\n", "\n# "))]
+    texts.append(WRAPPED["cc-by"].replace("\n", "\n\n"))  # blank lines part
+    got = {r["doc_id"]: [f["family"] for f in r["found"]] for r in license.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    assert [set(got[i]) for i in range(len(texts))] == [*({family} for family in WRAPPED for _ in range(3)), set()]
+
+
 # --- language ---
 
 
