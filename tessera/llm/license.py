@@ -4,7 +4,8 @@ Paragraphs end at blank lines, and a line is read by itself as well; what is lon
 overlapping windows.  Sparse word 1- and 2-gram features, hashed, feed a multinomial logistic regression over licence families and
 an unknown class; a temperature fitted on a calibration part makes its probabilities
 honest.  A family is reported if its calibrated probability reaches one half and one of
-its template sentences confirms it by shared word pairs.
+its template sentences confirms it by shared word pairs; so is each family whose template
+sentence a window holds, if the part with that sentence reaches one half by itself.
 """
 
 from __future__ import annotations
@@ -156,6 +157,39 @@ class Classifier:
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
 
+    def probability(self, lines: Lines, first: int, last: int) -> np.ndarray:
+        """Calibrated class probabilities of one run of words."""
+        x = np.concatenate([lines.words[first:last], lines.pairs[first:last - 1]]) % np.uint64(FEATURES)
+        z = (self.weight[x.astype(np.intp)].sum(axis=0, dtype=np.float64) / np.sqrt(len(x)) + self.bias) / self.temperature
+        z = np.exp(z - z.max())
+        return z / z.sum()
+
+    def parts(self, lines: Lines) -> Iterator[tuple[int, int, int, int, float]]:
+        """(window, family, first word, word after the last, share) of each template that a window
+        holds: the shortest run, no longer than one and a half templates, with the most of its pairs."""
+        known = np.unique(np.concatenate([t for ts in self.templates for t in ts]))
+        some = np.zeros(1 << 16, bool)
+        some[known & np.uint64(0xFFFF)] = True
+        hits = np.flatnonzero(some[lines.pairs & np.uint64(0xFFFF)])
+        hits = hits[np.isin(lines.pairs[hits], known)]
+        for family, templates in enumerate(self.templates):
+            for t in templates:
+                at = hits[np.isin(lines.pairs[hits], t)]
+                begin, end = np.searchsorted(at, lines.first), np.searchsorted(at, lines.last - 1)
+                for k in np.flatnonzero(end - begin >= max(1, LEAST_TEMPLATE * len(t))):
+                    place = at[begin[k]:end[k]].tolist()
+                    most, short, first, last = 0, 0, 0, 0
+                    for i, a in enumerate(place):
+                        seen: set[int] = set()
+                        for b in place[i:]:
+                            if b - a >= 1.5 * len(t):
+                                break
+                            seen.add(int(lines.pairs[b]))
+                            if (len(seen), a - b) > (most, short):
+                                most, short, first, last = len(seen), a - b, a, b + 2
+                    if most >= LEAST_TEMPLATE * len(t):
+                        yield int(k), family, first, last, most / len(t)
+
     def template(self, family: int, pairs: np.ndarray) -> float:
         """The largest share of a template's word pairs that the window holds."""
         return max(len(np.intersect1d(t, pairs)) / max(1, len(t)) for t in self.templates[family])
@@ -231,7 +265,8 @@ def sample_lines(docs: DataFrame, most: int = MAX_LINES) -> list[str]:
 def finds(lines: Lines, model: Classifier) -> list[tuple]:
     """(family, first word, word after the last, text, probability, share of the template) of all finds.
 
-    A window across lines adds nothing where a line alone shows the same family.
+    A window across lines adds nothing where a line alone shows the same family, and a part
+    of a window nothing where the family is found already.
     """
     out: list[tuple] = []
     if not len(lines.words):
@@ -246,6 +281,15 @@ def finds(lines: Lines, model: Classifier) -> list[tuple]:
         if share >= LEAST_TEMPLATE and not (lines.wrapped[k] and any(a < last and first < b for a, b, across in places if not across)):
             places.append((first, last, bool(lines.wrapped[k])))
             out.append((y, first, last, row, float(p[k, y]), share))
+    for k, y, first, last, share in model.parts(lines):
+        row = int(lines.row[k])
+        places = held.setdefault((row, y), [])
+        if any(a < last and first < b for a, b, _ in places):
+            continue
+        own = model.probability(lines, first, last)
+        if own[y] >= LEAST_PROBABILITY:
+            places.append((first, last, False))
+            out.append((y, first, last, row, float(own[y]), share))
     return out
 
 

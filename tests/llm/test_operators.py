@@ -129,6 +129,20 @@ def test_license_hard_wrapped(spark, docs):
     assert [set(got[i]) for i in range(len(texts))] == [*({family} for family in WRAPPED for _ in range(3)), set()]
 
 
+def test_license_several_families(spark, docs):
+    model = license.train(license.sample_lines(docs))
+    notices = {"mit": "Released under the MIT License.", "apache": "Licensed under the Apache License, Version 2.0.", "gpl": "This work is licensed under the GNU General Public License, version 3.",
+               "cc-by": "Licensed under CC BY 4.0.", "cc-by-nc": "Licensed under CC BY-NC 4.0.", "bsd": "Released under the BSD 3-Clause License.", "mpl": "Licensed under the Mozilla Public License 2.0.", "proprietary": "All rights reserved."}
+    prose = "They went to the old mill by the river and sat in the shade until the sun was low. " * 2
+    rows = [((a, b), f"{notices[a]} {notices[b]}") for a in notices for b in notices if a != b]
+    rows += [((a,), prose + notices[a].replace(" ", "\n", 1) + " " + prose) for a in notices]
+    rows += [(("mit", "cc-by", "proprietary"), " ".join(notices[a] for a in ("mit", "cc-by", "proprietary"))), ((), prose)]
+    found = {r["doc_id"]: r["found"] for r in license.scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string"), model).collect()}
+    for i, (families, text) in enumerate(rows):
+        assert {f["family"] for f in found[i]} == set(families), text
+        assert all(0 <= f["start"] < f["end"] <= len(text) and f["probability"] >= license.LEAST_PROBABILITY for f in found[i])
+
+
 # --- language ---
 
 
