@@ -27,8 +27,10 @@ CAPACITY = 2048
 END_ID = 1
 #: A bin of class k is left with this share of padding at most, else the piece is cut.
 PAD_SHARE = 1 / 64
-#: Words whose ids a task keeps at hand; the store is emptied beyond that.
+#: Words whose ids a task keeps at hand; the store is emptied beyond that, between steps.
 CACHE_WORDS = 500_000
+#: New words that are encoded at once.
+PART_WORDS = 50_000
 #: Sequences that one task can number.
 SEQUENCE_BITS = 33
 
@@ -65,9 +67,9 @@ class WordIds:
         self.plain: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {"": b""}
 
-    def _add_plain(self, words: list[str]) -> None:
-        if len(self.plain) + len(words) > CACHE_WORDS:
-            self.plain.clear()
+    def _add_plain(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of the plain words, also kept in the store as far as it has room."""
+        out: dict[str, bytes] = {}
         for i in range(0, len(words), 256):
             part = words[i:i + 256]
             ids = np.array(self.model.encode(" ".join(part).translate(self.signs), add_special_tokens=False).ids, np.uint32)
@@ -75,18 +77,23 @@ class WordIds:
             if len(cut) == len(part):
                 at, raw = 0, ids.tobytes()
                 for word, to in zip(part, (cut * 4).tolist()):
-                    self.plain[word] = raw[at:to]
+                    out[word] = raw[at:to]
                     at = to
             else:
                 for word in part:
-                    self.plain[word] = self._whole(word)
+                    out[word] = self._whole(word)
+        if len(self.plain) + len(out) > CACHE_WORDS:
+            self.plain.clear()
+        if len(out) <= CACHE_WORDS:
+            self.plain.update(out)
+        return out
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
-    def learn(self, chunks: set[str]) -> None:
-        if len(self.chunks) + len(chunks) > CACHE_WORDS:
-            self.chunks = {"": b""}
+    def _encode(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of each chunk."""
+        out: dict[str, bytes] = {}
         parts, rest = [], []
         for chunk in chunks:
             body = chunk[:-1] if chunk[-1] in ".," else chunk
@@ -95,25 +102,33 @@ class WordIds:
                 parts.append((chunk, low, chunk[len(body):]))
             else:
                 rest.append(chunk)
-        if new := sorted({low for _, low, _ in parts if low not in self.plain}):
-            self._add_plain(new)
+        plain = {low: self.plain[low] for _, low, _ in parts if low in self.plain}
+        if new := sorted({low for _, low, _ in parts if low not in plain}):
+            plain |= self._add_plain(new)
         marks = {m: self._whole(m) if m else b"" for m in ("", ".", ",")}
         for chunk, low, mark in parts:
-            ids = self.plain.get(low)
-            self.chunks[chunk] = (self._whole(low) if ids is None else ids) + marks[mark]
+            out[chunk] = plain[low] + marks[mark]
         if rest:
             for chunk, encoded in zip(rest, self.whole.encode_batch_fast(rest, add_special_tokens=False)):
-                self.chunks[chunk] = np.array(encoded.ids, np.uint32).tobytes()
+                out[chunk] = np.array(encoded.ids, np.uint32).tobytes()
+        return out
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
+        """Little-endian unsigned 32-bit ids of each text.
+
+        A step whose new chunks do not fit beside the store holds them in a table of its own.
+        """
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         known = self.chunks
-        if missing := {c for chunks in split for c in chunks if c not in known}:
-            self.learn(missing)
-            known = self.chunks
-            if any(c not in known for chunks in split for c in chunks):  # the store was emptied
-                self.learn({c for chunks in split for c in chunks if c not in known})
+        if missing := list({c for chunks in split for c in chunks if c not in known}):
+            if len(known) + len(missing) > CACHE_WORDS:
+                # The step's chunks alone: what the store has of them, and the new ones.
+                known = {c: known[c] for chunks in split for c in chunks if c in known}
+                self.chunks = {"": b""}
+            for i in range(0, len(missing), PART_WORDS):
+                known.update(self._encode(missing[i:i + PART_WORDS]))
+            if known is not self.chunks and len(known) < CACHE_WORDS:
+                self.chunks = known | {"": b""}
         return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
 
 

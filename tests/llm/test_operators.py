@@ -73,6 +73,21 @@ def test_packing(spark, docs, odd, none):
     assert packing.pack(none, queries.tokenizer_file()).count() == 0
 
 
+def test_more_words_than_the_store_holds(monkeypatch):
+    from tokenizers import Tokenizer
+
+    file = queries.tokenizer_file()
+    whole = Tokenizer.from_file(file)
+    monkeypatch.setattr(packing, "CACHE_WORDS", 4)
+    monkeypatch.setattr(packing, "PART_WORDS", 3, raising=False)
+    encode = packing.WordIds(file)
+    steps = [["the of"], ["the of and in to a is, it. 12 x=7 été the\nof"], [""], ["the", "of 99 the of and"], ["a b c d e f g h", "h g f e d c b a the 日本 the"]]
+    for texts in steps:
+        got = [np.frombuffer(x, np.uint32).tolist() for x in encode(texts)]
+        assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(encode.chunks) <= 4 and len(encode.plain) <= 4
+
+
 def test_cut_lengths():
     for n in [1, 2, 3, 100, 1024, 1025, 1500, 2047, 2048, 2049, 50_000]:
         pieces = packing.cut(n, 2048)
