@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import mix, small_batches
 
-K, W = 16, 64
+K, W = 8, 16
 _BASE = 0x5851F42D4C957F2D
 _BASE_K = [np.uint64(pow(_BASE, 1 << i, 1 << 64)) for i in range(16)]
 FINGERPRINTS = "doc_id long, n_chars long, hashes array<long>, positions array<int>"

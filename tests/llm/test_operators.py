@@ -297,6 +297,14 @@ def test_winnowing(spark, docs, odd, none):
     assert winnowing.edits(none).count() == 0
 
 
+def test_winnowing_short_texts(spark):
+    rng = np.random.default_rng(3)
+    texts = [(i, "".join(map(chr, rng.integers(97, 123, n)))) for i, n in enumerate(range(31, 120))]
+    got = winnowing.edits(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    # Three quarters stay, 23 code points at least.
+    assert len(got) == len(texts) and all(r["near_edited"] > 0 for r in got)
+
+
 def test_winnowing_guarantee():
     rng = np.random.default_rng(2)
     for k, w in [(5, 7), (16, 64)]:
