@@ -142,13 +142,18 @@ def words_at(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     last = offsets[1:][offsets[:-1] < offsets[1:]] - 1
     end[last] = inside[last]
     starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
+    return spans(_LOWER[raw], starts, ends), np.searchsorted(starts, offsets).astype(np.int64), starts, ends
+
+
+def spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte range."""
+    n = len(raw)
     p, q = _power(n + 1)
     with np.errstate(over="ignore"):
         total = np.empty(n + 1, np.uint64)
         total[0] = 0
-        np.cumsum((_LOWER[raw].astype(np.uint64) + np.uint64(1)) * p[:n], out=total[1:])
-        h = mix((total[ends] - total[starts]) * q[starts] + (ends - starts).astype(np.uint64))
-    return h, np.searchsorted(starts, offsets).astype(np.int64), starts, ends
+        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * p[:n], out=total[1:])
+        return mix((total[ends] - total[starts]) * q[starts] + (ends - starts).astype(np.uint64))
 
 
 _STEP = [np.uint64(x) for x in (1, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165)]

@@ -67,4 +67,69 @@ SELECT doc_id, domain, lang, source, epoch, tokens,
 FROM epochs
 """
 
-ORACLE_SQL: dict[str, str] = {"op8_mixing": _MIXING}
+_TRIE = r"""
+WITH turns AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+heads AS (
+  SELECT DISTINCT c, c - c % 20 AS base,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda s: ord(s)::BIGINT)),
+               lambda x, b: list_reduce(list_prepend(xor(x, b), range(8)), lambda y, k: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295) % 4 AS h
+  FROM turns),
+rebuilt AS (
+  SELECT heads.c, i, role, text FROM heads JOIN turns ON turns.c = base AND i <= h
+  UNION ALL
+  SELECT heads.c, i - h + (SELECT count(*) FROM turns t WHERE t.c = base AND t.i <= h), role, text FROM heads JOIN turns ON turns.c = heads.c AND i > h),
+paths AS (
+  SELECT heads.c, coalesce(list({r: role, t: text} ORDER BY i) FILTER (i IS NOT NULL), []) AS path
+  FROM heads LEFT JOIN rebuilt ON rebuilt.c = heads.c GROUP BY heads.c),
+prefixes AS (SELECT c, len(path) AS size, d, path[1:d] AS node FROM (SELECT *, unnest(range(len(path) + 1)) AS d FROM paths)),
+nodes AS (
+  SELECT node, d, min(c) AS conv_id, count(*) AS n,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (size = d), '')) AS ends,
+         CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(node[d].t, '[^\x20\x09-\x0D]+')) END AS words
+  FROM prefixes GROUP BY node, d),
+kids AS (SELECT node[1:d - 1] AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+shown AS (
+  SELECT nodes.*, coalesce(kids.n, 0) AS children FROM nodes LEFT JOIN kids USING (node)),
+up AS (SELECT node[1:k] AS node, sum((n - 1) * words) AS saved, count(*) FILTER (children = 0) AS leaves
+       FROM (SELECT *, unnest(range(d + 1)) AS k FROM shown) GROUP BY 1)
+SELECT x.conv_id, x.d::BIGINT AS depth, p.conv_id AS parent_conv_id, x.n AS n_convs, x.children AS n_children, up.leaves::BIGINT AS n_leaves,
+       up.saved::BIGINT AS saved_tokens, x.ends AS ends_sha256
+FROM shown x JOIN up USING (node) LEFT JOIN nodes p ON x.d > 0 AND p.node = x.node[1:x.d - 1]
+"""
+
+_SPELLING = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+summed AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT,
+           flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda s: CASE WHEN ord(s) < 128 THEN [ord(s)::BIGINT] ELSE [195::BIGINT, ord(s)::BIGINT - 64] END))),
+           lambda x, b: list_reduce(list_prepend(xor(x, b), range(8)), lambda y, k: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295) AS h
+  FROM summed),
+words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3),
+cut AS (SELECT word, n, k, word[:k - 1] || word[k + 1:] AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS k FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.k = b.k AND a.rest = b.rest AND a.word <> b.word
+  UNION
+  SELECT cut.word, words.word, words.n FROM cut JOIN words ON words.word = cut.rest
+  UNION
+  SELECT words.word, cut.word, cut.n FROM cut JOIN words ON words.word = cut.rest),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, encode(other)) AS other, max(other_n) AS other_n FROM pairs GROUP BY word),
+forms AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * words.n THEN other END AS form, CASE WHEN other_n >= 2 * words.n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+way AS (
+  SELECT word, form, word AS root FROM forms
+  UNION
+  SELECT way.word, forms.form, forms.word FROM way JOIN forms ON forms.word = way.form)
+SELECT forms.word, forms.form, way.root, n, n_near, form_n FROM forms JOIN way ON way.word = forms.word AND way.form IS NULL
+"""
+
+ORACLE_SQL: dict[str, str] = {"op8_mixing": _MIXING, "op11_prefix_trie": _TRIE, "op13_spelling": _SPELLING}

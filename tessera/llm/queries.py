@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, license, lm, minhash, mixing, packing, rabitq, urls, winnowing
-from .common import documents, id_crc
+from . import best_two_fit, chat, langid, license, lm, minhash, mixing, packing, rabitq, spelling, trie, urls, winnowing
+from .common import documents, id_crc, written
 from .oracle import ORACLE_SQL as ORACLE_SQL
 
 
@@ -102,4 +102,28 @@ def op10_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rabitq.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op2_license": op2_license, "op3_language": op3_language, "op4_near_dups": op4_near_dups, "op5_winnowing": op5_winnowing, "op6_lm_scores": op6_lm_scores, "op7_chat_format": op7_chat_format, "op8_mixing": op8_mixing, "op9_url_filter": op9_url_filter, "op10_embedding_dups": op10_embedding_dups}
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all conversations, each of which begins with up to three turns of its group's first one."""
+    seqs = written(trie.sequences(spark.read.parquet(f"{sf_dir}/conversations.parquet")), "trie-conversations")
+    return trie.prefix_trie(trie.borrow_heads(seqs, F.expr("conv_id - conv_id % 20"), id_crc("conv_id") % 4, 3))
+
+
+def bytes_tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op12_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 1024 ids, as few as the rule finds."""
+    packed = best_two_fit.pack(documents(spark, sf_dir), bytes_tokenizer_file())
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forms of all words of all documents, with a typing error planted in every 97th one by hash."""
+    return spelling.variants(spelling.vocabulary(documents(spark, sf_dir), delete_every=97))
+
+
+QUERIES = {q.__name__: q for q in (op1_packing, op2_license, op3_language, op4_near_dups, op5_winnowing, op6_lm_scores, op7_chat_format, op8_mixing,
+                                   op9_url_filter, op10_embedding_dups, op11_prefix_trie, op12_best_two_fit, op13_spelling)}

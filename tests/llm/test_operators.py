@@ -106,7 +106,7 @@ def test_license(spark, docs, odd, none):
     assert [f["family"] for f in got[1]] == ["mit"] and texts[0][1][got[1][0]["start"]:got[1][0]["end"]].startswith("Released under the MIT")
     assert got[2] == [] and {f["family"] for f in got[3]} == {"gpl"} and got[4] == got[5] == []
     lines = {"apache": "Licensed under the Apache License, Version 2.0.", "mit": "Released under the MIT License.", "cc-by-nc": "Licensed under CC BY-NC 4.0.",
-             "gpl": "This work is licensed under the GNU General Public License, version 3."}
+             "gpl": "This work is licensed under the GNU General Public License, version 3.", "proprietary": "All rights reserved."}
     text = {r["doc_id"]: r["text"] for r in docs.collect()}
     for r in license.scan(docs, model).collect():
         assert {f["family"] for f in r["found"]} == {k for k, v in lines.items() if v in text[r["doc_id"]]}
