@@ -43,6 +43,9 @@ class Store:
         self.encode, self.most = encode, most
         self.clear()
 
+    def __len__(self) -> int:
+        return len(self.hashes)
+
     def clear(self) -> None:
         self.hashes, self.checks = np.empty(0, np.uint64), np.empty(0, np.uint64)
         self.first, self.many, self.flat = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)

@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .chunks import Store
 from .common import buffers, small_batches, steps
 
 CAPACITY = 2048
@@ -29,13 +30,20 @@ END_ID = 1
 PAD_SHARE = 1 / 64
 #: Words whose ids a task keeps at hand; the store is emptied beyond that, between steps.
 CACHE_WORDS = 500_000
-#: New words that are encoded at once.
+#: New chunks that are encoded at once.
 PART_WORDS = 50_000
 #: Sequences that one task can number.
 SEQUENCE_BITS = 33
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, sequence_length long"
 
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 13, 32]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_MARK, _ASCII = np.zeros(256, bool), np.zeros(256, bool)
+_MARK[[ord("."), ord(",")]] = True
+_ASCII[[*range(65, 91), *range(97, 123)]] = True
 _LETTERS = re.compile("[a-zÀ-ÖØ-öø-ÿ]+")
 
 
@@ -65,14 +73,14 @@ class WordIds:
         sign = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(other)}
         self.signs = {c: "".join(sign[b] for b in chr(c).encode()) for c in range(0x80, 0x180)}
         self.plain: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {"": b""}
+        self.chunks = Store(self._flat)
 
     def _add_plain(self, words: list[str]) -> dict[str, bytes]:
         """Ids of the plain words, also kept in the store as far as it has room."""
         out: dict[str, bytes] = {}
         for i in range(0, len(words), 256):
             part = words[i:i + 256]
-            ids = np.array(self.model.encode(" ".join(part).translate(self.signs), add_special_tokens=False).ids, np.uint32)
+            ids = np.array(self.model.encode_batch_fast([" ".join(part).translate(self.signs)], add_special_tokens=False)[0].ids, np.uint32)
             cut = np.flatnonzero(self.ends[ids]) + 1
             if len(cut) == len(part):
                 at, raw = 0, ids.tobytes()
@@ -94,42 +102,57 @@ class WordIds:
     def _encode(self, chunks: list[str]) -> dict[str, bytes]:
         """Ids of each chunk."""
         out: dict[str, bytes] = {}
-        parts, rest = [], []
+        low, rest = {}, []
         for chunk in chunks:
-            body = chunk[:-1] if chunk[-1] in ".," else chunk
-            low = body.lower()
-            if _LETTERS.fullmatch(low):
-                parts.append((chunk, low, chunk[len(body):]))
+            if _LETTERS.fullmatch(lower := chunk.lower()):
+                low[chunk] = lower
             else:
                 rest.append(chunk)
-        plain = {low: self.plain[low] for _, low, _ in parts if low in self.plain}
-        if new := sorted({low for _, low, _ in parts if low not in plain}):
+        words = set(low.values())
+        plain = {w: self.plain[w] for w in words if w in self.plain}
+        if new := sorted(words - plain.keys()):
             plain |= self._add_plain(new)
-        marks = {m: self._whole(m) if m else b"" for m in ("", ".", ",")}
-        for chunk, low, mark in parts:
-            out[chunk] = plain[low] + marks[mark]
+        out.update((chunk, plain[w]) for chunk, w in low.items())
         if rest:
             for chunk, encoded in zip(rest, self.whole.encode_batch_fast(rest, add_special_tokens=False)):
                 out[chunk] = np.array(encoded.ids, np.uint32).tobytes()
         return out
 
+    def _flat(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the chunks end to end, how many each has)."""
+        ids: list[bytes] = []
+        for i in range(0, len(chunks), PART_WORDS):
+            part = chunks[i:i + PART_WORDS]
+            found = self._encode(part)
+            ids += [found[c] for c in part]
+        return np.frombuffer(b"".join(ids), np.uint32), np.array([len(x) for x in ids], np.int64) // 4
+
+    def flat(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets by row) of the rows' texts in ``raw``."""
+        self.chunks.most = CACHE_WORDS
+        if not ((raw[:-1] == ord("<")) & (raw[1:] == ord("|"))).any():  # special tokens are told by case, nothing else is
+            raw = _LOWER[raw]
+        inside = ~_BLANK[raw]
+        begin, end = inside.copy(), inside.copy()
+        begin[1:] &= ~inside[:-1]
+        end[:-1] &= ~inside[1:]
+        some = offsets[:-1] < offsets[1:]
+        first, last = offsets[:-1][some], offsets[1:][some] - 1
+        begin[first], end[last] = inside[first], inside[last]
+        # A mark that ends a chunk after a plain letter is a word of its own.
+        mark = end & _MARK[raw] & ~begin
+        mark[1:] &= _ASCII[raw[:-1]]
+        begin |= mark
+        end[:-1] |= mark[1:]
+        starts = np.flatnonzero(begin)
+        ids, many = self.chunks(raw, starts, np.flatnonzero(end) + 1)
+        return ids, np.concatenate([[0], np.cumsum(many)])[np.searchsorted(starts, offsets)]
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text.
-
-        A step whose new chunks do not fit beside the store holds them in a table of its own.
-        """
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        known = self.chunks
-        if missing := list({c for chunks in split for c in chunks if c not in known}):
-            if len(known) + len(missing) > CACHE_WORDS:
-                # The step's chunks alone: what the store has of them, and the new ones.
-                known = {c: known[c] for chunks in split for c in chunks if c in known}
-                self.chunks = {"": b""}
-            for i in range(0, len(missing), PART_WORDS):
-                known.update(self._encode(missing[i:i + PART_WORDS]))
-            if known is not self.chunks and len(known) < CACHE_WORDS:
-                self.chunks = known | {"": b""}
-        return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+        """Little-endian unsigned 32-bit ids of each text."""
+        ids, at = self.flat(*buffers(pa.array(texts, pa.string())))
+        data = ids.tobytes()
+        return [data[4 * a:4 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
 _by_file: dict[str, WordIds] = {}
@@ -227,11 +250,13 @@ def pack(docs: DataFrame, tokenizer_file: str, *, id_col: str = "doc_id", text_c
         bins = Bins(capacity, TaskContext.get().partitionId() << SEQUENCE_BITS, pad_share)
         end = np.array([end_id], np.uint32).tobytes()
         for batch in batches:
-            doc_ids, texts = batch.column(0), batch.column(1)
-            for i, j in steps(buffers(texts)[1]):
-                chosen = [t or "" for t in texts.slice(i, j - i).to_pylist()]
-                for doc_id, ids in zip(doc_ids.slice(i, j - i).to_pylist(), encode(chosen)):
-                    bins.add(doc_id, ids + end)
+            raw, offsets = buffers(batch.column(1))
+            doc_ids = batch.column(0).to_pylist()
+            for i, j in steps(offsets):
+                ids, at = encode.flat(raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                data = ids.tobytes()
+                for doc_id, a, b in zip(doc_ids[i:j], at[:-1].tolist(), at[1:].tolist()):
+                    bins.add(doc_id, data[4 * a:4 * b] + end)
                 if bins.rows:
                     yield bins.batch()
         bins.end()
