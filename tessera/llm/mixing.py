@@ -34,7 +34,7 @@ TREE = ["mix_domain", "mix_lang", "mix_source"]
 
 @dataclass(frozen=True)
 class Recipe:
-    """Target weights (whole numbers).  ``domains``: name -> (weight, its sources)."""
+    """Target weights (whole numbers; 0 leaves a node out).  ``domains``: name -> (weight, its sources)."""
 
     domains: dict[str, tuple[int, tuple[str, ...]]]
     languages: dict[str, int]
@@ -47,6 +47,11 @@ class Recipe:
     max_epochs: int = 2
     seed: int = 17
 
+    def __post_init__(self) -> None:
+        weights = [*(w for w, _ in self.domains.values()), *self.languages.values(), *self.sources.values(), self.other_domain, self.other_language, self.other_source]
+        if any(w < 0 for w in weights):
+            raise ValueError("weights are 0 or more")
+
     def domain(self, source: Column) -> Column:
         found = F.lit("other")
         for name, (_, sources) in self.domains.items():
@@ -63,7 +68,8 @@ class Recipe:
 
 def _share(nodes: DataFrame, parent: list[str], name: str, give: str, budget: Column) -> DataFrame:
     """``nodes`` with a column ``give``: the parent's ``budget`` by ``weight``, each at most ``cap``."""
-    order = (F.col("cap") / F.col("weight")).asc()
+    # A node of weight 0 has no capacity: it comes first, is full with nothing and takes nothing.
+    order = F.when(F.col("weight") > 0, F.col("cap") / F.col("weight")).otherwise(F.lit(-1.0)).asc()
     before = Window.partitionBy(*parent).orderBy(order, F.col(name).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy(*parent).orderBy(order, F.col(name).asc_nulls_first()).rowsBetween(0, Window.unboundedFollowing)
     group = Window.partitionBy(*parent)
@@ -82,18 +88,24 @@ def _share(nodes: DataFrame, parent: list[str], name: str, give: str, budget: Co
 def budgets(leaves: DataFrame, recipe: Recipe) -> DataFrame:
     """(tree columns, tokens, epochs: whole ones, rest: tokens of the next one) per leaf.
 
-    ``leaves``: tree columns and ``tokens``.  A leaf without tokens gets nothing.
+    ``leaves``: tree columns and ``tokens``.  A leaf without tokens gets nothing.  Nor does one
+    below a node of weight 0: it has no capacity, and what its weight would have brought goes to
+    its siblings, then to its ancestors' siblings.
     """
     level0 = Window.partitionBy()
-    leaves = leaves.filter("tokens > 0").withColumn("cap", F.col("tokens") * recipe.max_epochs)
+    domain_weight = recipe.weight(F.col("mix_domain"), {k: w for k, (w, _) in recipe.domains.items()}, recipe.other_domain)
+    lang_weight = recipe.weight(F.col("mix_lang"), recipe.languages, recipe.other_language)
+    source_weight = recipe.weight(F.col("mix_source"), recipe.sources, recipe.other_source)
+    taken = (domain_weight > 0) & (lang_weight > 0) & (source_weight > 0)
+    leaves = leaves.filter("tokens > 0").withColumn("cap", F.when(taken, F.col("tokens") * recipe.max_epochs).otherwise(F.lit(0)))
     d = leaves.groupBy("mix_domain").agg(F.sum("cap").alias("cap"), F.sum("tokens").alias("held"))
-    d = d.withColumn("weight", recipe.weight(F.col("mix_domain"), {k: w for k, (w, _) in recipe.domains.items()}, recipe.other_domain))
+    d = d.withColumn("weight", domain_weight)
     d = d.withColumn("all", F.sum("held").over(level0))
     d = _share(d, [], "mix_domain", "domain_give", F.expr(f"(all * {recipe.budget[0]}) div {recipe.budget[1]}"))
     n = leaves.groupBy("mix_domain", "mix_lang").agg(F.sum("cap").alias("cap"))
-    n = n.withColumn("weight", recipe.weight(F.col("mix_lang"), recipe.languages, recipe.other_language))
+    n = n.withColumn("weight", lang_weight)
     n = _share(n.join(d.select("mix_domain", "domain_give"), "mix_domain"), ["mix_domain"], "mix_lang", "lang_give", F.col("domain_give"))
-    s = leaves.withColumn("weight", recipe.weight(F.col("mix_source"), recipe.sources, recipe.other_source))
+    s = leaves.withColumn("weight", source_weight)
     s = _share(s.join(n.select("mix_domain", "mix_lang", "lang_give"), ["mix_domain", "mix_lang"]), ["mix_domain", "mix_lang"], "mix_source", "give", F.col("lang_give"))
     return s.select(*TREE, "tokens", F.expr("cast(give div tokens as int)").alias("epochs"), F.expr("give % tokens").alias("rest"))
 
