@@ -37,24 +37,37 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the least id of each near-duplicate class (operator 4), one row
-    of it; rows without an id are kept."""
-    classes = minhash.near_duplicates(docs)
-    kept = written(classes.filter("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "pipeline-kept")
-    # The kept ids grow with the corpus: the same shuffle join at any size.
-    out = docs.join(kept.select("doc_id").hint("merge"), "doc_id", "left_semi")
-    if kept.filter("n > 1").limit(1).count():  # an id in several rows: one of them
-        out = out.dropDuplicates(["doc_id"])
-    return out.select(docs.columns).unionAll(docs.filter("doc_id is null"))
+    """Keep the row with the least id of each near-duplicate class (operator 4).
+
+    Classes are of rows, by their texts alone: rows of one id with different texts are not
+    near-duplicates, equal rows are.  Among rows of one least id any one stays (equal texts) or
+    the one that was numbered first; a row without an id stays if its class has no other, or
+    none with an id.  Null and empty texts are one class.  An empty table stays empty; extra
+    columns are kept, whatever their names.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = written(docs.select(F.monotonically_increasing_id().alias("row"), whole), "pipeline-rows")
+    classes = minhash.near_duplicates(rows, id_col="row", text_col="doc.text").select(F.col("doc_id").alias("row"), "class_id")
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")
+    named = classes.join(rows.select("row", F.col("doc.doc_id").alias("id")).hint("merge"), "row")
+    kept = written(named.groupBy("class_id").agg(least).select("first.row"), "pipeline-kept")
+    # The kept rows grow with the corpus: the same shuffle join at any size.
+    return rows.join(kept.hint("merge"), "row", "left_semi").select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep each leaf's prefix that its budget reaches (operator 8), the last document whole."""
+    """Keep each leaf's prefix that its budget reaches (operator 8), the last document whole.
+
+    Rows of one id and leaf are taken or left together; null and empty texts hold no tokens;
+    null sources and languages have leaves of their own; an empty table stays empty; extra
+    columns are kept, whatever their names.
+    """
     return mixing.mix(docs, RECIPE).select("row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokenised pieces in sequences (operator 1)."""
+    """Tokenised pieces in sequences (operator 1); a null or empty text is its end id alone,
+    equal rows are packed one by one, an empty table gives no pieces."""
     return packing.pack(docs, queries.tokenizer_file())
 
 
