@@ -425,5 +425,10 @@ def oracle_sql() -> dict[str, str]:
         "source_width": f"""SELECT CAST(COUNT(*) AS INTEGER) AS n_columns
     FROM (DESCRIBE (WITH {FLAT_CTES} SELECT {', '.join(FLAT_COLS)} FROM flat))""",
         "csv_round_trip": with_star(f"SELECT {', '.join(FLAT_COLS)} FROM flat"),
+        "describe_csv_source": with_star(" UNION ALL ".join(
+            f"""SELECT {i} AS ordinal, '{c}' AS column_name, CASE WHEN COUNT({c}) = 0 THEN 'string'
+            WHEN any_value(typeof({c})) IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT') THEN CASE WHEN MAX(abs(TRY_CAST({c}::VARCHAR AS HUGEINT))) <= 2147483647 THEN 'int' ELSE 'bigint' END
+            WHEN any_value(typeof({c})) IN ('DOUBLE', 'FLOAT') THEN 'double' WHEN any_value(typeof({c})) = 'DATE' THEN 'date'
+            WHEN any_value(typeof({c})) = 'BOOLEAN' THEN 'boolean' ELSE 'string' END AS column_type FROM flat""" for i, c in enumerate(FLAT_COLS, 1))),
     }
     return q

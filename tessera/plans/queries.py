@@ -455,13 +455,9 @@ def q_csv_round_trip(spark, sf):
     return files.read_csv(spark, observations_csv(spark, sf), observations(spark, sf).schema)
 
 
-CSV_SAMPLING_RATIO = 0.1
-
-
 def q_describe_csv_source(spark, sf):
-    """Column names and types of the CSV source as inferred from a 10% row sample."""
-    inferred = files.read_csv(spark, observations_csv(spark, sf), sampling_ratio=CSV_SAMPLING_RATIO)
-    return files.describe(spark, inferred)
+    """Column names of the CSV source, and the least type that holds all texts of each."""
+    return files.describe(spark, files.read_csv(spark, observations_csv(spark, sf)))
 
 
 def q_file_inventory(spark, sf):

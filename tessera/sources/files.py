@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from tessera.sources import quoted_csv
+
 # Text forms of non-finite doubles as written by common CSV producers.  Spark's
 # defaults are 'Inf'/'-Inf'/'NaN' and would silently read 'inf' as NULL.
 CSV_OPTIONS = {
@@ -24,16 +26,25 @@ CSV_OPTIONS = {
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             sampling_ratio: float = 1.0) -> DataFrame:
-    """Read CSV with a header.  Pass ``schema`` for production reads.  Without it the
-    types are inferred from a ``sampling_ratio`` fraction of the rows (an extra
-    pass over that sample): use it for discovery only."""
-    reader = spark.read.options(**CSV_OPTIONS)
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", "true").option("samplingRatio", str(sampling_ratio))
-    return reader.csv(path)
+             sampling_ratio: float = 1.0, line_breaks: bool = True) -> DataFrame:
+    """Read CSV with a header, in as many tasks as the files have splits.
+
+    Pass ``schema`` for production reads.  Without it the header names the columns, and one
+    more pass finds the least type that holds all texts of each (of a ``sampling_ratio``
+    fraction of the rows).  ``line_breaks``: quoted texts may hold line breaks; records are
+    then told by quote parity, which takes one more pass over the lines.  Without them every
+    line is a record and the pass is saved.
+    """
+    plain = CSV_OPTIONS | {"multiLine": "false"}
+
+    def read(kind: T.StructType | str) -> DataFrame:
+        return quoted_csv.parsed(spark, path, kind, plain) if line_breaks else spark.read.options(**plain).schema(kind).csv(path)
+
+    if schema is None:
+        names = spark.read.options(**CSV_OPTIONS).csv(path).columns
+        texts = read(T.StructType([T.StructField(c, T.StringType()) for c in names]))
+        schema = quoted_csv.least_types(texts if sampling_ratio >= 1 else texts.sample(sampling_ratio, seed=7))
+    return read(schema)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
