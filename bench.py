@@ -58,7 +58,7 @@ def main() -> None:
     t = time.time()
     st = S.build_stage(spark, sf_dir, root)
     times["ingest_star_schema"] = round(time.time() - t, 3)
-    S._STAGES[(spark.sparkContext.applicationId, f"{work_dir(spark)}/tessera-stage/{S._fingerprint(spark, sf_dir)}")] = st
+    S.adopt(spark, sf_dir, st)
 
     t = time.time()
     Q.prepared(spark, sf_dir)

@@ -6,11 +6,12 @@ four star tables, under the shared work folder (``spark.checkpoint.dir``).  The
 written tables also cut lineage: a lost executor re-reads files instead of
 recomputing the derivation.
 
-Layout: ``<work>/tessera-stage/<fingerprint>/{observations,dim_games,...,_manifest}``.
+Layout: ``<work>/tessera-stage/<fingerprint>/data-<id>/{observations,dim_games,...}``.
 The fingerprint covers the source folder and the size/mtime of its files, so a
-changed input gets a fresh folder.  ``_manifest`` (row and column counts per
-table) is written last and marks the stage complete; its counts also serve as
-proven size bounds for broadcast decisions.
+changed input gets a fresh folder.  It is taken once a session for each source;
+:func:`refresh` takes it anew.  A stage is a published version (``versions``): its
+pointer, with the row counts, is written last, and of several builders of one stage
+the first to publish wins.  The counts also serve as size bounds for broadcasts.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql.utils import AnalysisException
 from tessera.operators import star
 from tessera.schema import STAR_TABLE_ORDER
 from tessera.session import work_dir
+from tessera.sources import versions
 from tessera.sources.observations import FLAT_COLS, observations
 
 SOURCE_TABLES = ["lineitem", "part", "supplier", "nation", "region"]
@@ -89,17 +91,13 @@ def written(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def _read_manifest(spark: SparkSession, root: str) -> dict[str, int] | None:
-    if not written(spark, f"{root}/_manifest"):
-        return None
-    rows = spark.read.parquet(f"{root}/_manifest").collect()  # <= 5 rows
-    counts = {r["table_name"]: int(r["row_count"]) for r in rows}
-    return counts if all(t in counts for t in ["observations", *STAR_TABLE_ORDER]) else None
+def _published(spark: SparkSession, root: str) -> Stage | None:
+    found = versions.current(spark, root)
+    return Stage(found.path, {k: int(v) for k, v in found.info.items()}) if found else None
 
 
 def _write(df: DataFrame, path: str) -> int:
-    df.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
-    return df.sparkSession.read.parquet(path).count()
+    return versions.write_counted(df, path, ROWS_PER_FILE)
 
 
 def with_row_key(flat: DataFrame, key: str = "obs_key") -> DataFrame:
@@ -131,10 +129,7 @@ def stage_csv(spark: SparkSession, csv_path: str, schema=None, root: str | None
 
     root = root or f"{work_dir(spark)}/tessera-stage/csv-{_csv_key(spark, csv_path, schema, carried)}"
     with BUILD_LOCK:
-        counts = _read_manifest(spark, root)
-        if counts:
-            return Stage(root, counts)
-        return build_stage_from_flat(spark, read_csv(spark, csv_path, schema), root, carried)
+        return _published(spark, root) or build_stage_from_flat(spark, read_csv(spark, csv_path, schema), root, carried)
 
 
 def _csv_key(spark: SparkSession, path: str, schema, carried: list[str] | None) -> str:
@@ -144,7 +139,8 @@ def _csv_key(spark: SparkSession, path: str, schema, carried: list[str] | None)
 
 
 def build_stage_from_flat(spark: SparkSession, flat_source: DataFrame, root: str, carried: list[str] | None = None) -> Stage:
-    """Write the flat source and the four star tables under ``root``, then the manifest."""
+    """Write the flat source and the four star tables as one version of ``root``, then publish it."""
+    parent, root = root, versions.new_path(root)
     counts: dict[str, int] = {}
     counts["observations"] = _write(with_row_key(flat_source), f"{root}/observations")
     flat = spark.read.parquet(f"{root}/observations")
@@ -162,26 +158,36 @@ def build_stage_from_flat(spark: SparkSession, flat_source: DataFrame, root: str
     order = ["obs_date", "game_id", "obs_key"]
     fact = fact.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
     counts["fact_weekly_metrics"] = _write(fact, f"{root}/fact_weekly_metrics")
-    manifest = spark.createDataFrame(
-        [(name, n) for name, n in counts.items()], "table_name string, row_count bigint"
-    )
-    manifest.coalesce(1).write.mode("overwrite").parquet(f"{root}/_manifest")
-    return Stage(root, counts)
+    done = versions.publish(spark, parent, root, counts, first_only=True)
+    return Stage(done.path, {k: int(v) for k, v in done.info.items()})
 
 
 def stage(spark: SparkSession, sf_dir: str) -> Stage:
-    """Return the staged tables for ``sf_dir``, building them on first use."""
-    root = f"{work_dir(spark)}/tessera-stage/{_fingerprint(spark, sf_dir)}"
-    key = (spark.sparkContext.applicationId, root)
-    if key in _STAGES:
-        return _STAGES[key]
-    with BUILD_LOCK:
-        if key not in _STAGES:
-            counts = _read_manifest(spark, root)
-            _STAGES[key] = Stage(root, counts) if counts else build_stage(spark, sf_dir, root)
+    """Return the staged tables for ``sf_dir``, building them on first use.
+
+    Later calls of the session run no job: they take the source for unchanged until :func:`refresh`.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STAGES:
+        with BUILD_LOCK:
+            if key not in _STAGES:
+                root = f"{work_dir(spark)}/tessera-stage/{_fingerprint(spark, sf_dir)}"
+                _STAGES[key] = _published(spark, root) or build_stage(spark, sf_dir, root)
     return _STAGES[key]
 
 
+def adopt(spark: SparkSession, sf_dir: str, staged: Stage) -> None:
+    """Use ``staged`` for ``sf_dir`` in this session."""
+    _STAGES[(spark.sparkContext.applicationId, sf_dir)] = staged
+
+
+def refresh(spark: SparkSession, sf_dir: str) -> Stage:
+    """Look at the source again: a changed one is staged anew."""
+    with BUILD_LOCK:
+        _STAGES.pop((spark.sparkContext.applicationId, sf_dir), None)
+        return stage(spark, sf_dir)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A staged table by name: 'observations' or one of the four star tables."""
     return spark.read.parquet(stage(spark, sf_dir).path(name))
