@@ -6,14 +6,13 @@ tasks as there are groups.  With few groups (six genres, two classes) and a grou
 that may hold a third of all rows, both funnel most of the data through one
 task.  The operators here locate the wanted ranks with counts instead:
 
-1. split each group's value range into buckets (approximate quantile edges for
-   measures, hex prefixes for uniform hash keys), where ties always share a bucket;
-2. count rows per (group, bucket) with a map-side aggregate and take prefix sums
-   over that small table;
-3. rank rows only inside the one bucket per group that holds the wanted rank.
-
-The big input is only scanned and partially aggregated; the single shuffled and
-sorted piece is one bucket per group.
+* medians: a mergeable quantile sketch brackets the wanted ranks of every group in one
+  scan; a second one counts the rows below and keeps the values inside;
+* hash ranks: hex prefixes of uniform keys are buckets; rows are counted by bucket and
+  only the bucket that holds a quota's boundary is ranked.
+
+The big input is only scanned and partially aggregated; what is shuffled and sorted is
+one bracket or bucket per group.
 """
 
 from __future__ import annotations
@@ -28,8 +27,9 @@ from tessera.session import work_dir
 
 
 FANOUT = 64               # buckets per narrowing level
-FINAL_ROWS = 250_000      # rank directly once every wanted range holds at most this many rows
-MAX_LEVELS = 8
+FINAL_ROWS = 250_000      # rank directly once every wanted range holds at most this many distinct values
+SKETCH_ACCURACY = 10_000  # a quantile sketch's rank error is n / SKETCH_ACCURACY at most
+BRACKET_SHARE = 1e-3      # half the share of a group's rows that its bracket should hold: ten times that error
 ROWS_PER_HASH_BUCKET = 50_000
 
 
@@ -61,62 +61,53 @@ def _bucket_expr(value: str, n_edges: int) -> F.Column:
     return node(0, n_edges)
 
 
-def _in_range(value: str) -> F.Column:
+def _bracket(vals: DataFrame, keys: list[str], value: str, share: float) -> DataFrame:
+    """Scan one: per group the row count and two values that should enclose its middle ranks.
+
+    The quantile sketch is an aggregate state: built per task, merged, its rank error at most
+    n / SKETCH_ACCURACY.
+    """
+    ends = [max(0.0, 0.5 - share), min(1.0, 0.5 + share)]
+    return vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx(value, ends, SKETCH_ACCURACY).alias("_ends")).select(
+        *keys, "_n", F.element_at("_ends", 1).alias("_lo"), F.element_at("_ends", 2).alias("_hi"))
+
+
+def _enclosed(vals: DataFrame, keys: list[str], value: str, brackets: DataFrame, n_groups: int) -> DataFrame:
+    """Scan two: the distinct values inside each group's bracket with their counts (``_c``), and one row (``_below``) that counts the rows below it."""
     v = F.col(value)
-    return (F.col("_lo").isNull() | (v > F.col("_lo"))) & (F.col("_hi").isNull() | (v <= F.col("_hi")))
+    if keys:
+        rows = vals.join(broadcast_if_small(brackets, n_groups), keys)
+    else:  # one row of literals: nothing is joined on a constant
+        b = brackets.first()
+        rows = vals.withColumn("_lo", F.lit(b["_lo"])).withColumn("_hi", F.lit(b["_hi"]))
+    below = v < F.col("_lo")
+    return rows.filter(v <= F.col("_hi")).groupBy(*keys, below.alias("_below"), F.when(~below, v).alias(value)).agg(F.count(F.lit(1)).alias("_c"))
 
 
-def kth_values(vals: DataFrame, group_cols: list[str], value: str, wanted: DataFrame) -> DataFrame:
-    """Exact k-th smallest values: ``wanted`` has ``group_cols + ['_which', '_r']``
-    (0-based rank ``_r`` within the group); returns ``group_cols + ['_which', value]``.
+def _at_ranks(dist: DataFrame, keys: list[str], value: str, wanted: DataFrame, n_states: int) -> DataFrame:
+    """``keys + ['_which', value]``: the value at each wanted rank ``_r`` of ``dist`` (distinct values and their counts ``_c``).
 
-    Iterative narrowing: each wanted rank keeps a value range (_lo, _hi] and its
-    rank inside it.  While a range holds more than FINAL_ROWS rows, its rows are
-    cut into FANOUT quantile buckets, counted (map-side), and the range shrinks
-    to the bucket containing the rank.  Then the remaining rows are collapsed to
-    (value, count) pairs and ranked with a window per wanted rank.  No step
-    gathers a whole group in one task; a single hot value collapses to one row.
+    While a wanted rank's range holds more than FINAL_ROWS values it is cut at FANOUT quantiles of
+    the values, and the part that holds the rank is kept: values are distinct, so every level
+    shrinks it.  Then a window adds up the counts.
     """
-    if not group_cols:
-        return _kth_values_global(vals, value, wanted)
-    keys = [*group_cols, "_which"]
-    state = wanted.select(*keys, "_r", F.lit(None).cast("double").alias("_lo"), F.lit(None).cast("double").alias("_hi"))
-    state = _checkpoint(state)
-    n_states = state.count()
-    last_size = None
-    for _ in range(MAX_LEVELS):
-        rows = vals.join(broadcast_if_small(state, n_states), group_cols, "inner").filter(_in_range(value))
-        size = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-        if size <= FINAL_ROWS or (last_size is not None and size >= last_size):
+    state = wanted.select(*keys, "_which", "_r")
+    all_ = [*keys, "_which"]
+    left = dist.join(broadcast_if_small(state, n_states), keys) if keys else dist.crossJoin(F.broadcast(state))  # two ranks a group
+    while True:
+        size = left.groupBy(*all_).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+        if size <= FINAL_ROWS:
             break
-        last_size = size
-        edges = _checkpoint(_edges(rows, keys, value, FANOUT))
-        bucketed = rows.drop("_lo", "_hi", "_r").join(broadcast_if_small(edges, n_states), keys, "inner")
-        bucketed = bucketed.withColumn("_b", _bucket_expr(value, FANOUT - 1))
-        counts = bucketed.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
-        w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        edges = _checkpoint(_edges(left, all_, value, FANOUT))
+        cut = left.join(broadcast_if_small(edges, n_states), all_).withColumn("_b", _bucket_expr(value, FANOUT - 1)).drop("_edges")
+        counts = cut.groupBy(*all_, "_r", "_b").agg(F.sum("_c").alias("_cnt"))
+        w = Window.partitionBy(*all_).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
         counts = counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-        nxt = (
-            counts.join(broadcast_if_small(state, n_states), keys, "inner")
-            .join(broadcast_if_small(edges, n_states), keys, "inner")
-            .filter((F.col("_before") <= F.col("_r")) & (F.col("_r") < F.col("_before") + F.col("_cnt")))
-            .select(
-                *keys,
-                (F.col("_r") - F.col("_before")).alias("_r"),
-                F.when(F.col("_b") >= 1, F.element_at("_edges", F.col("_b").cast("int"))).otherwise(F.col("_lo")).alias("_lo"),
-                F.when(F.col("_b") < FANOUT - 1, F.element_at("_edges", (F.col("_b") + 1).cast("int")))
-                .otherwise(F.col("_hi")).alias("_hi"),
-            )
-        )
-        state = _checkpoint(nxt)
-    rows = vals.join(broadcast_if_small(state, n_states), group_cols, "inner").filter(_in_range(value))
-    dist = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    wv = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    dist = dist.withColumn("_upto", F.sum("_c").over(wv)).withColumn("_from", F.col("_upto") - F.col("_c"))
-    picked = dist.join(broadcast_if_small(state.select(*keys, "_r"), n_states), keys, "inner").filter(
-        (F.col("_from") <= F.col("_r")) & (F.col("_r") < F.col("_upto"))
-    )
-    return picked.select(*keys, value)
+        hit = counts.filter((F.col("_before") <= F.col("_r")) & (F.col("_r") < F.col("_before") + F.col("_cnt"))).select(*all_, "_b", "_before")
+        left = _checkpoint(cut.join(broadcast_if_small(_checkpoint(hit), n_states), [*all_, "_b"]).withColumn("_r", F.col("_r") - F.col("_before")).drop("_b", "_before"))
+    upto = Window.partitionBy(*all_).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    placed = left.withColumn("_upto", F.sum("_c").over(upto))
+    return placed.filter((F.col("_upto") - F.col("_c") <= F.col("_r")) & (F.col("_r") < F.col("_upto"))).select(*all_, value)
 
 
 def exact_median(df: DataFrame, group_cols: list[str], value: str, alias: str = "median") -> DataFrame:
@@ -124,6 +115,11 @@ def exact_median(df: DataFrame, group_cols: list[str], value: str, alias: str =
 
     Equals SQL MEDIAN / ``percentile(value, 0.5)``: with n values sorted, the mean
     of the values at 0-based ranks floor((n-1)/2) and ceil((n-1)/2).
+
+    ``df`` is scanned twice at any size: a mergeable quantile sketch brackets the middle ranks of
+    each group, then the rows below are counted and the distinct values inside are kept with
+    their counts (about 2 * BRACKET_SHARE of the rows).  Only these are read again.  Should a
+    rank lie outside its bracket, which the sketch's error bound rules out, a wider one is taken.
     """
     # A NULL in a group column is a group: its JSON text leaves the column out, so the text
     # tells all groups apart and serves as the key of the joins below.
@@ -132,11 +128,20 @@ def exact_median(df: DataFrame, group_cols: list[str], value: str, alias: str =
     if group_cols:
         vals = vals.withColumn("_group", F.to_json(F.struct(*group_cols)))
     vals = vals.select(*gcols, value)
-    n = vals.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"))
-    wanted = n.select(*gcols, F.lit("lo").alias("_which"), F.floor((F.col("_n") - 1) / 2).alias("_r")).unionByName(
-        n.select(*gcols, F.lit("hi").alias("_which"), F.ceil((F.col("_n") - 1) / 2).alias("_r"))
-    )
-    picked = kth_values(vals, gcols, value, wanted)
+    for share in (BRACKET_SHARE, 16 * BRACKET_SHARE, 0.5):
+        brackets = _checkpoint(_bracket(vals, gcols, value, min(share, 0.5)))
+        n_groups = brackets.count()
+        dist = _checkpoint(_enclosed(vals, gcols, value, brackets, n_groups))
+        inside = F.when(F.col("_below"), 0).otherwise(F.col("_c"))
+        sums = dist.groupBy(*gcols).agg(F.sum(F.when(F.col("_below"), F.col("_c")).otherwise(0)).alias("_b"), F.sum(inside).alias("_in"))
+        told = brackets.join(sums, gcols, "left") if gcols else brackets.crossJoin(F.broadcast(sums))  # one row each
+        which = F.explode(F.array(F.struct(F.lit("lo").alias("_which"), F.floor((F.col("_n") - 1) / 2).alias("_at")),
+                                  F.struct(F.lit("hi").alias("_which"), F.ceil((F.col("_n") - 1) / 2).alias("_at"))))
+        wanted = told.filter("_n > 0").select(*gcols, "_b", "_in", which.alias("_w")).select(*gcols, "_w._which", (F.col("_w._at") - F.col("_b")).alias("_r"), "_in")
+        wanted = _checkpoint(wanted)
+        if not wanted.filter((F.col("_r") < 0) | (F.col("_r") >= F.col("_in")) | F.col("_in").isNull()).limit(1).count():
+            break
+    picked = _at_ranks(dist.filter(~F.col("_below")).drop("_below"), gcols, value, wanted, 2 * n_groups)
     pair = picked.groupBy(*gcols).agg(
         F.max(F.when(F.col("_which") == "lo", F.col(value))).alias("_lo_v"),
         F.max(F.when(F.col("_which") == "hi", F.col(value))).alias("_hi_v"),
@@ -235,65 +240,3 @@ def _hash_rank_flag_global(df: DataFrame, key: str, quota: DataFrame, flag: str)
     edge = edge.withColumn(flag, F.row_number().over(Window.partitionBy("_hb").orderBy(key)) <= m)
     cols = [*df.columns, flag]
     return decided.select(*cols).unionByName(edge.select(*cols))
-
-
-def _kth_values_global(vals: DataFrame, value: str, wanted: DataFrame) -> DataFrame:
-    """:func:`kth_values` without groups.
-
-    The wanted ranks (a handful) and each level's summaries (fanout-1 edges and
-    fanout bucket counts per rank) are tiny driver-side values applied as
-    literals, so rows are never joined against a constant key.
-    """
-    states = [{"which": r["_which"], "r": int(r["_r"]), "lo": None, "hi": None} for r in wanted.collect()]
-    if not states:
-        return vals.sparkSession.createDataFrame([], f"_which string, {value} double")
-
-    def in_state(st: dict) -> F.Column:
-        v = F.col(value)
-        cond = F.lit(True)
-        if st["lo"] is not None:
-            cond = cond & (v > F.lit(st["lo"]))
-        if st["hi"] is not None:
-            cond = cond & (v <= F.lit(st["hi"]))
-        return cond
-
-    probs = [i / FANOUT for i in range(1, FANOUT)]
-    last = None
-    for _ in range(MAX_LEVELS):
-        sizes = [vals.filter(in_state(st)).count() for st in states]
-        if max(sizes) <= FINAL_ROWS or (last is not None and max(sizes) >= last):
-            break
-        last = max(sizes)
-        nxt = []
-        for st in states:
-            part = vals.filter(in_state(st))
-            edges = [float(e) for e in part.agg(F.percentile_approx(value, probs, 10_000)).first()[0]]
-            bucket = _bucket_expr(value, len(edges))
-            counts = sorted(
-                (int(r["b"]), int(r["n"]))
-                for r in part.withColumn("_edges", F.array(*[F.lit(e) for e in edges]).cast("array<double>"))
-                .groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
-            )
-            before = 0
-            for b, n in counts:
-                if before <= st["r"] < before + n:
-                    nxt.append({
-                        "which": st["which"],
-                        "r": st["r"] - before,
-                        "lo": edges[b - 1] if b >= 1 else st["lo"],
-                        "hi": edges[b] if b < len(edges) else st["hi"],
-                    })
-                    break
-                before += n
-        states = nxt
-    parts = []
-    for st in states:
-        dist = vals.filter(in_state(st)).groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
-        w = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)  # <= FINAL_ROWS distinct values
-        dist = dist.withColumn("_upto", F.sum("_c").over(w)).withColumn("_from", F.col("_upto") - F.col("_c"))
-        hit = dist.filter((F.col("_from") <= st["r"]) & (F.lit(st["r"]) < F.col("_upto")))
-        parts.append(hit.select(F.lit(st["which"]).alias("_which"), value))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

@@ -87,3 +87,49 @@ def test_classification_report_zero_division(spark):
     assert rows["Breakout Hit"]["recall"] == 0.0
     assert rows["accuracy"]["f1_score"] == pytest.approx(2 / 3, abs=1e-4)
     assert rows["Not Breakout"]["support"] == 2
+
+
+def _fact_scans(spark, df, run):
+    """How often the input's rows are counted by an accumulator while ``run`` runs."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    run(df.mapInArrow(count, df.schema))
+    return seen.value / df.count()
+
+
+@pytest.mark.parametrize("groups", [["g"], []])
+def test_median_scans_its_input_twice(spark, monkeypatch, groups):
+    monkeypatch.setattr(ordered, "FINAL_ROWS", 20)  # many narrowing levels
+    df = _values(spark, n=30_000).cache()
+    assert _fact_scans(spark, df, lambda d: ordered.exact_median(d, groups, "v").collect()) == 2
+
+
+@pytest.mark.parametrize("final_rows", [250_000, 4])
+@pytest.mark.parametrize("kind", ["distinct", "hot", "odd", "halves"])
+def test_median_brackets(spark, monkeypatch, final_rows, kind):
+    monkeypatch.setattr(ordered, "FINAL_ROWS", final_rows)
+    rnd = random.Random(5)
+    inf, nan = float("inf"), float("nan")
+    draw = {"distinct": rnd.random, "hot": lambda: 3.0 if rnd.random() < 0.6 else rnd.random() * 9, "odd": lambda: rnd.choice([inf, -inf, nan, 0.0, -0.0, 1.0, None]),
+            "halves": lambda: rnd.choice([1.0, 2.0])}[kind]
+    df = spark.createDataFrame([(rnd.choice(["a", "a", "b", None, "c"]), draw()) for _ in range(9_001)] + [("one", 4.0), ("none", None)], "g string, v double").repartition(5)
+    got = {r["g"]: repr(r["m"]) for r in ordered.exact_median(df, ["g"], "v", "m").collect()}
+    want = {}
+    for g in (None, "a", "b", "c", "one"):
+        values = sorted((r["v"] for r in df.filter(F.col("g").eqNullSafe(g) & F.col("v").isNotNull()).collect()), key=lambda x: (x != x, x))
+        lo, hi = values[(len(values) - 1) // 2], values[len(values) // 2]
+        want[g] = repr(lo + 0.0 if lo == hi or lo != lo and hi != hi else lo + (hi - lo) * 0.5)
+    assert got == {g: v.replace("-0.0", "0.0") if v == "-0.0" else v for g, v in want.items()}
+
+
+def test_median_outside_its_bracket(spark, monkeypatch):
+    """A bracket that misses is widened."""
+    monkeypatch.setattr(ordered, "BRACKET_SHARE", -0.02)
+    df = _values(spark, n=3_000)
+    got = {r["g"]: r["m"] for r in ordered.exact_median(df, ["g"], "v", alias="m").collect()}
+    assert got == pytest.approx({r["g"]: r["m"] for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()})
