@@ -253,11 +253,18 @@ def train(corpus_lines: list[str], *, seed: int = SEED) -> Classifier:
 
 
 def sample_lines(docs: DataFrame, most: int = MAX_LINES) -> list[str]:
-    """At most ``most`` lines of the rows (doc_id, text) with the lowest seeded hashes, one line each, none with a licence's word pairs."""
+    """At most ``most`` lines of the rows (doc_id, text) with the lowest seeded hashes, one line each, none with a licence's word pairs.
+
+    Hashes are uniform, so a rate from the row count leaves about twice as many rows as are
+    wanted; only these are cut to their line and sorted.
+    """
     at = F.xxhash64("doc_id", F.lit(SEED))
+    rate = min(1.0, (2 * most + 1000) / max(1, docs.count()))
+    bound = int(-(1 << 63) + rate * ((1 << 64) - 1)) if rate < 1 else (1 << 63) - 1
     lines = F.split("text", "\n")
     line = F.element_at(lines, (F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.size(lines)) + 1).cast("int"))
-    picked = docs.filter("text is not null").orderBy(at, "doc_id").limit(most).select(F.substring(line, 1, 400).alias("line"))
+    chosen = docs.filter(F.col("text").isNotNull() & (at <= F.lit(bound).cast("long"))).select(at.alias("at"), "doc_id", F.substring(line, 1, 400).alias("line"))
+    picked = chosen.orderBy("at", "doc_id").limit(most).select("line")
     marks = "licen|copyright|rights reserved|creative commons|spdx|permission|redistribution"
     return [r["line"] for r in picked.filter(~F.lower("line").rlike(marks)).collect()]
 
@@ -308,9 +315,10 @@ def scan(docs: DataFrame, model: Classifier, *, id_col: str = "doc_id", text_col
             for i, j in steps(offsets):
                 lines = read_lines(raw, offsets[i:j + 1])
                 found: list[list] = [[] for _ in range(i, j)]
+                # Code points before each byte of the step.
+                points = np.concatenate([[0], np.cumsum((raw[offsets[i]:offsets[j]] & 0xC0) != 0x80)])
                 for family, first, last, row, p, share in finds(lines, model):
-                    begin = int(offsets[i + row])
-                    at = [len(bytes(raw[begin:int(offsets[i]) + int(x)]).decode(errors="ignore")) for x in (lines.starts[first], lines.ends[last - 1])]
+                    at = [int(points[int(x)] - points[int(offsets[i + row] - offsets[i])]) for x in (lines.starts[first], lines.ends[last - 1])]
                     found[row].append({"family": model.families[family], "start": at[0], "end": at[1], "probability": p, "template": share})
                 for f in found:
                     f.sort(key=lambda x: (x["start"], x["end"], x["family"]))
