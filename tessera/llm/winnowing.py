@@ -12,6 +12,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -111,21 +112,28 @@ def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text) rows in ranges of the id, sorted, each range followed by the first row
     of the next one (``guest``), the last range by the very first row.
 
-    The ranges' bounds are quantiles of the ids, their first ids one row each; every text is
-    shuffled once, and no task sees more than its ranges.
+    Spark's range partitioning of the ids alone gives the bounds: the first id of each range,
+    which a task finds by binary search.  Every text is shuffled once, and no task sees more
+    than its ranges.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = 4 * parts
-    points = docs.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)], F.lit(20 * n)).alias("at")).first()["at"] or []
-    bounds = F.array(*[F.lit(x).cast("long") for x in sorted(set(points))]) if points else F.array().cast("array<long>")
-    place = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.size(F.filter(bounds, lambda x: x <= F.col("doc_id"))) + 1)
-    placed = docs.withColumn("range", place)
-    firsts = placed.groupBy("range").agg(F.min("doc_id").alias("head")).orderBy("range").collect()  # one row for each range
-    if not firsts:
+    ids = docs.select("doc_id").filter("doc_id is not null").repartitionByRange(4 * parts, "doc_id")
+    firsts = sorted(r["head"] for r in ids.groupBy(F.spark_partition_id().alias("range")).agg(F.min("doc_id").alias("head")).collect())  # one row for each range
+    bounds = np.array(firsts, np.int64)
+
+    @F.pandas_udf("int")
+    def after(doc_id: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, doc_id.to_numpy(np.int64), "right").astype(np.int32))
+
+    placed = docs.withColumn("range", F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(after(F.coalesce("doc_id", F.lit(0)))))
+    ranges = list(enumerate(firsts, 1))
+    if docs.filter("doc_id is null").limit(1).count():
+        ranges.insert(0, (0, None))
+    if not ranges:
         return placed.withColumn("guest", F.lit(False))
-    before = [firsts[-1]["range"], *[r["range"] for r in firsts[:-1]]]
-    heads = spark.createDataFrame([(r["range"], r["head"], b) for r, b in zip(firsts, before)], "range int, head long, host int")
+    before = [ranges[-1][0], *[r for r, _ in ranges[:-1]]]
+    heads = spark.createDataFrame([(r, head, b) for (r, head), b in zip(ranges, before)], "range int, head long, host int")
     heads = placed.join(F.broadcast(heads), "range").filter(F.col("doc_id").eqNullSafe(F.col("head")))
     # Rows of one id: the smallest text comes first.
     heads = heads.groupBy("host").agg(F.min(F.struct("doc_id", "text")).alias("row"))
