@@ -75,6 +75,7 @@ def main() -> None:
         t = time.time()
         run(Q.QUERIES[name](spark, sf_dir))
         times[name] = round(time.time() - t, 3)
+        print(f"{name}: {times[name]} s", file=sys.stderr, flush=True)
 
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
