@@ -3,8 +3,8 @@
 The raw source is one flat observation table (one row per game x platform x
 date observation).  The star schema splits it column by column into three
 dimensions and one fact table; apart from the three foreign keys every raw
-column lands in exactly one table.  Column lists below are the intersection of
-the published contract with the columns the observation source carries.
+column lands in exactly one table.  Column lists below are the published contract;
+a source that lacks some of them names those it carries, else building a table raises.
 """
 
 from __future__ import annotations
