@@ -15,7 +15,6 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 DIGITS = 12
@@ -111,7 +110,7 @@ def publish(spark: SparkSession, root: str, path: str, info: dict, first_only: b
 
 
 def create_or_replace(df: DataFrame, root: str, name: str | None = None, rows_per_file: int = 2_000_000) -> Version:
-    """Write ``df`` as the next version of the table at ``root``; its row count is taken as it is written.
+    """Write ``df`` as the next version of the table at ``root``, with its row count.
 
     A failed or lost job leaves files that no pointer names, and the table as it was.  ``df``
     may read the table itself.  ``name``: also publish it in the catalog.
@@ -126,12 +125,13 @@ def create_or_replace(df: DataFrame, root: str, name: str | None = None, rows_pe
 
 
 def write_counted(df: DataFrame, path: str, rows_per_file: int) -> int:
-    """Write ``df`` as Parquet and return how many rows were written, without reading them again."""
-    from pyspark.sql import Observation
+    """Write ``df`` as Parquet and return how many rows were written, from the files' footers.
 
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.option("maxRecordsPerFile", rows_per_file).parquet(path)
-    return int(seen.get["rows"])
+    Not by an observation: a session that has observed a frame cannot serialise the scoring
+    functions of MLlib models, which hold the session.
+    """
+    df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
+    return df.sparkSession.read.parquet(path).count()
 
 
 def read(spark: SparkSession, root: str, number: int | None = None) -> DataFrame:
