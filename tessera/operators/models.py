@@ -1,15 +1,15 @@
-"""Model training and auditing with pyspark.ml.
+"""Model training and auditing.
 
-Logistic regression with 'balanced' class weights and boosted trees weighted by
-the negative/positive ratio, their test-set predictions, feature importances, a
-leak flag for a dominating feature and the ablation without it.
+Logistic regression (Newton steps) with 'balanced' class weights and boosted trees
+(pyspark.ml) weighted by the negative/positive ratio, their test-set predictions, feature
+importances, a leak flag for a dominating feature and the ablation without it.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,13 +17,16 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tessera.functions.numeric import is_finite
+from tessera.operators import newton
 from tessera.operators.metrics import classification_report, roc_auc
 from tessera.schema import GBT_PARAMS, LR_MAX_ITER, RANDOM_STATE
 from tessera.sources.stage import written
 
 LEAK_SHARE = 0.5
-# Stands for a missing feature value: below every measure, so that trees can split it off.
+# Stands for a missing feature value in the linear model: below every measure.
 MISSING = -1.0
+# Stand for a missing value in the two columns that a tree sees of a feature: below and above every value.
+LOWEST, HIGHEST = -1e300, 1e300
 
 
 @dataclass
@@ -32,58 +35,68 @@ class FittedModel:
     features: list[str]
     predictions: DataFrame  # test rows: key, label, prediction, probability
     importances: list[tuple[str, float]] = field(default_factory=list)
-    model: object | None = None  # the fitted pyspark.ml model (absent when loaded from storage)
+    model: object | None = None  # the fitted pyspark.ml or linear model (absent when loaded from storage)
 
 
-def _assemble(df: DataFrame, features: list[str]) -> DataFrame:
-    """``df`` with the vector ``features``; NULL, NaN and infinite inputs become :data:`MISSING`,
-    as MLlib refuses them.  The input columns themselves stay as they are."""
-    x = {c: F.col(c).cast("double") for c in features}
-    filled = F.struct(*[F.coalesce(F.when(is_finite(v), v), F.lit(MISSING)).alias(c) for c, v in x.items()])
-    names = [f"_features.{c}" for c in features]
-    return VectorAssembler(inputCols=names, outputCol="features").transform(df.withColumn("_features", filled)).drop("_features")
+def _known(name: str) -> F.Column:
+    """A feature as a double; null where it is NULL, NaN or infinite."""
+    v = F.col(name).cast("double")
+    return F.when(is_finite(v), v)
 
 
-def _predict(model, test: DataFrame, key: str, target: str) -> DataFrame:
-    out = model.transform(test)
-    return out.select(
-        key,
-        F.col(target).cast("int").alias("label"),
-        F.col("prediction").cast("int").alias("prediction"),
-        vector_to_array("probability")[1].alias("probability"),
-    )
+def _output(df: DataFrame, key: str, target: str, prediction: F.Column, probability: F.Column) -> DataFrame:
+    return df.select(key, F.col(target).cast("int").alias("label"), prediction.cast("int").alias("prediction"),
+                     probability.alias("probability"))
 
 
 def fit_logistic(train: DataFrame, test: DataFrame, features: list[str], target: str, weight: str,
-                 key: str = "obs_key", max_iter: int = LR_MAX_ITER, c: float = 1.0, tol: float = 1e-4) -> FittedModel:
-    """L2 logistic regression on raw (unstandardised) features.
-
-    The per-sample-summed objective ``0.5*||w||^2 + C * sum_i w_i * loss_i`` equals
-    MLlib's mean-weighted objective with ``regParam = 1 / (C * sum_i w_i)``.
-    ``tol`` defaults to 1e-4, the usual default of single-machine solvers.
-    """
-    total_weight = train.agg(F.sum(weight)).first()[0]
-    lr = LogisticRegression(featuresCol="features", labelCol=target, weightCol=weight, maxIter=max_iter,
-                            regParam=1.0 / (c * total_weight), elasticNetParam=0.0, standardization=False,
-                            family="binomial", tol=tol)
-    model = lr.fit(_assemble(train, features))
-    preds = _predict(model, _assemble(test, features), key, target)
-    coefs = model.coefficients.toArray().tolist()
-    return FittedModel("logistic_regression", features, preds, list(zip(features, [abs(x) for x in coefs])), model)
+                 key: str = "obs_key", max_iter: int = LR_MAX_ITER, c: float = 1.0, tol: float = 1e-10) -> FittedModel:
+    """L2 logistic regression: the per-sample-summed objective ``0.5*||w||^2 + C * sum_i w_i * loss_i``
+    on the raw features, by Newton steps (:mod:`newton`).  Missing values are :data:`MISSING`."""
+    rows = train.select(*[F.coalesce(_known(f), F.lit(MISSING)).alias(f"_f{i}") for i, f in enumerate(features)], target, weight)
+    model = newton.fit(rows, [f"_f{i}" for i in range(len(features))], target, weight, c=c, max_iter=max_iter, tol=tol)
+    model.features = list(features)
+    m = model.margin(lambda f: F.coalesce(_known(f), F.lit(MISSING)))
+    preds = _output(test.withColumn("_margin", m), key, target, F.col("_margin") > 0, newton.sigmoid(F.col("_margin")))
+    return FittedModel("logistic_regression", features, preds, [(f, abs(w)) for f, w in zip(features, model.coefficients)], model)
+
+
+def _gaps(train: DataFrame, features: list[str]) -> list[str]:
+    """Features that are missing in some training row: one aggregate."""
+    row = train.agg(*[F.max(_known(f).isNull()).alias(f"_m{i}") for i, f in enumerate(features)]).first()
+    return [f for f, gap in zip(features, row) if gap]
+
+
+def _both_ways(df: DataFrame, features: list[str], gaps: list[str]) -> DataFrame:
+    """``df`` with the vector ``features``: every feature with its missing values below all others,
+    then each of ``gaps`` again with them above all others."""
+    filled = F.struct(*[F.coalesce(_known(f), F.lit(LOWEST)).alias(f"l{i}") for i, f in enumerate(features)],
+                      *[F.coalesce(_known(f), F.lit(HIGHEST)).alias(f"h{i}") for i, f in enumerate(gaps)])
+    names = [f"_features.l{i}" for i in range(len(features))] + [f"_features.h{i}" for i in range(len(gaps))]
+    return VectorAssembler(inputCols=names, outputCol="features").transform(df.withColumn("_features", filled)).drop("_features")
 
 
 def fit_boosted_trees(name: str, train: DataFrame, test: DataFrame, features: list[str], target: str, weight: str,
                       key: str = "obs_key", n_estimators: int = GBT_PARAMS["n_estimators"],
                       max_depth: int = GBT_PARAMS["max_depth"], learning_rate: float = GBT_PARAMS["learning_rate"],
                       seed: int = RANDOM_STATE) -> FittedModel:
-    """Gradient-boosted trees (logistic loss), weighted rows, fixed seed."""
+    """Gradient-boosted trees (logistic loss), weighted rows, fixed seed.
+
+    Missing values need no filling: a feature with gaps in training is offered twice, its missing
+    values below and above all others, so each split learns the side that missing rows go to from
+    the gain of both.  The importance of a feature is that of both forms.  A value that is missing
+    in no training row goes with the least values.
+    """
+    gaps = _gaps(train, features)
     gbt = GBTClassifier(featuresCol="features", labelCol=target, weightCol=weight, maxIter=n_estimators,
                         maxDepth=max_depth, stepSize=learning_rate, seed=seed, cacheNodeIds=True,
                         checkpointInterval=10, featureSubsetStrategy="all")
-    model = gbt.fit(_assemble(train, features))
-    preds = _predict(model, _assemble(test, features), key, target)
+    model = gbt.fit(_both_ways(train, features, gaps))
+    scored = model.transform(_both_ways(test, features, gaps))
+    preds = _output(scored, key, target, F.col("prediction"), vector_to_array("probability")[1])
     imp = model.featureImportances.toArray().tolist()
-    return FittedModel(name, features, preds, list(zip(features, imp)), model)
+    above = dict(zip(gaps, imp[len(features):]))
+    return FittedModel(name, features, preds, [(f, v + above.get(f, 0.0)) for f, v in zip(features, imp)], model)
 
 
 def importance_frame(spark: SparkSession, fitted: FittedModel) -> DataFrame:
@@ -130,10 +143,14 @@ def persist(df: DataFrame) -> DataFrame:
 
 def save(spark: SparkSession, fitted: FittedModel, root: str) -> FittedModel:
     """Write a fitted model's outputs under ``root``: scored test rows, importances
-    (in feature order) and the pyspark.ml model; ``_importances`` is written last
+    (in feature order) and the model; ``_importances`` is written last
     and marks the folder complete.  Returns the model reading its predictions back."""
     fitted.predictions.write.mode("overwrite").parquet(f"{root}/predictions")
-    if fitted.model is not None:
+    if isinstance(fitted.model, newton.LinearModel):
+        m = fitted.model
+        weights = [*zip(m.features, m.coefficients), (None, m.intercept)]  # the intercept has no name
+        spark.createDataFrame(weights, "feature string, weight double").coalesce(1).write.mode("overwrite").parquet(f"{root}/model")
+    elif fitted.model is not None:
         fitted.model.write().overwrite().save(f"{root}/model")
     rows = [(i, f, float(v)) for i, (f, v) in enumerate(fitted.importances)]
     spark.createDataFrame(rows, "position int, feature string, importance double") \

@@ -142,9 +142,9 @@ def _model_version() -> str:
 
     from tessera import schema
     from tessera.functions import categorical, numeric
-    from tessera.operators import joins, ordered
+    from tessera.operators import joins, newton, ordered
 
-    src = "".join(inspect.getsource(m) for m in (models, features, sampling, ordered, schema, categorical, numeric, joins))
+    src = "".join(inspect.getsource(m) for m in (models, newton, features, sampling, ordered, schema, categorical, numeric, joins))
     src += inspect.getsource(_fitted) + inspect.getsource(_prepared)
     return hashlib.sha1(src.encode()).hexdigest()[:12]
 
