@@ -1,16 +1,21 @@
 """Embedding near-duplicates by binary codes under randomised rotations.
 
-A vector is normalised and rotated by a random orthogonal matrix; its code is the signs,
-and beside it stands the correction factor ``<x, signs/sqrt(D)>``.  For another rotated
-vector ``q``, ``<q, signs/sqrt(D)> / factor`` estimates ``<q, x>`` without bias, with an
-error of about ``sqrt((1 - factor^2)/factor^2/(D - 1))``; only pairs whose upper confidence
-bound reaches the threshold are recomputed in double precision.
+A vector is normalised and rotated by a random orthogonal matrix.  What is stored of it is its
+code, the packed signs, with its correction factor ``<x, signs/sqrt(D)>``, and the rotated
+vector in four bits a component.  For the four-bit form of another vector ``q``,
+``<q, signs/sqrt(D)> / factor`` estimates ``<q, x>`` without bias (rounding is dithered), by
+counting the common bits of the code and of the four bit planes.  Its error is about
+``sqrt((1 - factor^2)/factor^2/(D - 1))``, and half a rounding step over the factor beside it.  A pair
+is out when the upper confidence bound of either direction stays below the threshold; only the
+others need their vectors, for the cosine in double precision.
 
 Candidates share a band of sign bits under one of several rotations.  At cosine 0.95 two
 vectors differ in a sign with probability 0.101, so a band of ``b`` bits is shared with
-probability 0.899^b; the number of bands follows from ``b`` and the wanted recall.  A pair
-that meets in several bands is counted in the first one alone, which both codes tell; so no
-list of pairs is made and every task returns sums and spanning links per vector.
+probability 0.899^b; the number of bands follows from ``b`` and the wanted recall.  Buckets get
+the codes alone.  The vectors follow in a second step, and only those of members with an
+undecided pair in the bucket.  A pair that meets in several bands is counted in the first one
+alone: under the first rotation the codes tell, under later ones the vectors.  So no list of
+pairs is made, and every task returns sums and spanning links per vector.
 """
 
 from __future__ import annotations
@@ -34,9 +39,16 @@ BOUND = 6.0
 #: Members of a bucket that one task compares with as many others; larger buckets are dealt out in such blocks.
 BLOCK = 2048
 SEED = 11
+#: Bits of a component of the rotated vector, and dithers that the rounding chooses from.
+LEVELS, DITHERS = 4, 256
+#: Members of a bucket on average, for vectors spread evenly: comparing codes is cheap, bands are not.
+BUCKET = 128
 _TASK = "vec_id long, mark long, n_links long, root long"
-#: Buckets up to this size are compared many at once; rows that a task takes together.
-SMALL, TASK_ROWS = 32, 20_000
+_MEMBER = "vec_id long, mark long, bucket long, side int, code binary"
+#: Buckets up to this size are compared many at once; rows that a task takes together; pairs estimated at once.
+SMALL, TASK_ROWS, PAIRS = 32, 20_000, 65_536
+#: Buckets over BLOCK members are told to all tasks up to this many of them (24 bytes each), joined by shuffle beyond.
+BROADCAST_BUCKETS = 200_000
 
 
 def rotations(dimension: int, count: int, seed: int = SEED) -> list[np.ndarray]:
@@ -47,7 +59,7 @@ def rotations(dimension: int, count: int, seed: int = SEED) -> list[np.ndarray]:
 
 def plan(rows: int, dimension: int, threshold: float = THRESHOLD, miss: float = MISS) -> tuple[int, int, int]:
     """(bits of a band, bands of a rotation, rotations): bits grow with the logarithm of the rows."""
-    bits = int(min(max(6, round(math.log2(max(rows, 2)))), 48, dimension))
+    bits = int(min(max(6, round(math.log2(max(rows, 2) / BUCKET))), 48, dimension))
     share = (1 - math.acos(threshold) / math.pi) ** bits
     bands = math.ceil(math.log(miss) / math.log1p(-share))
     each = max(1, dimension // bits)
@@ -87,57 +99,119 @@ def _as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(c) for c in ("digest", "vec_id", "weight", "mark")] + [pa.array(x, pa.binary())], names=["digest", "vec_id", "weight", "mark", "x"])
 
 
-class _Pairs:
-    """Decides the pairs of one band's buckets."""
-
-    def __init__(self, turns: list[np.ndarray], bits: int, each: int, threshold: float):
-        self.turns, self.bits, self.each, self.threshold = turns, bits, each, threshold
-
-    def codes(self, x: np.ndarray, band: int):
-        """(rotated vectors, codes divided by their correction factors, error bounds)."""
-        d = x.shape[1]
-        rotated = x @ self.turns[band // self.each]
-        signs = np.where(rotated >= 0, 1 / math.sqrt(d), -1 / math.sqrt(d))
-        factor = np.minimum((rotated * signs).sum(axis=1), 1.0)
-        return rotated, signs / factor[:, None], BOUND * np.sqrt((1 - factor**2) / factor**2 / max(d - 1, 1))
-
-    def links(self, x: np.ndarray, band: int, group: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Linked pairs within each group (rows sorted by it), or between its two sides, met in no earlier band."""
-        rotated, code, error = self.codes(x, band)
-        starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-        sizes = np.diff(np.r_[starts, len(group)])
-        found: list[tuple[np.ndarray, np.ndarray]] = []
+def record(dimension: int) -> np.dtype:
+    """What is stored of a vector: the sign words, the bit planes of the rotated vector, and the numbers of both."""
+    words = -(-dimension // 64)
+    return np.dtype([("code", "<u8", (words,)), ("planes", "<u8", (LEVELS, words)), ("factor", "<f4"), ("low", "<f4"), ("step", "<f4"), ("total", "<f4")])
+
+
+def _packed(bits: np.ndarray) -> np.ndarray:
+    """(n, words) of (n, D) booleans, bit i of the whole standing for component i."""
+    n, d = bits.shape
+    full = np.zeros((n, -(-d // 64) * 64), bool)
+    full[:, :d] = bits
+    return np.packbits(full, axis=1, bitorder="little").view("<u8")
+
+
+def encode(x: np.ndarray, turn: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """The stored records of unit vectors; a vector's mark alone chooses its dither, so a rerun gives the same."""
+    d = x.shape[1]
+    rotated = x @ turn
+    signs = rotated >= 0
+    out = np.zeros(len(x), record(d))
+    out["code"] = _packed(signs)
+    out["factor"] = np.minimum(np.where(signs, rotated, -rotated).sum(axis=1) / math.sqrt(d), 1.0)
+    low = rotated.min(axis=1)
+    step = np.maximum((rotated.max(axis=1) - low) / (2**LEVELS - 1), 1e-12)
+    dither = np.random.default_rng(SEED).random((DITHERS, d))[mark % DITHERS]
+    level = np.clip(np.floor((rotated - low[:, None]) / step[:, None] + dither), 0, 2**LEVELS - 1).astype(np.uint8)
+    for k in range(LEVELS):
+        out["planes"][:, k] = _packed((level >> k) & 1 == 1)
+    out["low"], out["step"], out["total"] = low, step, level.sum(axis=1)
+    return out
+
+
+def estimates(q: np.ndarray, o: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """(estimated cosine, confidence bound) of paired records: the four-bit form of ``q`` against the code of ``o``."""
+    common = np.zeros(len(q), np.int64)
+    for k in range(LEVELS):
+        common += np.bitwise_count(q["planes"][:, k] & o["code"]).sum(axis=1, dtype=np.int64) << k
+    ones = np.bitwise_count(o["code"]).sum(axis=1, dtype=np.int64)
+    factor = o["factor"].astype(np.float64)
+    step, low = q["step"].astype(np.float64), q["low"].astype(np.float64)
+    # A sign is 2 bit - 1, a component low + step * level.
+    product = low * (2 * ones - d) + step * (2 * common - q["total"])
+    own = (1 - factor**2) / factor**2 / max(d - 1, 1)
+    return product / math.sqrt(d) / factor, BOUND * np.sqrt(np.maximum(own, 0) + (step / 2 / factor) ** 2) + 1e-5
+
+
+class Pairs:
+    """The pairs of buckets that the stored records leave open."""
+
+    def __init__(self, dimension: int, bits: int, each: int, threshold: float):
+        self.dimension, self.bits, self.each, self.threshold = dimension, bits, each, threshold
+        places = np.zeros((each, dimension), bool)
+        for k in range(each):
+            places[k, k * bits:(k + 1) * bits] = True
+        self.masks = _packed(places)
+
+    def open(self, records: np.ndarray, band: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the pairs i-j that are not ruled out and share no earlier band of the first rotation."""
+        kept = []
+        for k in range(0, len(i), PAIRS):
+            a, b = i[k:k + PAIRS], j[k:k + PAIRS]
+            for left, right in ((0, 1), (1, 0)):
+                p = (a, b)
+                value, bound = estimates(records[p[left]], records[p[right]], self.dimension)
+                near = value + bound >= self.threshold
+                a, b = a[near], b[near]
+            differ = records["code"][a] ^ records["code"][b]
+            fresh = np.ones(len(a), bool)
+            for m in range(self.each):  # bands are numbered from the first rotation's on
+                fresh &= (band[a] <= m) | ((differ & self.masks[m]) != 0).any(axis=1)
+            kept.append((a[fresh], b[fresh]))
+        return tuple(np.concatenate([p[k] for p in kept]) if kept else np.empty(0, np.int64) for k in (0, 1))
+
+    def within(self, records: np.ndarray, bucket: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Open pairs inside each bucket (rows sorted by it), or between its two sides, in bounded parts."""
+        band = bucket & 0xFFF
+        starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        sizes = np.diff(np.r_[starts, len(bucket)])
         few = np.repeat(sizes <= SMALL, sizes)
         for gap in range(1, int(min(sizes.max(), SMALL))):
-            i = np.flatnonzero(few[:-gap] & (group[:-gap] == group[gap:]))
+            i = np.flatnonzero(few[:-gap] & (bucket[:-gap] == bucket[gap:]))
             if not len(i):
                 break
-            estimate = np.einsum("ij,ij->i", rotated[i], code[i + gap])
-            i = i[estimate + error[i + gap] >= self.threshold]
-            found.append((i, i + gap))
+            yield self.open(records, band, i, i + gap)
         for at, size in zip(starts[sizes > SMALL], sizes[sizes > SMALL]):
             rows = np.arange(at, at + size)
-            left, right = (rows[side[rows] == 0], rows[side[rows] == 1]) if side[rows].any() else (rows, rows)
-            for k in range(0, len(left), 512):
-                part = left[k:k + 512]
-                i, j = np.nonzero(rotated[part] @ code[right].T + error[right] >= self.threshold)
-                i, j = part[i], right[j]
-                keep = i < j if right is left else i != j
-                found.append((i[keep], j[keep]))
-        i, j = (np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64) for k in (0, 1))
-        exact = np.empty(len(i), bool)
-        for k in range(0, len(i), 65_536):  # what the bound leaves, in double precision
-            exact[k:k + 65_536] = np.einsum("ij,ij->i", x[i[k:k + 65_536]], x[j[k:k + 65_536]]) >= self.threshold
-        i, j = i[exact], j[exact]
-        if band and len(i):
-            rows, at = np.unique(np.concatenate([i, j]), return_inverse=True)
-            keys = np.concatenate([_keys(x[rows] @ t, self.bits, self.each) for t in self.turns[:band // self.each + 1]], 1)[:, :band]
-            a, b = at[:len(i)], at[len(i):]
-            first = np.empty(len(i), bool)
-            for k in range(0, len(i), 16_384):
-                first[k:k + 16_384] = ~(keys[a[k:k + 16_384]] == keys[b[k:k + 16_384]]).any(axis=1)
-            i, j = i[first], j[first]
-        return i, j
+            two = side[rows].any()
+            left, right = (rows[side[rows] == 0], rows[side[rows] == 1]) if two else (rows, rows)
+            for k in range(0, len(left), 256):
+                i, j = np.repeat(left[k:k + 256], len(right)), np.tile(right, len(left[k:k + 256]))
+                if not two:
+                    i, j = i[i < j], j[i < j]
+                yield self.open(records, band, i, j)
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Whole buckets of rows that come sorted by ``bucket``, about TASK_ROWS rows at a time."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size < TASK_ROWS:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        bucket = table.column("bucket").to_numpy()
+        other = np.flatnonzero(bucket != bucket[-1])
+        cut = int(other[-1]) + 1 if len(other) else 0  # the last bucket may go on
+        if cut:
+            yield table.slice(0, cut)
+        held, size = table.slice(cut).to_batches(), len(bucket) - cut
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks()
 
 
 def link_classes(vectors: DataFrame, dimension: int, rows: int, *, threshold: float = THRESHOLD, miss: float = MISS) -> DataFrame:
@@ -146,62 +220,76 @@ def link_classes(vectors: DataFrame, dimension: int, rows: int, *, threshold: fl
     doubles), weight (copies)."""
     bits, each, count = plan(rows, dimension, threshold, miss)
     turns = rotations(dimension, count)
+    kind = record(dimension)
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def records(column: pa.ChunkedArray) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 1024):
                 part = batch.slice(i, 1024)
-                x = _unit(part.column(2).to_pylist())
+                x, mark = _unit(part.column(2).to_pylist()), part.column(1).to_numpy()
                 keys = np.concatenate([_keys(x @ t, bits, each) for t in turns], 1)
-                n, bands = keys.shape
-                yield pa.record_batch([pa.array(np.repeat(part.column(0).to_numpy(), bands)), pa.array(np.repeat(part.column(1).to_numpy(), bands)),
-                                       pa.array(np.tile(np.arange(bands, dtype=np.int32), n)), pa.array(keys.ravel())], names=["vec_id", "mark", "band", "key"])
+                stored = [r.tobytes() for r in encode(x, turns[0], mark)]
+                yield pa.record_batch([part.column(0), part.column(1), pa.array(list(keys), pa.list_(pa.int64())), pa.array(stored, pa.binary())],
+                                      names=["vec_id", "mark", "keys", "code"])
+
+    def leave(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = Pairs(dimension, bits, each, threshold)
+        for table in _by_bucket(batches):
+            need = np.zeros(len(table), bool)
+            for i, j in pairs.within(records(table.column("code")), table.column("bucket").to_numpy(), table.column("side").to_numpy()):
+                need[i] = need[j] = True
+            if need.any():
+                yield from table.filter(pa.array(need)).to_batches()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = _Pairs(turns, bits, each, threshold)
-
-        def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            ids, mark, weight = (table.column(c).to_numpy() for c in ("vec_id", "mark", "weight"))
-            band, group, side = (table.column(c).to_numpy() for c in ("band", "bucket", "side"))
+        pairs = Pairs(dimension, bits, each, threshold)
+        for table in _by_bucket(batches):
+            ids, mark, weight, bucket, side = (table.column(c).to_numpy() for c in ("vec_id", "mark", "weight", "bucket", "side"))
             x = _unit(table.column("x").to_pylist())
-            for b in np.unique(band):
-                rows = np.flatnonzero(band == b)
-                i, j = pairs.links(x[rows], int(b), group[rows], side[rows])
-                links = (np.bincount(i, weight[rows][j], len(rows)) + np.bincount(j, weight[rows][i], len(rows))).astype(np.int64)
-                hit = links > 0
-                root = ids[rows][_roots(len(rows), i, j)]
-                yield pa.record_batch([pa.array(ids[rows][hit]), pa.array(mark[rows][hit]), pa.array(links[hit]), pa.array(root[hit])], names=["vec_id", "mark", "n_links", "root"])
-
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for batch in batches:
-            held.append(batch)
-            size += batch.num_rows
-            if size < TASK_ROWS:
-                continue
-            table = pa.Table.from_batches(held).combine_chunks()
-            group = table.column("bucket").to_numpy()
-            other = np.flatnonzero(group != group[-1])
-            cut = int(other[-1]) + 1 if len(other) else 0  # the last bucket may go on
-            if cut:
-                yield from done(table.slice(0, cut))
-            held, size = table.slice(cut).to_batches(), len(group) - cut
-        if size:
-            yield from done(pa.Table.from_batches(held).combine_chunks())
-
-    coded = written(vectors.select("vec_id", "mark", "x").mapInArrow(encode, "vec_id long, mark long, band int, key long"), "rabitq-codes")
-    sizes = coded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = coded.join(sizes, ["band", "key"]).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+            band = bucket & 0xFFF
+            links = np.zeros(len(ids), np.int64)
+            root = np.arange(len(ids))
+            for i, j in pairs.within(records(table.column("code")), bucket, side):
+                near = np.concatenate([np.einsum("ij,ij->i", x[i[k:k + PAIRS]], x[j[k:k + PAIRS]]) >= threshold for k in range(0, len(i), PAIRS)] or [np.empty(0, bool)])
+                i, j = i[near], j[near]
+                late = np.flatnonzero(band[i] >= each)
+                if len(late):  # met under an earlier rotation?
+                    told, at = np.unique(np.concatenate([i[late], j[late]]), return_inverse=True)
+                    keys = np.concatenate([_keys(x[told] @ t, bits, each) for t in turns[:int(band[i[late]].max()) // each + 1]], 1)
+                    a, b = at[:len(late)], at[len(late):]
+                    met = np.zeros(len(late), bool)
+                    for k in range(keys.shape[1]):
+                        met |= (band[i[late]] > k) & (keys[a, k] == keys[b, k])
+                    first = np.ones(len(i), bool)
+                    first[late] = ~met
+                    i, j = i[first], j[first]
+                np.add.at(links, i, weight[j])
+                np.add.at(links, j, weight[i])
+                root = root[_roots(len(ids), np.concatenate([i, np.arange(len(ids))]), np.concatenate([j, root]))]
+            hit = links > 0
+            yield pa.record_batch([pa.array(ids[hit]), pa.array(mark[hit]), pa.array(links[hit]), pa.array(ids[root[hit]])], names=["vec_id", "mark", "n_links", "root"])
+
+    stored = written(vectors.select("vec_id", "mark", "x").mapInArrow(code, "vec_id long, mark long, keys array<long>, code binary"), "rabitq-codes")
+    sizes = stored.select(F.posexplode("keys").alias("band", "key")).groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"))
+    large = written(sizes.filter(F.col("size") > BLOCK).select("band", "key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "rabitq-large")
+    members = stored.select("vec_id", "mark", "code", F.posexplode("keys").alias("band", "key"))
+    members = members.join(F.broadcast(large) if large.count() <= BROADCAST_BUCKETS else large, ["band", "key"], "left")
+    members = members.withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     members = members.withColumn("block", F.pmod(F.xxhash64("vec_id", "mark"), F.col("blocks")).cast("int"))
     # Block a meets block b in the task (a, b), a <= b; with one block there is one task.
     members = members.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     a, b = F.least("block", "with"), F.greatest("block", "with")
     # `bucket` names (band, key, a, b): the band in the low bits keeps those of two bands apart.
     bucket = F.shiftleft(F.xxhash64("key", a, b), 12).bitwiseOR(F.col("band").cast("long"))
-    members = members.select("vec_id", "mark", "band", bucket.alias("bucket"), (F.col("block") > F.col("with")).cast("int").alias("side"))
-    full = members.join(vectors.select("vec_id", "mark", "x", "weight"), ["vec_id", "mark"])
-    dealt = full.repartition("bucket").sortWithinPartitions("band", "bucket")
-    return dealt.select("vec_id", "mark", "weight", "x", "band", "bucket", "side").mapInArrow(compare, _TASK)
+    members = members.select("vec_id", "mark", bucket.alias("bucket"), (F.col("block") > F.col("with")).cast("int").alias("side"), "code")
+    dealt = members.repartition("bucket").sortWithinPartitions("bucket")
+    undecided = written(dealt.mapInArrow(leave, _MEMBER), "rabitq-open")
+    full = undecided.join(vectors.select("vec_id", "mark", "x", "weight"), ["vec_id", "mark"])
+    return full.repartition("bucket").sortWithinPartitions("bucket").select(
+        "vec_id", "mark", "weight", "x", "bucket", "side", "code").mapInArrow(compare, _TASK)
 
 
 def near_duplicates(table: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD, miss: float = MISS) -> DataFrame:

@@ -510,9 +510,40 @@ def test_estimates_are_unbiased():
     x = rng.standard_normal((2, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     errors = []
-    for turn in rabitq.rotations(64, 400, seed=9):
-        pairs = rabitq._Pairs([turn], 8, 8, 0.95)
-        rotated, code, bound = pairs.codes(x, 0)
-        errors.append(rotated[0] @ code[1] - x[0] @ x[1])
-        assert abs(errors[-1]) <= bound[1]
+    for n, turn in enumerate(rabitq.rotations(64, 400, seed=9)):
+        stored = rabitq.encode(x, turn, np.array([n, n + 7]))
+        value, bound = rabitq.estimates(stored[:1], stored[1:], 64)
+        errors.append(value[0] - x[0] @ x[1])
+        assert abs(errors[-1]) <= bound[0]
     assert abs(np.mean(errors)) < 4 * np.std(errors) / math.sqrt(len(errors))
+
+
+@pytest.mark.parametrize("d", [3, 64, 100])
+def test_stored_records_give_the_products_of_their_forms(d):
+    rng = np.random.default_rng(d)
+    x = rng.standard_normal((50, d))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    turn = rabitq.rotations(d, 1)[0]
+    stored = rabitq.encode(x, turn, np.arange(50))
+    assert (stored.tobytes() == rabitq.encode(x, turn, np.arange(50)).tobytes()) and stored.itemsize == 40 * -(-d // 64) + 16
+    rotated = x @ turn
+    signs = np.where(rotated >= 0, 1, -1) / math.sqrt(d)
+    level = sum(((stored["planes"][:, k, :, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).reshape(50, -1)[:, :d].astype(int) << k for k in range(4))
+    form = stored["low"][:, None] + stored["step"][:, None] * level
+    assert np.abs(form - rotated).max() <= stored["step"].max() * 1.001
+    value, _ = rabitq.estimates(stored[:-1], stored[1:], d)
+    assert np.allclose(value, (form[:-1] * signs[1:]).sum(axis=1) / (rotated * signs)[1:].sum(axis=1), atol=1e-4)
+
+
+def test_codes_rule_out_far_pairs_and_keep_near_ones():
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((2000, 64))
+    x[1::2] = x[::2] + rng.standard_normal((1000, 64)) * 0.2  # pairs of neighbours at about 0.98
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    pairs = rabitq.Pairs(64, 8, 8, 0.95)
+    stored = rabitq.encode(x, rabitq.rotations(64, 1)[0], np.arange(2000))
+    none = np.zeros(2000, np.int64)
+    i, j = (np.concatenate(p) for p in zip(*pairs.within(stored, none, none)))
+    left, near = set(zip(i.tolist(), j.tolist())), np.argwhere(np.triu(x @ x.T, 1) >= 0.95)
+    assert len(near) > 900 and {tuple(p) for p in near.tolist()} <= left
+    assert len(left) < 0.05 * 2000 * 1999 / 2  # the rest never asks for a vector
