@@ -6,8 +6,9 @@ vector in four bits a component.  For the four-bit form of another vector ``q``,
 ``<q, signs/sqrt(D)> / factor`` estimates ``<q, x>`` without bias (rounding is dithered), by
 counting the common bits of the code and of the four bit planes.  Its error is about
 ``sqrt((1 - factor^2)/factor^2/(D - 1))``, and half a rounding step over the factor beside it.  A pair
-is out when the upper confidence bound of either direction stays below the threshold; only the
-others need their vectors, for the cosine in double precision.
+is out when the upper confidence bound of either direction stays below the threshold, or that of the
+product of both four-bit forms, whose rounding alone errs; only the others need their vectors, for
+the cosine in double precision.
 
 Candidates share a band of sign bits under one of several rotations.  At cosine 0.95 two
 vectors differ in a sign with probability 0.101, so a band of ``b`` bits is shared with
@@ -145,6 +146,18 @@ def estimates(q: np.ndarray, o: np.ndarray, d: int) -> tuple[np.ndarray, np.ndar
     return product / math.sqrt(d) / factor, BOUND * np.sqrt(np.maximum(own, 0) + (step / 2 / factor) ** 2) + 1e-5
 
 
+def finer_estimates(q: np.ndarray, o: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """(estimated cosine, confidence bound) of paired records from the four-bit forms of both."""
+    common = np.zeros(len(q), np.int64)
+    for k in range(LEVELS):
+        for m in range(LEVELS):
+            common += np.bitwise_count(q["planes"][:, k] & o["planes"][:, m]).sum(axis=1, dtype=np.int64) << (k + m)
+    (low, step, total), (low2, step2, total2) = [[r[c].astype(np.float64) for c in ("low", "step", "total")] for r in (q, o)]
+    value = d * low * low2 + low * step2 * total2 + low2 * step * total + step * step2 * common
+    # Rounding errors of half a step on either side, and their product, which one dither for both makes one-sided.
+    return value, BOUND / 2 * np.sqrt(step**2 + step2**2) + d / 4 * step * step2 + 1e-5
+
+
 class Pairs:
     """The pairs of buckets that the stored records leave open."""
 
@@ -165,6 +178,9 @@ class Pairs:
                 value, bound = estimates(records[p[left]], records[p[right]], self.dimension)
                 near = value + bound >= self.threshold
                 a, b = a[near], b[near]
+            value, bound = finer_estimates(records[a], records[b], self.dimension)
+            near = value + bound >= self.threshold
+            a, b = a[near], b[near]
             differ = records["code"][a] ^ records["code"][b]
             fresh = np.ones(len(a), bool)
             for m in range(self.each):  # bands are numbered from the first rotation's on
