@@ -189,20 +189,18 @@ class Pairs:
         return tuple(np.concatenate([p[k] for p in kept]) if kept else np.empty(0, np.int64) for k in (0, 1))
 
     def within(self, records: np.ndarray, bucket: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Open pairs inside each bucket (rows sorted by it), or between its two sides, in bounded parts."""
+        """Open pairs inside each bucket (rows sorted by it, side 0), or between its sides -1 and 1, in bounded parts."""
         band = bucket & 0xFFF
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         sizes = np.diff(np.r_[starts, len(bucket)])
         few = np.repeat(sizes <= SMALL, sizes)
         for gap in range(1, int(min(sizes.max(), SMALL))):
-            i = np.flatnonzero(few[:-gap] & (bucket[:-gap] == bucket[gap:]))
-            if not len(i):
-                break
+            i = np.flatnonzero(few[:-gap] & (bucket[:-gap] == bucket[gap:]) & ((side[:-gap] == 0) | (side[:-gap] != side[gap:])))
             yield self.open(records, band, i, i + gap)
         for at, size in zip(starts[sizes > SMALL], sizes[sizes > SMALL]):
             rows = np.arange(at, at + size)
-            two = side[rows].any()
-            left, right = (rows[side[rows] == 0], rows[side[rows] == 1]) if two else (rows, rows)
+            two = side[at] != 0
+            left, right = (rows[side[rows] < 0], rows[side[rows] > 0]) if two else (rows, rows)
             for k in range(0, len(left), 256):
                 i, j = np.repeat(left[k:k + 256], len(right)), np.tile(right, len(left[k:k + 256]))
                 if not two:
@@ -300,7 +298,7 @@ def link_classes(vectors: DataFrame, dimension: int, rows: int, *, threshold: fl
     a, b = F.least("block", "with"), F.greatest("block", "with")
     # `bucket` names (band, key, a, b): the band in the low bits keeps those of two bands apart.
     bucket = F.shiftleft(F.xxhash64("key", a, b), 12).bitwiseOR(F.col("band").cast("long"))
-    members = members.select("vec_id", "mark", bucket.alias("bucket"), (F.col("block") > F.col("with")).cast("int").alias("side"), "code")
+    members = members.select("vec_id", "mark", bucket.alias("bucket"), F.signum(F.col("with") - F.col("block")).cast("int").alias("side"), "code")
     dealt = members.repartition("bucket").sortWithinPartitions("bucket")
     undecided = written(dealt.mapInArrow(leave, _MEMBER), "rabitq-open")
     full = undecided.join(vectors.select("vec_id", "mark", "x", "weight"), ["vec_id", "mark"])

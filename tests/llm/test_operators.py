@@ -538,6 +538,18 @@ def test_stored_records_give_the_products_of_their_forms(d):
     assert (np.abs(value - (x[:-1] * x[1:]).sum(axis=1)) <= bound).all()
 
 
+def test_two_sided_buckets_pair_across_only():
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((1, 16)) + rng.standard_normal((120, 16)) * 0.01
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    pairs = rabitq.Pairs(16, 6, 2, 0.95)
+    stored = rabitq.encode(x, rabitq.rotations(16, 1)[0], np.arange(120))
+    for size in (10, 120):  # below and above the size that is compared many at once
+        bucket = np.zeros(size, np.int64)
+        for side, want in ((np.zeros(size), size * (size - 1) // 2), (np.where(np.arange(size) % 5, 1, -1), size // 5 * (size - size // 5)), (np.full(size, -1), 0)):
+            assert sum(len(i) for i, _ in pairs.within(stored[:size], bucket, side.astype(int))) == want
+
+
 def test_codes_rule_out_far_pairs_and_keep_near_ones():
     rng = np.random.default_rng(3)
     x = rng.standard_normal((2000, 64))
