@@ -17,6 +17,7 @@ from tessera.functions.categorical import discount_bucket, phase_rank
 from tessera.functions.numeric import finite_or_null, round_half_up, round_plain
 from tessera.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
 from tessera.operators.ordered import exact_median
+from tessera.operators.summaries import distinct_counts
 from tessera.session import work_dir
 
 
@@ -132,12 +133,22 @@ _PLATFORM_MEASURES = [
 ]
 
 
-def platform_comparison(fact: DataFrame, platform: DataFrame, platform_rows: int | None = None) -> DataFrame:
-    """Per platform: means of five measures and the number of distinct games."""
+def platform_comparison(fact: DataFrame, platform: DataFrame, platform_rows: int | None = None,
+                        games_seen: DataFrame | None = None) -> DataFrame:
+    """Per platform: means of five measures and the number of distinct games.
+
+    ``games_seen``: a presence table (``summaries.presence``) of the fact's games by at least
+    the platform; the games are then counted from its bitmaps and the fact is aggregated by
+    platform alone.  Without it they are counted from the fact.
+    """
     aggs = []
     for col, short, _, _ in _PLATFORM_MEASURES:
         aggs += _sum_count(col, short)
-    per_code = fact.groupBy("platform_code").agg(*aggs, F.countDistinct("game_id").alias("unique_games"))
+    if games_seen is None:
+        per_code = fact.groupBy("platform_code").agg(*aggs, F.countDistinct("game_id").alias("unique_games"))
+    else:
+        games = distinct_counts(games_seen, ["platform_code"], "unique_games")
+        per_code = fact.groupBy("platform_code").agg(*aggs).join(games, "platform_code", "left").fillna(0, ["unique_games"])
     dim = broadcast_if_small(platform.select("platform_code", "platform"), platform_rows)
     # platform_code is the dimension key, so grouping by (platform, platform_code)
     # after the join equals the per-code aggregate joined 1:1.

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators import summaries
 from tessera.schema import DIM_GAMES_COLS, DIM_PLATFORM_COLS, DIM_TIME_COLS, FACT_COLS, STAR_TABLES
 
 
@@ -23,21 +24,29 @@ def contract(df: DataFrame, cols: list[str], carried: list[str] | None = None) -
     return wanted
 
 
-def dimension(flat: DataFrame, key: str, cols: list[str], carried: list[str] | None = None) -> DataFrame:
-    """One row per natural key, every other column collapsed with ANY_VALUE.
+def key_tuples(flat: DataFrame, key: str, cols: list[str], carried: list[str] | None = None) -> DataFrame:
+    """The distinct rows of ``cols`` with their ``n_rows``: about one per key, since the other
+    columns are (by contract) constant per key.  A map-side hash aggregate collapses the input."""
+    return flat.groupBy(*contract(flat, cols, carried)).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def collapse(tuples: DataFrame, key: str) -> DataFrame:
+    """One row per natural key of :func:`key_tuples`, every other column by ANY_VALUE.
 
-    ``any_value`` over string buffers cannot use the hash aggregate and would
-    sort the whole input.  The attributes are (by contract) constant per key, so
-    ``distinct`` first collapses the input with a map-side hash aggregate to about
-    one row per key; the per-key ``any_value`` then runs on that small remainder.
-    ``ignoreNulls`` keeps a non-NULL value when one exists.
+    ``any_value`` over string buffers cannot use the hash aggregate and would sort the whole
+    input; here it runs on the small remainder.  ``ignoreNulls`` keeps a non-NULL value when
+    one exists.
     """
-    cols = contract(flat, cols, carried)
+    cols = [c for c in tuples.columns if c != "n_rows"]
     attrs = [c for c in cols if c != key]
-    slim = flat.select(*cols).distinct()
     if not attrs:
-        return slim
-    return slim.groupBy(key).agg(*[F.any_value(c, True).alias(c) for c in attrs]).select(*cols)
+        return tuples.select(key)
+    return tuples.groupBy(key).agg(*[F.any_value(c, True).alias(c) for c in attrs]).select(*cols)
+
+
+def dimension(flat: DataFrame, key: str, cols: list[str], carried: list[str] | None = None) -> DataFrame:
+    """One row per natural key of the flat source."""
+    return collapse(key_tuples(flat, key, cols, carried), key)
 
 
 def dim_games(flat: DataFrame, carried: list[str] | None = None) -> DataFrame:
@@ -62,26 +71,11 @@ def fd_audit(flat: DataFrame) -> DataFrame:
 
     Returns (table_name, column_name, conflicting_keys): the number of keys for
     which the column holds more than one distinct non-NULL value, i.e. where
-    ANY_VALUE's choice would matter.  Runs on the distinct remainder of each
-    dimension, so the heavy input is scanned with a map-side aggregate only.
+    ANY_VALUE's choice would matter.  Audits whatever columns the source carries; a staged
+    source has the key states already (:mod:`tessera.operators.summaries`).
     """
     parts = []
     for table, (key, cols) in STAR_TABLES.items():
-        cols = contract(flat, cols, flat.columns)  # audits whatever the source carries
-        attrs = [c for c in cols if c != key]
-        if key not in cols or not attrs:
-            continue
-        slim = flat.select(*cols).distinct()
-        # More than one distinct non-NULL value <=> min <> max (no distinct-aggregate expansion).
-        per_key = slim.groupBy(key).agg(
-            *[F.coalesce(F.min(c) != F.max(c), F.lit(False)).cast("int").alias(c) for c in attrs]
-        )
-        sums = per_key.agg(*[F.sum(c).cast("bigint").alias(c) for c in attrs])
-        stacked = sums.select(
-            F.lit(table).alias("table_name"),
-            F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("conflicting_keys"))
-                                for c in attrs])).alias("s"),
-        ).select("table_name", "s.column_name", F.coalesce("s.conflicting_keys", F.lit(0)).cast("bigint")
-                 .alias("conflicting_keys"))
-        parts.append(stacked)
+        if key in flat.columns and any(c in flat.columns for c in cols if c != key):
+            parts.append(summaries.conflict_counts(summaries.key_states(key_tuples(flat, key, cols, flat.columns), key), table, key))
     return reduce(DataFrame.unionByName, parts)

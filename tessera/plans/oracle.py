@@ -132,6 +132,33 @@ def _fd_audit_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _fd_conflicts_sql() -> str:
+    parts = []
+    for table, key, cols in (("dim_games", "game_id", DIM_GAMES_COLS), ("dim_platform", "platform_code", DIM_PLATFORM_COLS),
+                             ("dim_time", "obs_date", DIM_TIME_COLS),
+                             ("publishers", "publisher", ["publisher_tier", "genre", "genre_code"])):
+        for c in cols:
+            if c == key:
+                continue
+            parts.append(
+                f"""SELECT '{table}' AS table_name, '{c}' AS column_name, CAST(k AS VARCHAR) AS key_value,
+    CAST(COUNT(*) AS BIGINT) AS n_values, CAST(MIN(v) AS VARCHAR) AS low, CAST(arg_min(n, v) AS BIGINT) AS n_low,
+    CAST(MAX(v) AS VARCHAR) AS high, CAST(arg_max(n, v) AS BIGINT) AS n_high
+    FROM (SELECT {key} AS k, {c} AS v, COUNT(*) AS n FROM flat WHERE {c} IS NOT NULL GROUP BY 1, 2) GROUP BY k HAVING COUNT(*) > 1"""
+            )
+    return "\nUNION ALL\n".join(parts)
+
+
+def _profile_sql() -> str:
+    parts = []
+    for c in FLAT_COLS:
+        odd = [f"CAST(COUNT(*) FILTER (WHERE {test}) AS BIGINT)" if c in _DOUBLE_FLAT else "CAST(0 AS BIGINT)"
+               for test in (f"isnan({c})", f"{c} = CAST('inf' AS DOUBLE)", f"{c} = CAST('-inf' AS DOUBLE)")]
+        parts.append(f"SELECT '{c}' AS column_name, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COUNT(*) - COUNT({c}) AS BIGINT) AS n_null, "
+                     f"{odd[0]} AS n_nan, {odd[1]} AS n_pos_inf, {odd[2]} AS n_neg_inf FROM flat")
+    return "\nUNION ALL\n".join(parts)
+
+
 def _null_counts_sql(table: str, cols: list[str], doubles: set[str]) -> str:
     parts = []
     for c in cols:
@@ -302,6 +329,13 @@ def oracle_sql() -> dict[str, str]:
         "dim_platform": with_star("SELECT * FROM dim_platform"),
         "dim_time": with_star("SELECT * FROM dim_time"),
         "fd_audit": with_star(_fd_audit_sql()),
+        "fd_conflicts": with_star(_fd_conflicts_sql()),
+        "column_profile": with_star(_profile_sql()),
+        "unique_games": with_star(
+            """SELECT CASE WHEN GROUPING(platform_code) = 0 AND GROUPING(launch_phase) = 0 THEN 'platform_phase'
+            WHEN GROUPING(platform_code) = 0 THEN 'platform' WHEN GROUPING(launch_phase) = 0 THEN 'phase' ELSE 'all' END AS level,
+        platform_code, launch_phase, CAST(COUNT(DISTINCT game_id) AS BIGINT) AS unique_games
+    FROM fact_weekly_metrics GROUP BY GROUPING SETS ((platform_code, launch_phase), (platform_code), (launch_phase), ())"""),
         "row_counts": with_star(_count_union(STAR_TABLE_ORDER)),
         "row_count_check": with_star(
             f"""SELECT e.table_name, c.row_count, e.minimum, COALESCE(c.row_count >= e.minimum, FALSE) AS passed

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import round_half_up
-from tessera.operators import checks, features, metrics, models, reports, sampling, star
+from tessera.operators import checks, features, metrics, models, reports, sampling, star, summaries
 from tessera.schema import (
     CAT_COLS,
     DROP_COLS,
@@ -22,6 +23,7 @@ from tessera.schema import (
     RANDOM_STATE,
     SAMPLE_SIZE,
     STAR_TABLE_ORDER,
+    STAR_TABLES,
     TARGET_COL,
 )
 from tessera.sources import files, stage
@@ -34,6 +36,8 @@ DEMO_SAMPLE_SIZE = 5_000
 # against the oracle: players/49*0.5 + hype*5 + is_aaa*0.3, positive at >= 0.7.
 SCORE_THRESHOLD = 0.7
 TRAIN_ROWS_PER_PARTITION = 50_000
+# Attributes whose dependence on the publisher is audited beside the dimensions.
+PUBLISHER_COLS = ["publisher", "publisher_tier", "genre", "genre_code"]
 
 
 # ---------------------------------------------------------------------------
@@ -48,6 +52,14 @@ def _rows(spark: SparkSession, sf: str, name: str) -> int:
     return stage.table_rows(spark, sf, name)
 
 
+def _summary(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return stage.summary(spark, sf, name)
+
+
+def _profile(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    return _summary(spark, sf, "profile").filter(F.col("table_name") == table)
+
+
 def fact(spark, sf):
     return _t(spark, sf, "fact_weekly_metrics")
 
@@ -209,11 +221,23 @@ def q_observations(spark, sf):
 
 
 def q_fd_audit(spark, sf):
-    return star.fd_audit(observations(spark, sf))
+    """Conflicting keys per dimension column, from the key states written with the dimensions."""
+    parts = [summaries.conflict_counts(_summary(spark, sf, f"key_states/{name}"), name, key) for name, (key, _) in STAR_TABLES.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_fd_conflicts(spark, sf):
+    """The conflicts by name: those of the dimensions, and those of the publisher's own attributes,
+    which are no dimension (a publisher may have several tiers and genres)."""
+    parts = [summaries.conflicts(_summary(spark, sf, f"key_states/{name}"), _summary(spark, sf, f"key_tuples/{name}"), name, key)
+             for name, (key, _) in STAR_TABLES.items()]
+    tuples = star.key_tuples(observations(spark, sf), "publisher", PUBLISHER_COLS)
+    parts.append(summaries.conflicts(summaries.key_states(tuples, "publisher"), tuples, "publishers", "publisher"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def q_row_counts(spark, sf):
-    return checks.row_counts({n: _t(spark, sf, n) for n in STAR_TABLE_ORDER})
+    return summaries.row_counts(_summary(spark, sf, "profile").filter(F.col("table_name").isin(STAR_TABLE_ORDER)))
 
 
 def q_row_count_check(spark, sf):
@@ -277,7 +301,7 @@ def q_lifecycle_chart_series(spark, sf):
 
 
 def q_platform_comparison(spark, sf):
-    return reports.platform_comparison(fact(spark, sf), dim_platform(spark, sf), _rows(spark, sf, "dim_platform"))
+    return reports.platform_comparison(fact(spark, sf), dim_platform(spark, sf), _rows(spark, sf, "dim_platform"), _summary(spark, sf, "games_seen"))
 
 
 def q_platform_report(spark, sf):
@@ -317,16 +341,34 @@ def q_calendar_rollup(spark, sf):
 
 
 def q_nonfinite_audit(spark, sf):
-    df = fact(spark, sf)
-    return checks.nonfinite_audit(df, [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")])
+    """Non-finite values of the fact's floating columns, from its profile."""
+    floating = [f.name for f in fact(spark, sf).schema.fields if f.dataType.typeName() in ("double", "float")]
+    return summaries.nonfinite_audit(_profile(spark, sf, "fact_weekly_metrics"), floating)
 
 
 def q_observation_null_counts(spark, sf):
-    return checks.null_counts(observations(spark, sf))
+    return summaries.null_counts(_profile(spark, sf, "observations"))
 
 
 def q_null_counts(spark, sf):
-    return checks.null_counts(model_frame(spark, sf))
+    """Missing values of the modelling frame, a projection of the observations."""
+    return summaries.null_counts(_profile(spark, sf, "observations"), MODEL_COLS)
+
+
+def q_column_profile(spark, sf):
+    """Rows, NULLs and non-finite values of every column of the observations."""
+    return _profile(spark, sf, "observations").select("column_name", *summaries.PROFILE_COUNTS)
+
+
+def q_unique_games(spark, sf):
+    """Distinct games by platform and phase, by each of them and in all, regrouped from one set of bitmaps."""
+    seen = _summary(spark, sf, "games_seen")
+    parts = []
+    for level, groups in (("platform_phase", ["platform_code", "launch_phase"]), ("platform", ["platform_code"]), ("phase", ["launch_phase"]), ("all", [])):
+        counts = summaries.distinct_counts(seen, groups, "unique_games")
+        shown = [F.col(c) if c in groups else F.lit(None).cast(seen.schema[c].dataType).alias(c) for c in ("platform_code", "launch_phase")]
+        parts.append(counts.select(F.lit(level).alias("level"), *shown, "unique_games"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def q_target_distribution(spark, sf):

@@ -6,7 +6,8 @@ four star tables, under the shared work folder (``spark.checkpoint.dir``).  The
 written tables also cut lineage: a lost executor re-reads files instead of
 recomputing the derivation.
 
-Layout: ``<work>/tessera-stage/<fingerprint>/data-<id>/{observations,dim_games,...}``.
+Layout: ``<work>/tessera-stage/<fingerprint>/data-<id>/{observations,dim_games,...}``, beside
+them the summaries (column profiles, key tuples and states, bitmaps of the games seen).
 The fingerprint covers the source folder and the size/mtime of its files, so a
 changed input gets a fresh folder.  It is taken once a session for each source;
 :func:`refresh` takes it anew.  A stage is a published version (``versions``): its
@@ -24,8 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from tessera.operators import star
-from tessera.schema import STAR_TABLE_ORDER
+from tessera.operators import star, summaries
+from tessera.schema import FACT_COLS, STAR_TABLE_ORDER, STAR_TABLES
 from tessera.session import work_dir
 from tessera.sources import versions
 from tessera.sources.observations import FLAT_COLS, observations
@@ -61,7 +62,7 @@ def _code_version() -> bytes:
     from tessera.operators import joins
     from tessera.sources import observations as obs_mod
 
-    return b"".join(inspect.getsource(m).encode() for m in (obs_mod, star, schema, categorical, numeric, joins))
+    return b"".join(inspect.getsource(m).encode() for m in (obs_mod, star, summaries, schema, categorical, numeric, joins))
 
 
 def _listing(spark: SparkSession, path: str) -> str:
@@ -144,9 +145,12 @@ def build_stage_from_flat(spark: SparkSession, flat_source: DataFrame, root: str
     counts: dict[str, int] = {}
     counts["observations"] = _write(with_row_key(flat_source), f"{root}/observations")
     flat = spark.read.parquet(f"{root}/observations")
-    counts["dim_games"] = _write(star.dim_games(flat, carried), f"{root}/dim_games")
-    counts["dim_platform"] = _write(star.dim_platform(flat, carried), f"{root}/dim_platform")
-    counts["dim_time"] = _write(star.dim_time(flat, carried), f"{root}/dim_time")
+    for name, (key, cols) in STAR_TABLES.items():
+        # The flat table is collapsed once; dimension and key states are made of what remains.
+        star.key_tuples(flat, key, cols, carried).write.parquet(f"{root}/key_tuples/{name}")
+        tuples = spark.read.parquet(f"{root}/key_tuples/{name}")
+        counts[name] = _write(star.collapse(tuples, key), f"{root}/{name}")
+        summaries.key_states(tuples, key).write.parquet(f"{root}/key_states/{name}")
     # Range-partitioned by date and sorted within files: row-group min/max stats on
     # obs_date then prune date filters; the column is not used as a directory
     # partition (thousands of tiny folders).
@@ -158,10 +162,48 @@ def build_stage_from_flat(spark: SparkSession, flat_source: DataFrame, root: str
     order = ["obs_date", "game_id", "obs_key"]
     fact = fact.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
     counts["fact_weekly_metrics"] = _write(fact, f"{root}/fact_weekly_metrics")
+    _write_profiles(spark, root, None if carried is None else [*carried, "obs_key"])
+    _write_presence(spark, root)
     done = versions.publish(spark, parent, root, counts, first_only=True)
     return Stage(done.path, {k: int(v) for k, v in done.info.items()})
 
 
+#: What the bitmaps of the games seen are kept by, as far as the fact table has it.
+PRESENCE_GROUPS = ["platform_code", "launch_phase"]
+
+
+def _write_profiles(spark: SparkSession, root: str, carried: list[str] | None) -> None:
+    """Column profiles of all tables.  The fact table is a projection of the flat one, so its
+    profile is part of that one's; the flat table is read once more, whole."""
+    flat = spark.read.parquet(f"{root}/observations")
+    profile = summaries.column_profile(flat)
+    profile.write.parquet(f"{root}/profile/table_name=observations")
+    whole = spark.read.parquet(f"{root}/profile/table_name=observations")
+    facts = star.contract(flat, FACT_COLS, carried)
+    whole.filter(F.col("column_name").isin(facts)).write.parquet(f"{root}/profile/table_name=fact_weekly_metrics")
+    for name in STAR_TABLES:
+        summaries.column_profile(spark.read.parquet(f"{root}/{name}")).write.parquet(f"{root}/profile/table_name={name}")
+
+
+def _write_presence(spark: SparkSession, root: str) -> None:
+    """Bitmaps of the games seen by platform and phase.  Game ids that are no integers are
+    numbered by the dimension first."""
+    fact = spark.read.parquet(f"{root}/fact_weekly_metrics")
+    groups = [c for c in PRESENCE_GROUPS if c in fact.columns]
+    key = "game_id"
+    if fact.schema[key].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        summaries.numbered_keys(spark.read.parquet(f"{root}/dim_games"), key).write.parquet(f"{root}/game_numbers")
+        fact = fact.select(*groups, key).distinct().join(spark.read.parquet(f"{root}/game_numbers"), key)
+        key = "key_number"
+    summaries.presence(fact, groups, key).write.parquet(f"{root}/games_seen")
+
+
+def summary(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A summary of the staged tables: ``profile`` (with ``table_name``), ``games_seen``,
+    ``key_tuples/<dimension>`` or ``key_states/<dimension>``."""
+    return spark.read.parquet(stage(spark, sf_dir).path(name))
+
+
 def stage(spark: SparkSession, sf_dir: str) -> Stage:
     """Return the staged tables for ``sf_dir``, building them on first use.
 
