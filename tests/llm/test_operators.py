@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import chat, langid, license, lm, minhash, mixing, packing, queries, rabitq, urls, winnowing
+from tessera.llm.common import written
 
 LONG = "wort " * 60_000
 ODD = [(1, None, "en", "s"), (2, "", None, None), (3, "Hello, world of words.", "en", "s"), (3, "Hello, world of words.", "en", "s"),
@@ -437,6 +438,24 @@ def test_urls(spark, sf_small):
         assert verdict is None or r["verdict"] == verdict
 
 
+def test_suffix_statistics_leave_the_own_fold_out(spark):
+    # Every host is one of its kind: nothing but its own label could tell a url's side.
+    rows = [(f"http://{hashlib.md5(str(i).encode()).hexdigest()}.{'aa' if i % 2 else 'bb'}/", i % 2) for i in range(300)]
+    labelled = written(spark.createDataFrame([(u, u[7:-1], "/", float(y), 1.0) for u, y in rows], "url string, host string, path string, label double, weight double"), "test-labelled")
+    learned = urls.learn(labelled, trees=2)
+    stats = {r["suffix"]: (r["seen"], r["rate"]) for r in learned.suffixes.collect()}
+    assert stats["aa"] == (pytest.approx(math.log1p(150)), pytest.approx(155 / 160)) and len(stats) == 302
+    unseen = [n for n, c in zip([*urls.features(F.lit(""), F.lit(""), F.lit("")), "last_seen", "last_rate", "two_seen", "two_rate"], learned.model.featureImportances.toArray()) if c > 0]
+    assert "last_rate" in unseen and not {"two_seen", "two_rate"} & set(unseen)  # the two-label suffix is the url's own
+
+
+def test_urls_held_out(spark):
+    # The rules go by path directories, which no lexical feature sees: the floors are just under what was measured.
+    got = urls.evaluate(spark.read.parquet("/root/testdata/sf0.1/pages.parquet"), queries.URL_RULES)
+    assert got.n_urls > 150 and got.accuracy > got.base_accuracy and got.auc > 0.65, got
+    assert urls.evaluate(spark.read.parquet("/root/testdata/sf0.001/pages.parquet").filter("false"), queries.URL_RULES) is None
+
+
 def test_urls_without_labels(spark):
     df = spark.createDataFrame([(1, "http://a.net/"), (None, None)], "page_id long, url string")
     assert [(r["verdict"], r["rule"]) for r in urls.judge(df, queries.URL_RULES).collect()] == [("allow", None)] * 2
