@@ -67,8 +67,8 @@ PLATFORM_KEY = "platform_code"
 TIME_KEY = "obs_date"
 
 # The published column contract of the four star tables, in the
-# published order.  Tables are built from the columns a source actually carries
-# (the intersection, in this order); the test recast carries a subset.
+# published order.  A source that lacks some of them names those it carries (the test
+# recast does); any other lack is an error.
 DIM_GAMES_COLS = [
     "game_id", "game_name", "developer", "publisher", "publisher_tier", "franchise", "genre",
     "genre_code", "subgenre", "tags", "age_rating", "release_date", "release_year", "release_month",
