@@ -36,6 +36,8 @@ DEMO_SAMPLE_SIZE = 5_000
 # against the oracle: players/49*0.5 + hype*5 + is_aaa*0.3, positive at >= 0.7.
 SCORE_THRESHOLD = 0.7
 TRAIN_ROWS_PER_PARTITION = 50_000
+# A packed CSV file is read by one task: about 100 MB of text.
+CSV_ROWS_PER_FILE = 250_000
 # Attributes whose dependence on the publisher is audited beside the dimensions.
 PUBLISHER_COLS = ["publisher", "publisher_tier", "genre", "genre_code"]
 
@@ -488,7 +490,7 @@ def observations_csv(spark, sf) -> str:
     src = observations(spark, sf)
     path = f"{stage.stage(spark, sf).root}/observations_csv"
     if not stage.written(spark, path):
-        files.write_csv(src, path)
+        files.write_csv(src, path, compression="gzip", rows_per_file=CSV_ROWS_PER_FILE)
     return path
 
 

@@ -47,8 +47,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return read(schema)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write CSV with a header; non-finite doubles as 'inf'/'-inf'/'nan'."""
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none", rows_per_file: int = 0) -> None:
+    """Write CSV with a header; non-finite doubles as 'inf'/'-inf'/'nan'.
+
+    ``compression`` packs each file, of at most ``rows_per_file`` rows (0: any number); a packed file is one split.
+    """
     out = df
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
@@ -60,7 +63,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
                 .when(c == F.lit(float("-inf")), F.lit("-inf"))
                 .otherwise(c.cast("string")),
             )
-    out.write.mode(mode).options(header="true", quote='"', escape='"').csv(path)
+    out.write.mode(mode).options(header="true", quote='"', escape='"', compression=compression, maxRecordsPerFile=rows_per_file).csv(path)
 
 
 _TYPE_NAMES = {
