@@ -1,6 +1,7 @@
 """The flat source moves narrow line rows, once; hot games and repeated parts give the rows of the plain definition."""
 
 import datetime
+import pathlib
 import random
 import re
 
@@ -8,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions.numeric import growth_rate
+from tessera.plans import queries as Q
 from tessera.sources import observations as obs
 from tessera.sources import stage
 
@@ -72,3 +74,30 @@ def test_fact_is_written_without_a_shuffle(spark, sf_small, monkeypatch):
     monkeypatch.setattr(DataFrame, "repartitionByRange", no)
     st = stage.build_stage(spark, sf_small, f"{stage.work_dir(spark)}/narrow-test-{random.random()}")
     assert st.counts["fact_weekly_metrics"] == st.counts["observations"] > 0
+
+
+def _files(folder):
+    return [f.name for f in pathlib.Path(folder.removeprefix("file:")).iterdir() if f.name.startswith("part-")]
+
+
+def test_csv_source_is_packed_and_read_whole(spark, sf_small, tmp_path):
+    from tessera.sources import files
+
+    rows = spark.range(1000).select("id", F.concat(F.lit('a "q",\n'), F.col("id").cast("string")).alias("t"))
+    files.write_csv(rows, str(tmp_path / "out"), compression="gzip", rows_per_file=100)
+    found = _files(str(tmp_path / "out"))
+    assert len(found) >= 10 and all(f.endswith(".csv.gz") for f in found)
+    assert files.read_csv(spark, str(tmp_path / "out"), rows.schema).exceptAll(rows).count() == 0
+    assert files.read_csv(spark, str(tmp_path / "out")).schema["id"].dataType.typeName() == "integer"
+    assert all(f.endswith(".csv.gz") for f in _files(Q.observations_csv(spark, sf_small)))
+
+
+def test_split_is_packed_and_looks_up_codes_last(spark, sf_small, monkeypatch):
+    seen = []
+    encode = Q.features.label_encode
+    monkeypatch.setattr(Q.features, "label_encode", lambda df, *a: (seen.append(df.columns), encode(df, *a))[1])
+    monkeypatch.setattr(Q, "_model_version", lambda: f"test-{random.random()}")
+    monkeypatch.setattr(Q, "_PREPARED", {})
+    found = Q.prepared(spark, sf_small)
+    assert all("zstd" in f for f in _files(found.split_path)) and "split" in seen[0]
+    assert spark.read.parquet(found.split_path).columns == [*Q.MODEL_COLS, "split"]
