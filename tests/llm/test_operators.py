@@ -238,6 +238,32 @@ def test_near_duplicates(spark, monkeypatch):
     assert got == _classes(rows, weights)
 
 
+@pytest.mark.parametrize("common, slice_bytes, most", [(0.5, 24_000_000, 1_000_000), (0.02, 2000, 300)])
+def test_near_duplicates_weigh_every_frequency(spark, monkeypatch, common, slice_bytes, most):
+    """Shingles in two and in nine rows of a hundred weigh less than those of one row; weights from words, not from the operator."""
+    monkeypatch.setattr(minhash, "COMMON", common)  # all by shuffle, and most counted beforehand
+    monkeypatch.setattr(minhash, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(minhash, "DEAL", most)
+    rng = np.random.default_rng(8)
+    text = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 7)) for _ in range(n))
+    nine, two, twice = text(100), text(100), text(80)
+    rows = [f"{nine} {text(10)}" for _ in range(9)] + [f"{two} {text(10)}" for _ in range(2)] + [twice] * 3 + [f"{twice} {text(4)}"]
+    rows += [text(60) for _ in range(100 - len(rows))]
+    words = [t.split() for t in rows]
+    counts = [collections.Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4)) for w in words]
+    df = collections.Counter(s for c in counts for s in c)
+    idf = {s: 1 + math.log((1 + len(rows)) / (1 + n)) for s, n in df.items()}
+
+    def likeness(a, b):
+        both, any_ = (sum(idf[s] * pick(a[s], b[s]) for s in a.keys() | b.keys()) for pick in (min, max))
+        return both / any_
+
+    want = [min(j for j in range(len(rows)) if likeness(counts[i], counts[j]) >= 0.8) for i in range(len(rows))]
+    assert want[:12] == [*range(9), 9, 9, 11] and want[11:15] == [11] * 4
+    got = minhash.near_duplicates(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()
+    assert [r["class_id"] for r in sorted(got)] == want
+
+
 def test_copy_links(spark, monkeypatch):
     monkeypatch.setattr(minhash, "HOT", 4)  # text a is hot, b and c go through the shuffle join
     rows = [(i, "a") for i in range(30, 0, -1)] + [(40, "b"), (41, "b"), (42, "c"), (43, "c"), (44, "c"), (50, "d")]
