@@ -133,3 +133,31 @@ def test_median_outside_its_bracket(spark, monkeypatch):
     df = _values(spark, n=3_000)
     got = {r["g"]: r["m"] for r in ordered.exact_median(df, ["g"], "v", alias="m").collect()}
     assert got == pytest.approx({r["g"]: r["m"] for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()})
+
+
+def _scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_hash_rank_flag_reads_whole_rows_once(spark, tmp_path):
+    spark.range(4000).selectExpr("md5(cast(id as string)) as k", "cast(id % 3 as int) as c", "id as other").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    split = ordered.hash_rank_flag(df, "k", ["c"], spark.createDataFrame([(0, 100), (1, 0), (2, 9999)], "c int, _quota bigint"), "sel")
+    sample = ordered.hash_rank_flag(df, "k", [], spark.createDataFrame([(700,)], "_quota bigint"), "sel")
+    assert _scans(split) == 1 and _scans(sample) == 1
+    assert {r["c"]: r["n"] for r in split.filter("sel").groupBy("c").agg(F.count("k").alias("n")).collect()} == {0: 100, 2: 1333}
+    assert split.count() == sample.count() == 4000
+    assert {r["k"] for r in sample.filter("sel").collect()} == {r["k"] for r in df.orderBy("k").limit(700).collect()}
+
+
+def test_hash_rank_flag_parts_rows_of_one_key(spark):
+    """A quota that ends within the rows of one key takes as many of them as are left, in every stratum."""
+    df = spark.range(60).selectExpr("md5(cast(id % 6 as string)) as k", "cast(id % 2 as int) as c", "id")
+    keys = sorted({r["k"] for r in df.filter("c = 0").collect()})
+    got = ordered.hash_rank_flag(df, "k", ["c"], spark.createDataFrame([(0, 13), (1, 20)], "c int, _quota bigint"), "sel")
+    held = {(r["c"], r["k"]): r["n"] for r in got.filter("sel").groupBy("c", "k").agg(F.count("id").alias("n")).collect()}
+    assert got.count() == 60
+    assert [held.get((0, k), 0) for k in keys] == [10, 3, 0] and sum(n for (c, _), n in held.items() if c == 1) == 20
+    everywhere = ordered.hash_rank_flag(df, "k", [], spark.createDataFrame([(25,)], "_quota bigint"), "sel")
+    assert everywhere.filter("sel").count() == 25 and everywhere.count() == 60
+    assert ordered.hash_rank_flag(df.limit(0), "k", [], spark.createDataFrame([(25,)], "_quota bigint"), "sel").count() == 0
