@@ -129,19 +129,27 @@ def conflicts(states: DataFrame, tuples: DataFrame, table: str, key: str) -> Dat
 # Presence bitmaps
 # ---------------------------------------------------------------------------
 
-def presence(df: DataFrame, groups: list[str], key: str) -> DataFrame:
+def presence(df: DataFrame, groups: list[str], key: str, hot: DataFrame | None = None) -> DataFrame:
     """(groups..., bucket, bitmap): the integer keys seen in each group, one bit each.
 
     Rows collapse to distinct (group, key) pairs first, so that a hot group or key costs
     nothing, and then go to the task of their (group, bucket): at most ``BITMAP_BITS`` pairs
-    make a bitmap, and none is sent before it is whole.  NULL keys are in no bitmap (a
+    make a bitmap, and none is sent before it is whole.  ``hot``: a few keys (a column of the same
+    name) of many rows; only theirs collapse first, the other rows are shuffled once.  NULL keys are in no bitmap (a
     distinct count leaves them out too), a group without any other key has no row; NULL is a
     group.  Keys must be integers: number others first (``numbered_keys``).
     """
     if not isinstance(df.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         raise TypeError(f"{key} is no integer column")
     at = F.col(key).cast("bigint")
-    pairs = df.filter(F.col(key).isNotNull()).select(*groups, F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("_bit")).distinct()
+    bits = [*groups, F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("_bit")]
+    seen = df.filter(F.col(key).isNotNull())
+    if hot is None:
+        pairs = seen.select(*bits).distinct()
+    else:
+        many = F.broadcast(hot.select(F.col(key).alias("_hot")))
+        is_hot = F.col(key) == F.col("_hot")
+        pairs = seen.join(many, is_hot, "left_anti").select(*bits).unionAll(seen.join(many, is_hot, "left_semi").select(*bits).distinct())
     return pairs.repartition(*groups, "bucket").groupBy(*groups, "bucket").agg(F.bitmap_construct_agg("_bit").alias("bitmap"))
 
 

@@ -40,6 +40,8 @@ LINE_ORDER = [
 
 # Lines of a game above which they are dealt by date too: what one task sorts of a game.
 HOT_GAME_ROWS = 200_000
+# Hash buckets for each HOT_GAME_ROWS lines: only lines of buckets that exceed it are counted by game.
+BUCKETS_PER_HOT = 16
 
 FLAT_COLS = [
     "obs_key",
@@ -114,15 +116,24 @@ def observation_key(cols: dict) -> F.Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
-def _spans(lines: DataFrame) -> DataFrame:
-    """(l_partkey, release_date, n_lines) of every part that has lines, kept in the shared folder: a row per game."""
+def _hot_games(lines: DataFrame) -> DataFrame:
+    """(hot_key, release_date) of the games of more than :data:`HOT_GAME_ROWS` lines, kept in the shared folder.
+
+    Counted by hash bucket first, so that what is shuffled does not grow with the games: a hot
+    game makes its bucket exceed the bound, and only the lines of such buckets are counted by game.
+    """
     work_dir(lines.sparkSession)  # registers the checkpoint folder
-    spans = lines.groupBy("l_partkey").agg(F.min("obs_date").alias("release_date"), F.count(F.lit(1)).alias("n_lines"))
-    return spans.filter("l_partkey is not null").checkpoint(eager=True)
+    buckets = BUCKETS_PER_HOT * (1 + lines.count() // HOT_GAME_ROWS)
+    rows = lines.select("l_partkey", "obs_date", F.pmod(F.xxhash64("l_partkey"), F.lit(buckets)).alias("bucket"))
+    full = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_GAME_ROWS).select("bucket").checkpoint(eager=True)
+    # At most one bucket for each HOT_GAME_ROWS lines.
+    counted = rows.join(F.broadcast(full), "bucket", "left_semi").groupBy(F.col("l_partkey").alias("hot_key"))
+    hot = counted.agg(F.min("obs_date").alias("release_date"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_GAME_ROWS)
+    return hot.select("hot_key", "release_date").checkpoint(eager=True)
 
 
-def _games(part: DataFrame, spans: DataFrame) -> DataFrame:
-    """One row per part row that has lines: game attributes plus release date; ``copy`` numbers the rows of one key from 1."""
+def _games(part: DataFrame) -> DataFrame:
+    """One row per part row: game attributes; ``copy`` numbers the rows of one key from 1."""
     attrs = [c for c in ("p_name", "p_brand", "p_type", "p_size", "p_retailprice") if c in part.columns]
     copy = F.row_number().over(Window.partitionBy("p_partkey").orderBy(*attrs))
     part = part.filter("p_partkey is not null").withColumn("copy", copy)
@@ -132,7 +143,7 @@ def _games(part: DataFrame, spans: DataFrame) -> DataFrame:
         F.lit(5),
     )
     genre_code = F.when(genre_code < 0, F.lit(5)).otherwise(genre_code)
-    return part.join(spans, part.p_partkey == spans.l_partkey, "inner").select(
+    return part.select(
         F.col("p_partkey").alias("game_id"),
         "copy",
         F.col("p_name").alias("game_name"),
@@ -140,10 +151,6 @@ def _games(part: DataFrame, spans: DataFrame) -> DataFrame:
         F.when(aaa, F.lit("AAA")).when(F.col("p_size") < 10, F.lit("Indie")).otherwise(F.lit("AA")).alias("publisher_tier"),
         F.col("p_type").alias("genre"),
         genre_code.alias("genre_code"),
-        F.col("release_date"),
-        F.year("release_date").alias("release_year"),
-        F.month("release_date").alias("release_month"),
-        F.quarter("release_date").alias("release_quarter"),
         F.col("p_retailprice").alias("base_price_usd"),
         (F.col("p_size") < 10).cast("int").alias("is_indie"),
         (F.col("p_size") % 2).cast("int").alias("is_multiplayer"),
@@ -215,9 +222,9 @@ def _with_growth(rows: DataFrame, partitioned: bool = False) -> DataFrame:
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat observation table (lazy plan) from the driver tables in ``sf_dir``.
 
-    What is shuffled and sorted are the narrow line rows, once, by game: the window of the
-    growth rate and the join with the game attributes, which makes the rows wide, both use
-    that partitioning, at any number of games.  A game of more than :data:`HOT_GAME_ROWS`
+    What is shuffled and sorted are the narrow line rows, once, by game: a game's first date, the
+    window of the growth rate and the join with the game attributes, which makes the rows wide, all
+    use that partitioning, at any number of games.  A game of more than :data:`HOT_GAME_ROWS`
     lines would be too much for one task; the lines of such games are dealt by (game, date),
     and the few games themselves are broadcast.
     """
@@ -227,19 +234,24 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     part_rows = part.count()
     supplier_rows = read_table(spark, sf_dir, "supplier").count()
     platforms = broadcast_if_small(_platforms(spark, sf_dir), supplier_rows)
-    spans = _spans(li)
-    games = _games(part, spans)
-    hot = spans.filter(F.col("n_lines") > HOT_GAME_ROWS).select(F.col("l_partkey").alias("hot_key"))
+    games = _games(part)
+    hot = _hot_games(li)
     some_hot = hot.limit(1).count() > 0
     at_hot = F.col("l_partkey") == F.col("hot_key")
+    at_platform = F.col("l_suppkey") == F.col("s_suppkey")
     usual = li.join(F.broadcast(hot), at_hot, "left_anti") if some_hot else li
 
     # A broadcast leaves the partitioning as it is; a shuffle join with the platforms comes before it.
+    # A game's first date is that of all its lines, those without a platform included.
+    by_game = Window.partitionBy("l_partkey").orderBy("obs_date", *LINE_ORDER)
+    released = F.min("obs_date").over(by_game.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     if supplier_rows <= MAX_BROADCAST_ROWS:
-        usual = usual.repartition("l_partkey").join(platforms, usual.l_suppkey == F.col("s_suppkey"), "inner")
+        usual = usual.repartition("l_partkey").withColumn("release_date", released).join(platforms, at_platform, "inner")
     else:
-        usual = usual.join(platforms, usual.l_suppkey == F.col("s_suppkey"), "inner").repartition("l_partkey")
-    by_game = Window.partitionBy("l_partkey").orderBy("obs_date", *LINE_ORDER)
+        # Lines without a supplier would meet in one task of the join.
+        found = usual.filter("l_suppkey is not null").join(platforms, at_platform, "left")
+        usual = found.unionByName(usual.filter("l_suppkey is null"), allowMissingColumns=True)
+        usual = usual.repartition("l_partkey").withColumn("release_date", released).filter("s_suppkey is not null")
     usual = usual.withColumn("prev", F.lag(_players()).over(by_game))
     usual = _recast(usual.join(broadcast_if_small(games, part_rows), F.col("l_partkey") == F.col("game_id"), "inner"), "prev", "copy")
     # Several rows of one part repeat each line: a repeated line follows itself.
@@ -247,10 +259,10 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = usual.withColumn("player_growth_rate", growth_rate(F.col("concurrent_players"), prev)).select(*FLAT_COLS)
     if not some_hot:
         return out
-    dealt = li.join(F.broadcast(hot), at_hot, "left_semi").repartition("l_partkey", "obs_date")
+    dealt = li.join(F.broadcast(hot), at_hot, "left_semi").repartition("l_partkey", "obs_date").join(F.broadcast(hot), at_hot, "inner")
     # As many games as hold HOT_GAME_ROWS lines each.
     hot_games = F.broadcast(games.join(F.broadcast(hot), F.col("game_id") == F.col("hot_key"), "left_semi"))
-    dealt = dealt.join(hot_games, F.col("l_partkey") == F.col("game_id"), "inner").join(platforms, F.col("l_suppkey") == F.col("s_suppkey"), "inner")
+    dealt = dealt.join(hot_games, F.col("l_partkey") == F.col("game_id"), "inner").join(platforms, at_platform, "inner")
     kept = supplier_rows <= MAX_BROADCAST_ROWS
     return out.unionByName(_with_growth(_recast(dealt), partitioned=kept).select(*FLAT_COLS))
 
@@ -281,9 +293,9 @@ def _recast(rows: DataFrame, *carry: str) -> DataFrame:
         "genre",
         "genre_code",
         "release_date",
-        "release_year",
-        "release_month",
-        "release_quarter",
+        F.year("release_date").alias("release_year"),
+        F.month("release_date").alias("release_month"),
+        F.quarter("release_date").alias("release_quarter"),
         "base_price_usd",
         "is_indie",
         "is_multiplayer",

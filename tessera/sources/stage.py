@@ -164,6 +164,9 @@ def build_stage_from_flat(spark: SparkSession, flat_source: DataFrame, root: str
 
 #: What the bitmaps of the games seen are kept by, as far as the fact table has it.
 PRESENCE_GROUPS = ["platform_code", "launch_phase"]
+#: Rows per game on average up to which the rows of games are not collapsed before they are dealt
+#: out for the bitmaps, and rows of one game above which they are.
+FEW_ROWS_PER_GAME, HOT_GAME_ROWS = 100, 200_000
 
 
 def _write_profiles(spark: SparkSession, root: str, carried: list[str] | None) -> None:
@@ -189,7 +192,19 @@ def _write_presence(spark: SparkSession, root: str) -> None:
         summaries.numbered_keys(spark.read.parquet(f"{root}/dim_games"), key).write.parquet(f"{root}/game_numbers")
         fact = fact.select(*groups, key).distinct().join(spark.read.parquet(f"{root}/game_numbers"), key)
         key = "key_number"
-    summaries.presence(fact, groups, key).write.parquet(f"{root}/games_seen")
+        hot = None
+    else:
+        hot = _hot_games(spark, root, key)
+    summaries.presence(fact, groups, key, hot).write.parquet(f"{root}/games_seen")
+
+
+def _hot_games(spark: SparkSession, root: str, key: str) -> DataFrame | None:
+    """The games of more than HOT_GAME_ROWS rows, by the key states; None if games have many rows as a rule."""
+    states = spark.read.parquet(f"{root}/key_states/dim_games").filter(F.col(key).isNotNull())
+    size = states.agg(F.count(F.lit(1)).alias("games"), F.sum("n_rows").alias("n")).first()
+    if (size["n"] or 0) > FEW_ROWS_PER_GAME * size["games"]:
+        return None
+    return states.filter(F.col("n_rows") > HOT_GAME_ROWS).select(key)  # at most one for each HOT_GAME_ROWS rows
 
 
 def summary(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
