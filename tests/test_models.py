@@ -59,3 +59,44 @@ def test_feature_list_refuses_unknown_drops():
     assert features.feature_list(["a", "b", "y"], ["a"], "y") == ["b"]
     with pytest.raises(KeyError):
         features.feature_list(["a", "b", "y"], ["a", "zz"], "y")
+
+
+def test_models_are_fitted_on_the_whole_train_part(spark, sf_small, monkeypatch):
+    """Also where the train part has more rows than the workflow's sample."""
+    monkeypatch.setattr(Q, "SAMPLE_SIZE", 500)
+    monkeypatch.setattr(Q, "_FITTED", {})
+    monkeypatch.setattr(models, "load", lambda *a: None)
+    monkeypatch.setattr(models, "save", lambda spark, fitted, root: fitted)
+    seen = {}
+
+    def fit(name, train, feats):
+        seen[name] = sorted(tuple(r[:-1]) for r in train.select(*feats, TARGET_COL, "weight").collect())
+        weights = {(r[-2], round(r[-1], 9)) for r in train.select(TARGET_COL, "weight").collect()}
+        return models.FittedModel(name, feats, train), weights
+
+    weights = {}
+
+    def logistic(train, test, feats, target, weight):
+        fitted, weights["logistic_regression"] = fit("logistic_regression", train, feats)
+        return fitted
+
+    def trees(name, train, test, feats, target, weight):
+        fitted, weights[name] = fit(name, train, feats)
+        return fitted
+
+    monkeypatch.setattr(models, "fit_logistic", logistic)
+    monkeypatch.setattr(models, "fit_boosted_trees", trees)
+    train, _ = Q._train_test(spark, sf_small)
+    prep = Q.prepared(spark, sf_small)
+    n = {r[TARGET_COL]: r["count"] for r in train.groupBy(TARGET_COL).count().collect()}
+    rows = n[0] + n[1]
+    for name, feats in (("logistic_regression", prep.features_v1), ("gbt_v1", prep.features_v1), ("gbt_v2", prep.features_v2)):
+        Q.fitted(spark, sf_small, name)
+        assert len(seen[name]) == rows > 500
+        assert seen[name] == sorted(tuple(r) for r in train.select(*feats, TARGET_COL).collect())
+    assert weights["logistic_regression"] == {(0, round(rows / (2 * n[0]), 9)), (1, round(rows / (2 * n[1]), 9))}
+    assert weights["gbt_v1"] == weights["gbt_v2"] == {(0, 1.0), (1, round(n[0] / n[1], 9))}
+
+
+def test_tasks_of_a_fit_do_not_grow_with_the_table():
+    assert [Q.train_partitions(n, 8) for n in (0, 1, 50_000, 50_001, 480_000, 2_000_001, 28_800_000)] == [1, 1, 1, 2, 8, 9, 116]
