@@ -264,6 +264,44 @@ def test_near_duplicates_weigh_every_frequency(spark, monkeypatch, common, slice
     assert [r["class_id"] for r in sorted(got)] == want
 
 
+@pytest.mark.parametrize("block, common", [(256, 0.05), (4, 0.5)])
+def test_near_duplicates_count_a_class_once(spark, monkeypatch, block, common):
+    """A large group's own frequency keeps none of its near copies out; in one task, and in pairs of blocks.  With 0.05 the hot text is common."""
+    monkeypatch.setattr(minhash, "TEXT_BLOCK", block)
+    monkeypatch.setattr(minhash, "COMMON", common)
+    rng = np.random.default_rng(21)
+    text = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 7)) for _ in range(n))
+    base, hot, pair = text(100), text(120), text(100)
+    rows = [base] * 6 + [f"{base} {text(n)}" for n in (2, 3, 4, 5, 6, 16, 18, 20, 22, 60)] + [hot] * 30 + [f"{hot} {text(24)}"]
+    rows += [f"{pair} {text(12)}" for _ in range(8)]  # none near enough to begin with
+    rows += [text(60) for _ in range(400 - len(rows))]
+    n = len(rows)
+    counts = [collections.Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4)) for w in map(str.split, rows)]
+    df = collections.Counter(s for c in counts for s in c)
+
+    def classes(held, label):
+        idf = {s: 1 + math.log((1 + n) / (1 + k)) for s, k in held.items()}
+        label = list(label)
+        for i in range(60):
+            for j in range(i):
+                both, any_ = (sum(idf[s] * pick(counts[i][s], counts[j][s]) for s in counts[i].keys() | counts[j].keys()) for pick in (min, max))
+                if both >= 0.8 * any_:
+                    new, old = sorted((label[i], label[j]))
+                    label = [new if k == old else k for k in label]
+        return label
+
+    plain = classes(df, range(n))
+    want, before = plain, None
+    while want != before:
+        before = want
+        once = collections.Counter(s for k in set(want) for s in {s for c, own in zip(counts, want) if own == k for s in c})
+        want = classes({s: k if k >= common * n else once[s] for s, k in df.items()}, want)
+    joined = {i for i in range(n) if plain[i] != want[i]}
+    assert joined == ({11, 12, 13, 46} if common == 0.5 else {11, 12, 13}) and want[14:16] == [14, 15] and want[47:55] == [*range(47, 55)]
+    got = minhash.near_duplicates(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()
+    assert [r["class_id"] for r in sorted(got)] == want
+
+
 def test_copy_links(spark, monkeypatch):
     monkeypatch.setattr(minhash, "HOT", 4)  # text a is hot, b and c go through the shuffle join
     rows = [(i, "a") for i in range(30, 0, -1)] + [(40, "b"), (41, "b"), (42, "c"), (43, "c"), (44, "c"), (50, "d")]
