@@ -267,7 +267,7 @@ def test_near_duplicates_weigh_every_frequency(spark, monkeypatch, common, slice
 @pytest.mark.parametrize("block, common", [(256, 0.05), (4, 0.5)])
 def test_near_duplicates_count_a_class_once(spark, monkeypatch, block, common):
     """A large group's own frequency keeps none of its near copies out; in one task, and in pairs of blocks.  With 0.05 the hot text is common."""
-    monkeypatch.setattr(minhash, "TEXT_BLOCK", block)
+    monkeypatch.setattr(minhash, "TEXT_ENTRIES", 120 * block)
     monkeypatch.setattr(minhash, "COMMON", common)
     rng = np.random.default_rng(21)
     text = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 7)) for _ in range(n))
